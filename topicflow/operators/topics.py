@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import NOISE
 from ..functions.scale import next_in_group, top_k_per_group
 from ..functions.text import ARTIFACT_WORDS
+from ..session import materialize
 
 # Fixed value: a vocabulary word is a run of two or more word characters.
 VOCABULARY_WORD = r"[\p{L}\p{N}_]{2,}"
@@ -52,7 +53,8 @@ def term_counts(
     counts = terms.groupBy(*group, "term").agg(F.count("*").alias("tf"))
     if not join_documents:
         return counts
-    edges = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
+    ends = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
+    edges = materialize(ends, "ends")  # two words per document, read three times
     linked = next_in_group(edges, group, key, "head", "next_head").where("next_head IS NOT NULL")
     seams = linked.groupBy(*group, F.concat_ws(" ", "tail", "next_head").alias("term")).agg(F.count("*").alias("tf"))
     return counts.unionByName(seams).groupBy(*group, "term").agg(F.sum("tf").alias("tf"))
@@ -150,9 +152,14 @@ def describe_topics(
     docs: DataFrame, topics: DataFrame, text: str = "text_lemm", n: int = 10, by: Sequence[str] = (),
     max_df: float = 0.85, max_features: int = 30_000,
 ) -> tuple[DataFrame, DataFrame]:
-    """(class TF-IDF table, top words) of an assignment."""
-    counts = term_counts(docs, topics, text, by=by)
-    scores = class_tfidf(topic_vocabulary(counts, by, max_df, max_features), by)
+    """(class TF-IDF table, top words) of an assignment.
+
+    The texts are read for the term counts only; counts and vocabulary are written, as each is
+    read several times afterwards.
+    """
+    counts = materialize(term_counts(docs, topics, text, by=by), "counts")
+    vocabulary = materialize(topic_vocabulary(counts, by, max_df, max_features), "vocabulary")
+    scores = class_tfidf(vocabulary, by)
     return scores, topic_top_words(scores, n, by)
 
 

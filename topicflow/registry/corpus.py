@@ -62,23 +62,23 @@ def _(v):
     return rows.select("id_post", "channel_name", stamp("post_date"), F.md5("text").alias("text_md5"), "views")
 
 
-@query("union_versions", "SELECT id_post, channel_name, CASE WHEN id_post % 2 = 0 THEN views END AS views FROM raw_posts", "raw_posts")
+@query("union_versions", "SELECT id_post, channel_name, CASE WHEN id_post % 2 = 0 THEN views END::DOUBLE AS views FROM raw_posts", "raw_posts")
 def _(v):
     """Two versions of the post table; the older one has no view counts."""
     old = _written(v, v.raw_posts.where(F.col("id_post") % 2 == 1).drop("views"), "v1")
     new = _written(v, v.raw_posts.where(F.col("id_post") % 2 == 0), "v2")
-    return src.union_versions(v.spark, [old, new]).select("id_post", "channel_name", "views")
+    return src.union_versions(v.spark, [old, new]).select("id_post", "channel_name", F.col("views").cast("double").alias("views"))
 
 
 _NOW = datetime(2024, 1, 25, 12)
 
 
 @query("read_inference_log", """
-    SELECT strftime(predicted_at, '%Y-%m-%d %H:%M:%S') AS predicted_at, round(probability, 6) AS probability, topic_id FROM log
+    SELECT strftime(predicted_at, '%Y-%m-%d %H:%M:%S') AS predicted_at, round(probability, 6) AS probability, topic_id::DOUBLE AS topic_id FROM log
     WHERE predicted_at >= TIMESTAMP '2024-01-18 12:00:00'""", "log")
 def _(v):
     log = inference_log.scan_inference_log(v.spark, _written(v, v.log, "log"))
-    return rounded(inference_log.read_inference_log(log, _NOW, 7).select(stamp("predicted_at"), "probability", "topic_id"))
+    return rounded(inference_log.read_inference_log(log, _NOW, 7).select(stamp("predicted_at"), "probability", F.col("topic_id").cast("double").alias("topic_id")))
 
 
 @query("write_artifacts")
@@ -129,7 +129,7 @@ def _(v):
 
 @query("yearly_distribution", "SELECT year(created_at) AS year, count(*) AS posts FROM posts GROUP BY 1", "posts")
 def _(v):
-    return profiling.yearly_distribution(v.posts)
+    return profiling.yearly_distribution(v.posts).withColumn("year", F.col("year").cast("long"))
 
 
 @query("top_months", "SELECT strftime(created_at, '%Y-%m') AS month, count(*) AS posts FROM posts GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5", "posts")
@@ -162,7 +162,7 @@ def _(v):
            round(quantile_cont(n, 0.9), 1) AS p90, round(quantile_cont(n, 0.95), 1) AS p95, round(quantile_cont(n, 0.99), 1) AS p99
     FROM (SELECT length(coalesce(text, '')) AS n FROM posts)""", "posts")
 def _(v):
-    return profiling.text_length_stats(v.posts)
+    return profiling.text_length_stats(v.posts).withColumns({c: F.col(c).cast("long") for c in ("min", "max")})
 
 
 @query("length_histogram", """
@@ -275,10 +275,11 @@ def _(v):
 
 
 @query("parse_label_json", """
-    SELECT topic, l1, l2, l3, core_topic, coalesce(periphery_topic, '') AS periphery_topic, heterogeneous, round(coverage, 6) AS coverage FROM extlabels
+    SELECT topic, l1, l2, l3, core_topic, coalesce(periphery_topic, '') AS periphery_topic, heterogeneous::VARCHAR AS heterogeneous, round(coverage, 6) AS coverage FROM extlabels
     """, "extlabels")
 def _(v):
     rows = v.external_labels.select("topic", tx.parse_label_json(F.col("payload")).alias("l")).select("topic", "l.*")
+    rows = rows.withColumn("heterogeneous", F.col("heterogeneous").cast("string"))
     return rounded(rows.withColumn("periphery_topic", F.coalesce("periphery_topic", F.lit(""))))
 
 

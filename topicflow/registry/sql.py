@@ -251,12 +251,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                           - row_number() OVER (PARTITION BY condition, hit ORDER BY day) AS island FROM flags) WHERE hit
             GROUP BY condition, island) WHERE run >= 3 GROUP BY condition"""),
     "trials": ((), """
-        SELECT *, CASE WHEN dbcv IS NULL THEN -999.0::DOUBLE ELSE round(dbcv - 0.5::DOUBLE * noise_ratio, 6) END AS score FROM (
+        SELECT *, CASE WHEN dbcv IS NULL THEN -999.0::DOUBLE ELSE dbcv - 0.5::DOUBLE * noise_ratio END AS score FROM (
             SELECT l_suppkey AS study, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS trial_id,
                    15 + l_partkey % 86 AS n_neighbors, 5 + l_orderkey % 11 AS n_components, (50 + l_quantity * 3)::INT AS min_cluster_size,
-                   5 + l_orderkey % 146 AS min_samples, round(l_discount + l_tax, 2) AS noise_ratio,
-                   CASE WHEN l_linenumber <> 7 THEN round(l_extendedprice / 110000.0::DOUBLE, 4) END AS dbcv,
-                   round(0.70::DOUBLE + l_tax, 2) AS cv_coherence FROM lineitem)"""),
+                   5 + l_orderkey % 146 AS min_samples, l_discount + l_tax AS noise_ratio,
+                   CASE WHEN l_linenumber <> 7 THEN l_extendedprice / 110000.0::DOUBLE END AS dbcv,
+                   0.70::DOUBLE + l_tax AS cv_coherence FROM lineitem)"""),
     "soft": (("emb", "cent"), """
         SELECT doc_id, arg_max(topic, (s, -topic)) AS topic, max(s) AS probability FROM (
             SELECT e.doc_id, c.topic, round(list_cosine_similarity(e.embedding, c.centroid), 10) AS s
@@ -320,4 +320,5 @@ def statement(body: str, *names: str) -> str:
     if not order:
         return body.strip()
     views = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name][1].strip()})" for name in order)
-    return f"WITH {views}\n{body.strip()}"
+    recursive = "RECURSIVE " if "walk(" in body else ""
+    return f"WITH {recursive}{views}\n{body.strip()}"

@@ -16,7 +16,7 @@ from ..functions.text import STOP_WORDS
 from ..operators import clustering, evolution, labeling, outliers, topics
 from ..operators.neighbours import knn_cosine
 from ..operators.preprocess import preprocess_posts
-from ..session import configure, materialize
+from ..session import configure, materialize, spread
 from ..sources.posts import normalize_posts
 
 FIXTURE_STOP_WORDS = ("the", "and", "les", "des", "der", "die", "los", "las")
@@ -31,7 +31,7 @@ class Views:
         self.spark, self.folder = configure(spark), folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     @cached_property
     def raw_posts(self) -> DataFrame:
@@ -77,19 +77,24 @@ class Views:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return materialize(topics.term_counts(self.docs, self.text_topics), "counts")
+        return topics.term_counts(self.docs, self.text_topics)
 
     @cached_property
     def vocabulary(self) -> DataFrame:
-        return topics.topic_vocabulary(self.counts)
+        return topics.topic_vocabulary(materialize(self.counts, "counts"))
 
     @cached_property
     def ctfidf(self) -> DataFrame:
-        return materialize(topics.class_tfidf(materialize(self.vocabulary, "vocabulary")), "ctfidf")
+        return self._described[0]
+
+    @cached_property
+    def _described(self) -> tuple[DataFrame, DataFrame]:
+        scores, words = topics.describe_topics(self.docs, self.text_topics)
+        return materialize(scores, "ctfidf"), materialize(words, "words")
 
     @cached_property
     def words(self) -> DataFrame:
-        return materialize(topics.topic_top_words(self.ctfidf), "words")
+        return self._described[1]
 
     @cached_property
     def anchors(self) -> DataFrame:
@@ -283,15 +288,15 @@ class Views:
     @cached_property
     def trials(self) -> DataFrame:
         """A table of experiments: one study per supplier, one trial per order line."""
-        dbcv = F.when(F.col("l_linenumber") != 7, F.round(F.col("l_extendedprice") / 110000.0, 4))
+        dbcv = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice") / 110000.0)
         trial = F.col("l_orderkey") * 10 + F.col("l_linenumber")
         base = self.table("lineitem").select(
             F.col("l_suppkey").alias("study"), (trial * 1000000 + F.col("l_partkey")).alias("trial_id"),
             (15 + F.col("l_partkey") % 86).alias("n_neighbors"), (5 + F.col("l_orderkey") % 11).alias("n_components"),
             (50 + F.col("l_quantity") * 3).cast("int").alias("min_cluster_size"), (5 + F.col("l_orderkey") % 146).alias("min_samples"),
-            F.round(F.col("l_discount") + F.col("l_tax"), 2).alias("noise_ratio"), dbcv.alias("dbcv"),
-            F.round(0.70 + F.col("l_tax"), 2).alias("cv_coherence"),
+            (F.col("l_discount") + F.col("l_tax")).alias("noise_ratio"), dbcv.alias("dbcv"),
+            (0.70 + F.col("l_tax")).alias("cv_coherence"),
         )
         from ..operators.search import trial_score
 
-        return base.withColumn("score", F.round(trial_score(F.col("dbcv"), F.col("noise_ratio")), 6))
+        return base.withColumn("score", trial_score(F.col("dbcv"), F.col("noise_ratio")))

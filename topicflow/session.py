@@ -69,3 +69,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a table whose files give fewer partitions than there are cores.
+
+    For a scan without shuffles. A large table has far more partitions and passes unchanged;
+    filters and column pruning still reach the files below the repartitioning.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
