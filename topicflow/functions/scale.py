@@ -8,14 +8,15 @@ group in one place is a table of slot counts with a fixed upper bound.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RANDOM_SEED
+from ..session import materialize
 
 _SLOT_DIGITS = 3  # 16**3 = 4096 hash slots per group
-_RANGES = 128
 
 
 def hash_key(id_col: str, seed: int = RANDOM_SEED) -> Column:
@@ -79,25 +80,19 @@ def top_k_per_group(
     return ranked if rank_name else ranked.drop(name)
 
 
-def _range_slot(df: DataFrame, key: str, ranges: int = _RANGES) -> Column:
-    """Slot number of ``key`` among approximate quantiles (at most ``ranges`` driver-side bounds)."""
-    points = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(key, points, 10_000).alias("p")).first()["p"] or []
-    bounds = sorted(set(found))
+def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned by ``keys`` and written, with the number of each row's range.
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col(key) < F.lit(bounds[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return tree(0, len(bounds))
+    Spark samples the keys, so ranges hold about equally many rows however skewed the groups are;
+    writing them once fixes the numbers for all later reads, also after the loss of an executor.
+    """
+    return materialize(df.repartitionByRange(*keys).withColumn("__slot", F.spark_partition_id()), "ranged")
 
 
 def dense_index(df: DataFrame, key: str, name: str) -> DataFrame:
     """Dense 0-based position of each row in ``key`` order, without a single-task sort."""
-    slotted = df.withColumn("__slot", _range_slot(df, key))
-    counts = slotted.groupBy("__slot").agg(F.count("*").alias("__n"))  # at most 128 rows
+    slotted = _ranged(df, [key])
+    counts = slotted.groupBy("__slot").agg(F.count("*").alias("__n"))  # one row per range
     before = Window.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__slot", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     local = F.row_number().over(Window.partitionBy("__slot").orderBy(key)) - 1
@@ -107,11 +102,11 @@ def dense_index(df: DataFrame, key: str, name: str) -> DataFrame:
 def next_in_group(df: DataFrame, group: Sequence[str], key: str, value: str, name: str) -> DataFrame:
     """``lead(value)`` by ``key`` within each group, with hot groups split by key range.
 
-    The last row of a range looks up the first row of the next range that its group has; that
-    lookup table holds at most 128 rows per group.
+    The last row of a group in a range looks up the first row of the next range the group has; that
+    lookup table holds one row per group and range.
     """
     group = list(group)
-    slotted = df.withColumn("__slot", _range_slot(df, key))
+    slotted = _ranged(df, [*group, key])
     window = Window.partitionBy(*group, "__slot").orderBy(key)
     local = slotted.withColumn(name, F.lead(value).over(window)).withColumn("__last", F.lead(key).over(window).isNull())
     firsts = slotted.groupBy(*group, "__slot").agg(F.min_by(value, key).alias("__first"))
@@ -126,13 +121,21 @@ def next_in_group(df: DataFrame, group: Sequence[str], key: str, value: str, nam
 def running_max(df: DataFrame, group: Sequence[str], key: str, value: str, name: str) -> DataFrame:
     """Maximum of ``value`` up to and including each row in ``key`` order, hot groups split by range.
 
-    A range starts from the maximum of the ranges before it, of which a group has at most 128.
+    A range starts from the maximum of the group's ranges before it.
     """
     group = list(group)
-    slotted = df.withColumn("__slot", _range_slot(df, key))
+    slotted = _ranged(df, [*group, key])
     peaks = slotted.groupBy(*group, "__slot").agg(F.max(value).alias("__peak"))
     before = Window.partitionBy(*group).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = peaks.select(*group, "__slot", F.max("__peak").over(before).alias("__carried"))
     local = Window.partitionBy(*group, "__slot").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     joined = slotted.join(carried, [*group, "__slot"])
     return joined.withColumn(name, F.greatest(F.max(value).over(local), F.col("__carried"))).drop("__slot", "__carried")
+
+
+def side_by_side(parts: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """One-row tables (one row per ``by``) as one row with all their columns, without a join."""
+    by = list(by)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    columns = [c for c in stacked.columns if c not in by]
+    return stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in columns])

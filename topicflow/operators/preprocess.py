@@ -4,22 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import STOP_WORDS, clean_text, tokenize
 
+BROADCAST_FORMS = 1_000_000
+
+
+def _lookup(forms: pa.Array, lemmas: pa.Array, spark: SparkSession):
+    """A column function that replaces known forms in a list of tokens, one Arrow batch at a time."""
+    shared = spark.sparkContext.broadcast((forms, lemmas))
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def replace(tokens: pa.Array) -> pa.Array:
+        known, wanted = shared.value
+        flat = tokens.flatten()
+        place = pc.index_in(flat, value_set=known.cast(flat.type))
+        found = pc.coalesce(wanted.cast(flat.type).take(place), flat)
+        sizes = pc.fill_null(pc.list_value_length(tokens), 0)
+        offsets = np.concatenate([[0], np.cumsum(np.asarray(sizes))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), found)
+
+    return replace
+
 
 def lemmatize(
-    df: DataFrame, lemmas: DataFrame, id_col: str = "post_id", tokens: str = "tokens"
+    df: DataFrame, lemmas: DataFrame, id_col: str = "post_id", tokens: str = "tokens", broadcast_forms: int = BROADCAST_FORMS
 ) -> DataFrame:
     """Replace each token by the lemma of a user table ``(form, lemma)``; unknown tokens stay.
 
-    Rows move once, by id and before the tokens are exploded; putting the tokens together again
-    then needs no shuffle when the lemma table is small enough for Spark to broadcast. A repeated
-    form uses its smallest lemma.
+    A table of at most ``broadcast_forms`` forms is shipped to the tasks and looked up in place, so
+    no token is shuffled. A larger one is joined: rows move by id before the tokens are exploded,
+    which lets Spark put the tokens together again where they are. A repeated form uses its
+    smallest lemma.
     """
+    spark = df.sparkSession
     forms = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    head = forms.limit(broadcast_forms + 1).toArrow()
+    if head.num_rows <= broadcast_forms:
+        replace = _lookup(head.column("form").combine_chunks(), head.column("lemma").combine_chunks(), spark)
+        return df.withColumn(tokens, replace(F.col(tokens)))
     rows = df.repartition(id_col)
     exploded = rows.select(id_col, F.posexplode(tokens).alias("pos", "form"))
     named = exploded.join(forms, "form", "left").select(
@@ -42,10 +71,12 @@ def preprocess_posts(
 ) -> DataFrame:
     """Add ``text_clean`` and ``text_lemm``; drop rows without any token left."""
     out = df.withColumn("text_clean", clean_text(F.col("text")))
-    out = out.withColumn("tokens", tokenize(F.col("text_clean"), stop_words, min_len))
-    out = out.select(*keep, "text_clean", "tokens")
+    tokens = tokenize(F.col("text_clean"), stop_words, min_len)
     if drop_blank:
-        out = out.where(F.size("tokens") > 0)
+        # a list of no or one token list: blank rows vanish without computing the tokens twice,
+        # as a filter pushed below the projection would
+        tokens = F.explode(F.filter(F.array(tokens), lambda t: F.size(t) > 0))
+    out = out.select(*keep, "text_clean", tokens.alias("tokens"))
     if lemmas is not None:
         out = lemmatize(out, lemmas, keep[0])
     out = out.withColumn("text_lemm", F.array_join("tokens", " "))

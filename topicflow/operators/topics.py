@@ -50,14 +50,11 @@ def term_counts(
     tokens = docs.select(key, *by, vocabulary_tokens(F.col(text), stop_words).alias("w")).where(F.size("w") > 0)
     labelled = tokens.join(topics.select(key, "topic"), key)
     terms = labelled.select(*group, F.explode(word_ngrams(F.col("w"))).alias("term"))
-    counts = terms.groupBy(*group, "term").agg(F.count("*").alias("tf"))
-    if not join_documents:
-        return counts
-    ends = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
-    edges = materialize(ends, "ends")  # two words per document, read three times
-    linked = next_in_group(edges, group, key, "head", "next_head").where("next_head IS NOT NULL")
-    seams = linked.groupBy(*group, F.concat_ws(" ", "tail", "next_head").alias("term")).agg(F.count("*").alias("tf"))
-    return counts.unionByName(seams).groupBy(*group, "term").agg(F.sum("tf").alias("tf"))
+    if join_documents:
+        ends = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
+        linked = next_in_group(ends, group, key, "head", "next_head").where("next_head IS NOT NULL")
+        terms = terms.unionByName(linked.select(*group, F.concat_ws(" ", "tail", "next_head").alias("term")))
+    return terms.groupBy(*group, "term").agg(F.count("*").alias("tf"))
 
 
 def topic_vocabulary(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import NOISE, RANDOM_SEED, ClusterParams, OutlierThresholds
+from ..functions.scale import side_by_side
 from ..operators.clustering import core_distances, density_cluster, fit_assignment, reduce_dims
 from ..operators.neighbours import knn_cosine
 from ..operators.outliers import reassignment_report, reduce_outliers_ctfidf, reduce_outliers_embedding
@@ -118,10 +119,10 @@ def search_trials(
         reduced, knn = graphs[trial["n_components"]]
         near = knn.where(F.col("rank") <= trial["min_samples"])
         topics = materialize(density_cluster(reduced, trial["min_cluster_size"], trial["min_samples"], knn=near), "topics")
-        noise = noise_ratio(topics).select(F.lit(number).alias("trial_id"), "noise_ratio", F.col("num_topics").alias("n_clusters"))
-        value = dbcv(reduced, topics, cap).select(F.lit(number).alias("trial_id"), F.col("dbcv_score").alias("dbcv"))
-        row = noise.join(value, "trial_id", "left").select(
-            F.lit(study).alias("study"), "trial_id", *[F.lit(v).alias(p) for p, v in trial.items()], "noise_ratio", "n_clusters", "dbcv"
+        noise = noise_ratio(topics).select("noise_ratio", F.col("num_topics").alias("n_clusters"))
+        value = dbcv(reduced, topics, cap).select(F.col("dbcv_score").alias("dbcv"))
+        row = side_by_side([noise, value]).select(
+            F.lit(study).alias("study"), F.lit(number).alias("trial_id"), *[F.lit(v).alias(p) for p, v in trial.items()], "noise_ratio", "n_clusters", "dbcv"
         )
         rows = row if rows is None else rows.unionByName(row)
     scored = F.when(F.col("n_clusters") >= min_topics, F.col("dbcv"))

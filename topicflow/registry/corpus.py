@@ -211,6 +211,16 @@ def _(v):
     return rows.select("post_id", joined("tokens").alias("lemmas"))
 
 
+@query("lemmatize_join", """
+    SELECT post_id, string_agg(coalesce(lemma, form), ' ' ORDER BY i) AS lemmas FROM (
+        SELECT post_id, unnest(tokens) AS form, generate_subscripts(tokens, 1) AS i FROM prep) LEFT JOIN lemmas USING (form)
+    GROUP BY post_id""", "prep lemmas")
+def _(v):
+    """The plan for a lemma table beyond the broadcast bound."""
+    rows = preprocess.lemmatize(v.prep.select("post_id", "tokens"), v.lemmas, broadcast_forms=0)
+    return rows.select("post_id", joined("tokens").alias("lemmas"))
+
+
 @query("preprocess_posts", f"""
     SELECT post_id, channel, {_STAMP.format('created_at')}, text_clean, text_lemm FROM (
         SELECT post_id, string_agg(coalesce(lemma, form), ' ' ORDER BY i) AS text_lemm FROM (

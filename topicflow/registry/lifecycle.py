@@ -48,14 +48,18 @@ def _(v):
     return rounded(evolution.border_pairs(v.best))
 
 
-@query("apply_verdicts", """
-    SELECT new_topic, old_topic, same_topic, confidence, (SELECT count(*) FROM verdicts) AS border_cases, (SELECT count(*) FROM verdicts WHERE same_topic) AS same
-    FROM border JOIN verdicts USING (new_topic, old_topic)""", "border verdicts")
+@query("apply_verdicts", "SELECT new_topic, old_topic, same_topic, confidence FROM border JOIN verdicts USING (new_topic, old_topic)", "border verdicts")
 def _(v):
     judged = evolution.apply_verdicts(evolution.border_pairs(v.best), v.verdicts)
-    counts = evolution.verdict_counts(judged).select("border_cases", F.col("same_topic").alias("same"), F.lit(1).alias("k"))
-    rows = judged.select("new_topic", "old_topic", "same_topic", "confidence", F.lit(1).alias("k"))
-    return rows.join(counts, "k").drop("k")
+    return judged.select("new_topic", "old_topic", "same_topic", "confidence")
+
+
+@query("verdict_counts", """
+    SELECT count(*) AS border_cases, count(*) FILTER (same_topic) AS same_topic, count(*) FILTER (NOT same_topic) AS different_topic,
+           count(*) FILTER (confidence = 'high') AS high_confidence, count(*) FILTER (confidence = 'medium') AS medium_confidence,
+           count(*) FILTER (confidence = 'low') AS low_confidence FROM verdicts""", "verdicts")
+def _(v):
+    return evolution.verdict_counts(evolution.apply_verdicts(evolution.border_pairs(v.best), v.verdicts))
 
 
 @query("match_topics", "SELECT direction, new_topic, old_topic, coalesce(verdict::VARCHAR, '') AS verdict, matched FROM matches", "matches")
@@ -350,8 +354,8 @@ def _(v):
     c AS (SELECT study, 'dbcv' AS "check", dbcv AS new_value, dbcv >= 0.95 * prod AS passed FROM m
           UNION ALL SELECT study, 'cv_coherence', cv, cv >= 0.70 FROM m UNION ALL SELECT study, 'noise_ratio', noise, noise <= 0.2 FROM m
           UNION ALL SELECT study, 'num_topics', n, n >= 20 FROM m)
-    SELECT study, "check", round(new_value, 6) AS new_value, passed, CASE WHEN bool_and(passed) OVER (PARTITION BY study) THEN 'passed' ELSE 'failed' END AS verdict,
-           round((SELECT dbcv - prod FROM m WHERE m.study = c.study), 6) AS dbcv_delta FROM c""", "trials")
+    SELECT study, "check", round(new_value, 10) AS new_value, passed, CASE WHEN bool_and(passed) OVER (PARTITION BY study) THEN 'passed' ELSE 'failed' END AS verdict,
+           round((SELECT dbcv - prod FROM m WHERE m.study = c.study), 10) AS dbcv_delta FROM c""", "trials")
 def _(v):
     """Every study's mean figures against those of its even trials."""
     grouped = v.trials.groupBy("study").agg(
@@ -359,10 +363,10 @@ def _(v):
     )
     old = v.trials.where(F.col("trial_id") % 2 == 0).groupBy("study").agg(F.avg("dbcv").alias("dbcv_score"))
     rows = drift.validation_gates(grouped, old, by=["study"])
-    return rounded(rows.select("study", "check", "new_value", "passed", "verdict", "dbcv_delta"))
+    return rounded(rows.select("study", "check", "new_value", "passed", "verdict", "dbcv_delta"), 10)
 
 
-_FIGURES = "round(avg_probability, 6) AS avg_probability, round(low_confidence_ratio, 6) AS low_confidence_ratio, round(noise_ratio_inference, 6) AS noise_ratio_inference, round(topic_entropy, 6) AS topic_entropy, total_predictions"
+_FIGURES = "round(avg_probability, 9) AS avg_probability, round(low_confidence_ratio, 9) AS low_confidence_ratio, round(noise_ratio_inference, 9) AS noise_ratio_inference, round(topic_entropy, 9) AS topic_entropy, total_predictions"
 
 
 @query("drift_metrics", """
@@ -376,7 +380,7 @@ def _(v):
 
 @query("daily_drift_flags", f"SELECT strftime(day, '%Y-%m-%d') AS day, {_FIGURES}, avg_prob, low_conf, noise FROM daily", "daily")
 def _(v):
-    return rounded(drift.daily_drift_flags(v.log).withColumn("day", F.col("day").cast("string")))
+    return rounded(drift.daily_drift_flags(v.log).withColumn("day", F.col("day").cast("string")), 9)
 
 
 @query("drift_streaks", "SELECT condition, strftime(start_day, '%Y-%m-%d') AS start_day, length FROM streaks", "streaks")
@@ -433,7 +437,7 @@ def _daily_stream(v: Views):
     WHERE day + INTERVAL 1 DAY <= (SELECT max(predicted_at) - INTERVAL 1 HOUR FROM log)""", "daily log")
 def _(v):
     out, schema = _daily_stream(v)
-    return rounded(v.spark.read.schema(schema).parquet(out).withColumn("day", F.col("day").cast("string")))
+    return rounded(v.spark.read.schema(schema).parquet(out).withColumn("day", F.col("day").cast("string")), 9)
 
 
 @query("stream_drift_streaks", "SELECT condition, strftime(start_day, '%Y-%m-%d') AS start_day, length FROM streaks", "streaks")
