@@ -24,6 +24,16 @@ def hash_key(id_col: str, seed: int = RANDOM_SEED) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
 
 
+def explode_once(df: DataFrame, keep: Sequence[str], values: Column, name: str) -> DataFrame:
+    """One row per element of a computed array.
+
+    For a plain ``explode`` Spark infers a filter on the array's size and pushes it to the scan,
+    where the whole expression is computed a second time, and inside lambdas once per element. The
+    outer form infers nothing; rows of empty arrays are dropped afterwards.
+    """
+    return df.select(*keep, F.explode_outer(values).alias(name)).where(F.col(name).isNotNull())
+
+
 def sample_per_group(
     df: DataFrame,
     group: Sequence[str],

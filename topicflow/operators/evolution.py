@@ -230,14 +230,16 @@ def evolution_summary(records: DataFrame, by: Sequence[str] = (), column: str =
     return records.groupBy(*by, column).agg(F.count("*").alias("topics")).orderBy(*by, column)
 
 
-def match_threshold_curve(best: DataFrame, thresholds: Sequence[float] = CURVE_THRESHOLDS, direction: str = "old2new") -> DataFrame:
+def match_threshold_curve(
+    best: DataFrame, thresholds: Sequence[float] = CURVE_THRESHOLDS, direction: str = "old2new", by: Sequence[str] = ()
+) -> DataFrame:
     """How many topics have a best match at or above each threshold, and their share."""
     own = best.where(F.col("direction") == direction)
-    counts = own.agg(F.count("*").alias("total"), *[F.count_if(F.col("cosine") >= t).alias(f"c{i}") for i, t in enumerate(thresholds)])
+    counts = own.groupBy(*by).agg(F.count("*").alias("total"), *[F.count_if(F.col("cosine") >= t).alias(f"c{i}") for i, t in enumerate(thresholds)])
     pairs = ", ".join(f"{float(t)}D, c{i}" for i, t in enumerate(thresholds))
-    rows = counts.select("total", F.expr(f"stack({len(thresholds)}, {pairs}) AS (threshold, topics)"))
+    rows = counts.select(*by, "total", F.expr(f"stack({len(thresholds)}, {pairs}) AS (threshold, topics)"))
     pct = F.round(F.try_divide(F.col("topics") * 100.0, F.col("total")), 1)
-    return rows.select("threshold", "topics", F.coalesce(pct, F.lit(0.0)).alias("pct"))
+    return rows.select(*by, "threshold", "topics", F.coalesce(pct, F.lit(0.0)).alias("pct"))
 
 
 def weight_ablation(reviewed: DataFrame, weights: Sequence[tuple[float, float]] = WEIGHT_GRID) -> DataFrame:
@@ -267,9 +269,9 @@ def similarity_matrix_head(new: DataFrame, old: DataFrame, n: int = 30) -> DataF
     return topic_similarity(head(new).limit(size), head(old).limit(size))
 
 
-def deprecated_topics(records: DataFrame) -> DataFrame:
+def deprecated_topics(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     gone = records.where((F.col("evolution_type") == "Disappeared") & F.col("matched_old_topic_id").isNotNull())
-    return gone.select(F.col("matched_old_topic_id").alias("topic"))
+    return gone.select(*by, F.col("matched_old_topic_id").alias("topic"))
 
 
 def evolution_examples(

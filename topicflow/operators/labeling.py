@@ -62,34 +62,39 @@ def ring_name(ring: Column) -> Column:
 
 
 def ring_samples(
-    distances: DataFrame, docs: DataFrame, bounds: tuple[float, float], config: RingConfig = _DEFAULTS,
-    key: str = "doc_id", text: str = "text_clean", seed: int = RANDOM_SEED,
+    distances: DataFrame, docs: DataFrame, bounds: tuple[Column | float, Column | float], config: RingConfig = _DEFAULTS,
+    key: str = "doc_id", text: str = "text_clean", seed: int = RANDOM_SEED, by: Sequence[str] = (),
 ) -> DataFrame:
-    """``topic, ring, name, total_docs, sample_docs`` for every ring that has documents."""
+    """``topic, ring, name, total_docs, sample_docs`` for every ring that has documents.
+
+    ``bounds`` are two numbers, or two columns of ``distances`` when every slice has its own.
+    """
     ringed = distances.withColumn("ring", assign_ring(F.col("distance"), *bounds)).where("ring IS NOT NULL")
-    totals = ringed.groupBy("topic", "ring").agg(F.count("*").alias("total_docs"))
+    totals = ringed.groupBy(*by, "topic", "ring").agg(F.count("*").alias("total_docs"))
     hashed = ringed.withColumn("__h", hash_key(key, seed))
-    drawn = top_k_per_group(hashed, ["topic", "ring"], [F.col("__h"), F.col(key)], max(config.sizes), key, "place")
+    drawn = top_k_per_group(hashed, [*by, "topic", "ring"], [F.col("__h"), F.col(key)], max(config.sizes), key, "place")
     wanted = F.element_at(F.array(*[F.lit(n) for n in config.sizes]), F.col("ring"))
     drawn = drawn.where(F.col("place") <= wanted).join(docs.select(key, F.col(text).alias("doc")), key)
-    lists = drawn.groupBy("topic", "ring").agg(F.sort_array(F.collect_list(F.struct("place", key, "doc"))).alias("s"))
-    joined = totals.join(lists, ["topic", "ring"], "left")
+    lists = drawn.groupBy(*by, "topic", "ring").agg(F.sort_array(F.collect_list(F.struct("place", key, "doc"))).alias("s"))
+    joined = totals.join(lists, [*by, "topic", "ring"], "left")
     empty = F.array().cast("array<string>")
     return joined.select(
-        "topic", "ring", ring_name(F.col("ring")).alias("name"), "total_docs",
+        *by, "topic", "ring", ring_name(F.col("ring")).alias("name"), "total_docs",
         F.coalesce(F.col(f"s.{key}"), F.array().cast("array<long>")).alias("sample_ids"),
         F.coalesce(F.col("s.doc"), empty).alias("sample_docs"),
     )
 
 
-def label_prompts(words: DataFrame, samples: DataFrame, n_words: int = 15, doc_chars: int = 200) -> DataFrame:
+def label_prompts(
+    words: DataFrame, samples: DataFrame, n_words: int = 15, doc_chars: int = 200, by: Sequence[str] = ()
+) -> DataFrame:
     """Per topic: its key words and the ring section, ready for an external model."""
     lines = F.transform("sample_docs", lambda d: F.format_string(DOC_LINE, F.substring(d, 1, doc_chars)))
     section = F.concat(F.format_string(RING_HEADER, F.upper("name"), F.col("total_docs")), F.array_join(lines, ""))
-    rings = samples.groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("ring", section.alias("s")))).alias("r"))
-    keyed = topic_words_row(words, n_words).select("topic", F.array_join("words", ", ").alias("keywords"))
-    joined = keyed.where(F.col("topic") != NOISE).join(rings, "topic", "left")
-    return joined.select("topic", "keywords", F.coalesce(F.array_join("r.s", ""), F.lit("")).alias("rings"))
+    rings = samples.groupBy(*by, "topic").agg(F.sort_array(F.collect_list(F.struct("ring", section.alias("s")))).alias("r"))
+    keyed = topic_words_row(words, n_words, by).select(*by, "topic", F.array_join("words", ", ").alias("keywords"))
+    joined = keyed.where(F.col("topic") != NOISE).join(rings, [*by, "topic"], "left")
+    return joined.select(*by, "topic", "keywords", F.coalesce(F.array_join("r.s", ""), F.lit("")).alias("rings"))
 
 
 def inherited_labels(table: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,27 +82,22 @@ def _broadcast_search(queries: DataFrame, items: DataFrame, k: int, exclude_self
     table = items.select("id", "vec", "grp").toArrow()
     if table.num_rows == 0:
         return spark.createDataFrame([], _RESULT)
-    ids = table.column("id").to_numpy()
+    groups = table.column("grp").combine_chunks().dictionary_encode()
     shared = spark.sparkContext.broadcast(
-        (ids, unit(as_matrix(table.column("vec"))), np.asarray(table.column("grp").to_pylist(), dtype=object))
+        (table.column("id").to_numpy(), unit(as_matrix(table.column("vec"))), groups.dictionary, np.asarray(groups.indices))
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, matrix, groups = shared.value
-        grouped = len(set(groups)) > 1
+        known, matrix, names, igroup = shared.value
         for batch in batches:
+            qgroup = pc.fill_null(pc.index_in(batch.column("grp"), value_set=names.cast(batch.column("grp").type)), -1)
+            batch = batch.filter(pc.not_equal(qgroup, -1))  # a group without items has no neighbours
             if batch.num_rows == 0:
                 continue
-            qgroup = np.asarray(batch.column("grp").to_pylist(), dtype=object)
-            if not grouped and (qgroup != groups[0]).any():
-                mask = pa.array(qgroup == groups[0])
-                batch = batch.filter(mask)
-                if batch.num_rows == 0:
-                    continue
-                qgroup = qgroup[np.asarray(mask)]
+            grouped = len(names) > 1
             found = _search_block(
                 batch.column("id").to_numpy(), unit(as_matrix(batch.column("vec"))), known, matrix, k, exclude_self,
-                qgroup if grouped else None, groups if grouped else None,
+                np.asarray(qgroup.filter(pc.not_equal(qgroup, -1))) if grouped else None, igroup if grouped else None,
             )
             yield pa.RecordBatch.from_pandas(found, schema=_ARROW_RESULT, preserve_index=False)
 
@@ -111,10 +107,17 @@ def _broadcast_search(queries: DataFrame, items: DataFrame, k: int, exclude_self
 _ARROW_RESULT = pa.schema([("qid", pa.int64()), ("iid", pa.int64()), ("sim", pa.float64())])
 
 
-def _search_cells(visits: DataFrame, items: DataFrame, k: int, exclude_self: bool, rows: int) -> DataFrame:
-    """Search every visited cell; both sides of a cell are cut into blocks of about ``rows`` rows."""
+def _search_cells(
+    visits: DataFrame, items: DataFrame, k: int, exclude_self: bool, rows: int, few_cells: bool = False
+) -> DataFrame:
+    """Search every visited cell; both sides of a cell are cut into blocks of about ``rows`` rows.
+
+    The sizes of pivot cells are a table of at most ``CELLS`` rows and are broadcast; with
+    ``few_cells=False`` Spark decides by its size.
+    """
     blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(float(rows)))).cast("int")
     sizes = items.groupBy("cell").agg(blocks.alias("nblk")).join(visits.groupBy("cell").agg(blocks.alias("nsalt")), "cell")
+    sizes = F.broadcast(sizes) if few_cells else sizes
     left = (
         visits.join(sizes, "cell")
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("nsalt")).cast("int"))
@@ -173,7 +176,7 @@ def _pivot_search(queries: DataFrame, items: DataFrame, k: int, exclude_self: bo
     for row in stats:
         radius[row["cell"]] = row["radius"]
 
-    first = materialize(_search_cells(asked.select("id", "vec", "cell"), shelved, k, exclude_self, rows), "first")
+    first = materialize(_search_cells(asked.select("id", "vec", "cell"), shelved, k, exclude_self, rows, True), "first")
     reach = first.groupBy("qid").agg(F.min("sim").alias("worst"), F.count("*").alias("found"))
     bounded = asked.join(reach, asked["id"] == reach["qid"], "left").select(
         "id", "vec", "cell", F.when(F.col("found") >= k, F.col("worst")).alias("worst")
@@ -199,7 +202,7 @@ def _pivot_search(queries: DataFrame, items: DataFrame, k: int, exclude_self: bo
                 )
 
     visits = materialize(bounded.mapInArrow(widen, "id long, vec array<double>, cell int"), "visits")
-    second = _search_cells(visits, shelved, k, exclude_self, rows)
+    second = _search_cells(visits, shelved, k, exclude_self, rows, True)
     return _merge(first.unionByName(second), k)
 
 

@@ -8,39 +8,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ABLATION_THRESHOLDS, NOISE, RANDOM_SEED, OutlierThresholds
-from ..functions.scale import hash_key
+from ..functions.scale import explode_once, hash_key
 from .neighbours import nearest
 from .topics import topic_words_row, vocabulary_tokens, word_ngrams
 
 _DEFAULTS = OutlierThresholds()
 
 
-def ctfidf_scores(docs: DataFrame, topics: DataFrame, ctfidf: DataFrame, text: str = "text_lemm", key: str = "doc_id") -> DataFrame:
+def ctfidf_scores(
+    docs: DataFrame, topics: DataFrame, ctfidf: DataFrame, text: str = "text_lemm", key: str = "doc_id", by: Sequence[str] = ()
+) -> DataFrame:
     """Best topic of each noise document by cosine of document and topic class TF-IDF: ``key, best, score``.
 
     A document vector weighs its term counts with the weights the topics use, ln(1 + A / f). The
     product of the sparse tables is summed per (document, topic) before and after the shuffle. A
-    document without any known term is absent.
+    document without any known term is absent. With ``by``, documents only meet topics of their
+    own slice.
     """
+    by = list(by)
     noise = topics.where(F.col("topic") == NOISE).select(key)
-    tokens = docs.select(key, vocabulary_tokens(F.col(text)).alias("w")).join(noise, key, "left_semi")
-    tf = tokens.select(key, F.explode(word_ngrams(F.col("w"))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    tokens = docs.select(key, *by, vocabulary_tokens(F.col(text)).alias("w")).join(noise, key, "left_semi")
+    tf = explode_once(tokens, [key, *by], word_ngrams(F.col("w")), "term").groupBy(key, *by, "term").agg(F.count("*").alias("n"))
     # the weight of a term is the same in every topic: score / (tf / words)
-    lengths = ctfidf.groupBy("topic").agg(F.sum("tf").alias("words"))
-    weights = ctfidf.join(lengths, "topic")
+    lengths = ctfidf.groupBy(*by, "topic").agg(F.sum("tf").alias("words"))
+    weights = ctfidf.join(lengths, [*by, "topic"])
     idf = F.max(F.col("score") * F.col("words") / F.col("tf"))
     real = F.col("topic") != NOISE
-    pairs = F.collect_list(F.when(real, F.struct("topic", "score")))
-    terms = weights.groupBy("term").agg(idf.alias("idf"), pairs.alias("topics"))
-    weighted = tf.join(terms, "term").select(key, (F.col("n") * F.col("idf")).alias("w"), "topics")
-    norms = ctfidf.where(real).groupBy("topic").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("topic_norm"))
+    pairs = F.collect_list(F.when(real, F.struct("topic", "score")))  # one entry per topic
+    terms = weights.groupBy(*by, "term").agg(idf.alias("idf"), pairs.alias("topics"))
+    weighted = tf.join(terms, [*by, "term"]).select(key, *by, (F.col("n") * F.col("idf")).alias("w"), "topics")
+    norms = ctfidf.where(real).groupBy(*by, "topic").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("topic_norm"))
     dots = (
-        weighted.select(key, "w", F.explode_outer("topics").alias("t"))
-        .groupBy(key, F.col("t.topic").alias("topic"))
+        weighted.select(key, *by, "w", F.explode_outer("topics").alias("t"))
+        .groupBy(key, *by, F.col("t.topic").alias("topic"))
         .agg(F.sum(F.col("w") * F.col("t.score")).alias("dot"))
     )
     doc_norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("doc_norm"))
-    scored = dots.where("topic IS NOT NULL").join(norms, "topic")
+    scored = dots.where("topic IS NOT NULL").join(norms, [*by, "topic"])
     # the document norm is the same for all topics of a document, so it can wait until the best is known
     best = scored.select(key, "topic", (F.col("dot") / F.col("topic_norm")).alias("s")).groupBy(key).agg(
         F.max(F.struct(F.round("s", 10).alias("s"), (-F.col("topic")).alias("neg"))).alias("b")
@@ -52,13 +56,13 @@ def ctfidf_scores(docs: DataFrame, topics: DataFrame, ctfidf: DataFrame, text: s
 
 
 def embedding_scores(
-    emb: DataFrame, topics: DataFrame, centroids: DataFrame, key: str = "doc_id", **options: int
+    emb: DataFrame, topics: DataFrame, centroids: DataFrame, key: str = "doc_id", by: str | None = None, **options: int
 ) -> DataFrame:
     """Nearest real centroid of each noise document by cosine: ``key, best, score``."""
     noise = topics.where(F.col("topic") == NOISE).select(key)
-    queries = emb.select(key, "embedding").join(noise, key, "left_semi")
+    queries = emb.select(key, *([by] if by else []), "embedding").join(noise, key, "left_semi")
     real = centroids.where(F.col("topic") != NOISE)
-    found = nearest(queries, real, 1, key, "topic", "embedding", "centroid", **options)
+    found = nearest(queries, real, 1, key, "topic", "embedding", "centroid", by=by, **options)
     return found.select(F.col("qid").alias(key), F.col("iid").cast("int").alias("best"), F.col("sim").alias("score"))
 
 
@@ -66,45 +70,46 @@ def reassign(topics: DataFrame, scores: DataFrame, threshold: float, key: str =
     """Noise documents whose best score is positive and reaches the threshold take that topic."""
     joined = topics.join(scores, key, "left")
     moved = (F.col("topic") == NOISE) & (F.col("score") >= threshold) & (F.col("score") > 0)
-    return joined.select(key, F.when(moved, F.col("best")).otherwise(F.col("topic")).alias("topic"))
+    others = [c for c in topics.columns if c not in (key, "topic")]
+    return joined.select(key, *others, F.when(moved, F.col("best")).otherwise(F.col("topic")).alias("topic"))
 
 
 def reduce_outliers_ctfidf(
     docs: DataFrame, topics: DataFrame, ctfidf: DataFrame, threshold: float = _DEFAULTS.ctfidf,
-    text: str = "text_lemm", key: str = "doc_id",
+    text: str = "text_lemm", key: str = "doc_id", by: Sequence[str] = (),
 ) -> DataFrame:
-    return reassign(topics, ctfidf_scores(docs, topics, ctfidf, text, key), threshold, key)
+    return reassign(topics, ctfidf_scores(docs, topics, ctfidf, text, key, by), threshold, key)
 
 
 def reduce_outliers_embedding(
     emb: DataFrame, topics: DataFrame, centroids: DataFrame, threshold: float = _DEFAULTS.embedding,
-    key: str = "doc_id", **options: int,
+    key: str = "doc_id", by: str | None = None, **options: int,
 ) -> DataFrame:
-    return reassign(topics, embedding_scores(emb, topics, centroids, key, **options), threshold, key)
+    return reassign(topics, embedding_scores(emb, topics, centroids, key, by, **options), threshold, key)
 
 
-def assignment_steps(before: DataFrame, step1: DataFrame, step2: DataFrame, key: str = "doc_id") -> DataFrame:
+def assignment_steps(before: DataFrame, step1: DataFrame, step2: DataFrame, key: str = "doc_id", by: Sequence[str] = ()) -> DataFrame:
     """The three assignments side by side."""
     name = lambda df, n: df.select(key, F.col("topic").alias(n))
-    return name(before, "t0").join(name(step1, "t1"), key).join(name(step2, "t2"), key)
+    return before.select(key, *by, F.col("topic").alias("t0")).join(name(step1, "t1"), key).join(name(step2, "t2"), key)
 
 
 def reassignment_report(
-    before: DataFrame, step1: DataFrame, step2: DataFrame, key: str = "doc_id", warn_share: float = 0.30
+    before: DataFrame, step1: DataFrame, step2: DataFrame, key: str = "doc_id", warn_share: float = 0.30, by: Sequence[str] = ()
 ) -> DataFrame:
     """Noise before and after, documents moved per step, and whether one topic took too many."""
-    steps = assignment_steps(before, step1, step2, key)
+    steps = assignment_steps(before, step1, step2, key, by)
     is_noise = lambda c: F.col(c) == NOISE
     moved = is_noise("t0") & ~is_noise("t2")
     # one row per receiving topic, then totals: the second aggregation sees topics, not documents
-    cells = steps.groupBy(F.when(moved, F.col("t2")).alias("to")).agg(
+    cells = steps.groupBy(*by, F.when(moved, F.col("t2")).alias("to")).agg(
         F.count("*").alias("docs"), F.count_if(is_noise("t0")).alias("n0"), F.count_if(is_noise("t1")).alias("n1"),
         F.count_if(is_noise("t2")).alias("n2"),
     )
     received = F.col("to").isNotNull()
     ratio = lambda c: F.try_divide(F.sum(c), F.sum("docs"))
     top = F.try_divide(F.max(F.when(received, F.col("docs"))), F.sum(F.when(received, F.col("docs"))))
-    return cells.agg(
+    return cells.groupBy(*by).agg(
         ratio("n0").alias("noise_before"),
         ratio("n1").alias("noise_step1"),
         ratio("n2").alias("noise_after"),
@@ -118,17 +123,18 @@ def reassignment_report(
     )
 
 
-def receiving_topics(before: DataFrame, after: DataFrame, key: str = "doc_id") -> DataFrame:
+def receiving_topics(before: DataFrame, after: DataFrame, key: str = "doc_id", by: Sequence[str] = ()) -> DataFrame:
     """Documents each topic received from noise, with their share; most first."""
-    steps = assignment_steps(before, before, after, key)
+    steps = assignment_steps(before, before, after, key, by)
     moved = steps.where((F.col("t0") == NOISE) & (F.col("t2") != NOISE))
-    counts = moved.groupBy(F.col("t2").alias("topic")).agg(F.count("*").alias("docs"))
-    share = F.col("docs") / F.sum("docs").over(Window.partitionBy(F.lit(1)))  # one row per topic
-    return counts.withColumn("share", share).orderBy(F.desc("docs"), "topic")
+    counts = moved.groupBy(*by, F.col("t2").alias("topic")).agg(F.count("*").alias("docs"))
+    share = F.col("docs") / F.sum("docs").over(Window.partitionBy(*(by or [F.lit(1)])))  # one row per topic
+    return counts.withColumn("share", share).orderBy(*by, F.desc("docs"), "topic")
 
 
 def threshold_ablation(
-    topics: DataFrame, scores: DataFrame, thresholds: Sequence[float] = ABLATION_THRESHOLDS, key: str = "doc_id"
+    topics: DataFrame, scores: DataFrame, thresholds: Sequence[float] = ABLATION_THRESHOLDS, key: str = "doc_id",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Noise, classified and reassigned counts for every threshold, from one pass over the scores.
 
@@ -139,15 +145,15 @@ def threshold_ablation(
     joined = topics.join(scores.select(key, "score"), key, "left")
     is_noise = F.col("topic") == NOISE
     reached = sum((F.when((F.col("score") >= t) & (F.col("score") > 0), 1).otherwise(0) for t in limits), F.lit(0))
-    counts = joined.groupBy(F.when(is_noise, reached).alias("reached")).agg(F.count("*").alias("n"))
+    counts = joined.groupBy(*by, F.when(is_noise, reached).alias("reached")).agg(F.count("*").alias("n"))
     table = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.lit(i + 1).alias("need")) for i, t in enumerate(limits)])
-    spread = counts.select("reached", "n", F.explode(table).alias("t"))
+    spread = counts.select(*by, "reached", "n", F.explode(table).alias("t"))
     stays = F.sum(F.when(F.col("reached") < F.col("t.need"), F.col("n")).otherwise(0))
     moves = F.sum(F.when(F.col("reached") >= F.col("t.need"), F.col("n")).otherwise(0))
-    out = spread.groupBy(F.col("t.threshold").alias("threshold")).agg(
+    out = spread.groupBy(*by, F.col("t.threshold").alias("threshold")).agg(
         (stays / F.sum("n")).alias("noise_ratio"), moves.alias("reassigned")
     )
-    return out.withColumn("classified_ratio", 1 - F.col("noise_ratio")).orderBy("threshold")
+    return out.withColumn("classified_ratio", 1 - F.col("noise_ratio")).orderBy(*by, "threshold")
 
 
 METRICS = ("num_topics", "noise_ratio", "classified_ratio", "cv_coherence", "topic_diversity", "dbcv_score")

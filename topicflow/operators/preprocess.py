@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scale import explode_once
 from ..functions.text import STOP_WORDS, clean_text, tokenize
 
 BROADCAST_FORMS = 1_000_000
@@ -50,7 +51,7 @@ def lemmatize(
         replace = _lookup(head.column("form").combine_chunks(), head.column("lemma").combine_chunks(), spark)
         return df.withColumn(tokens, replace(F.col(tokens)))
     rows = df.repartition(id_col)
-    exploded = rows.select(id_col, F.posexplode(tokens).alias("pos", "form"))
+    exploded = rows.select(id_col, F.posexplode_outer(tokens).alias("pos", "form")).where("form IS NOT NULL")
     named = exploded.join(forms, "form", "left").select(
         id_col, F.struct("pos", F.coalesce("lemma", "form").alias("lemma")).alias("item")
     )
@@ -73,10 +74,11 @@ def preprocess_posts(
     out = df.withColumn("text_clean", clean_text(F.col("text")))
     tokens = tokenize(F.col("text_clean"), stop_words, min_len)
     if drop_blank:
-        # a list of no or one token list: blank rows vanish without computing the tokens twice,
-        # as a filter pushed below the projection would
-        tokens = F.explode(F.filter(F.array(tokens), lambda t: F.size(t) > 0))
-    out = out.select(*keep, "text_clean", tokens.alias("tokens"))
+        # no or one token list per row: blank rows vanish without computing the tokens twice, as a
+        # filter pushed below the projection would
+        out = explode_once(out, [*keep, "text_clean"], F.filter(F.array(tokens), lambda t: F.size(t) > 0), "tokens")
+    else:
+        out = out.select(*keep, "text_clean", tokens.alias("tokens"))
     if lemmas is not None:
         out = lemmatize(out, lemmas, keep[0])
     out = out.withColumn("text_lemm", F.array_join("tokens", " "))

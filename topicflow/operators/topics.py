@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NOISE
-from ..functions.scale import next_in_group, top_k_per_group
+from ..functions.scale import explode_once, next_in_group, top_k_per_group
 from ..functions.text import ARTIFACT_WORDS
 from ..session import materialize
 
@@ -47,9 +47,10 @@ def term_counts(
     next; ``join_documents=False`` leaves those out.
     """
     group = [*by, "topic"]
-    tokens = docs.select(key, *by, vocabulary_tokens(F.col(text), stop_words).alias("w")).where(F.size("w") > 0)
+    filled = F.filter(F.array(vocabulary_tokens(F.col(text), stop_words)), lambda w: F.size(w) > 0)
+    tokens = explode_once(docs, [key, *by], filled, "w")
     labelled = tokens.join(topics.select(key, "topic"), key)
-    terms = labelled.select(*group, F.explode(word_ngrams(F.col("w"))).alias("term"))
+    terms = explode_once(labelled, group, word_ngrams(F.col("w")), "term")
     if join_documents:
         ends = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
         linked = next_in_group(ends, group, key, "head", "next_head").where("next_head IS NOT NULL")
@@ -125,9 +126,9 @@ def topic_info(topics: DataFrame, words: DataFrame | None = None, by: Sequence[s
     return named.select(*by, "topic", "count", name.alias("name")).orderBy(*by, F.desc("count"), "topic")
 
 
-def largest_topics(topics: DataFrame, k: int = 6) -> DataFrame:
-    real = topics.where(F.col("topic") != NOISE).groupBy("topic").agg(F.count("*").alias("count"))
-    return real.orderBy(F.desc("count"), "topic").limit(k)
+def largest_topics(topics: DataFrame, k: int = 6, by: Sequence[str] = ()) -> DataFrame:
+    real = topics.where(F.col("topic") != NOISE).groupBy(*by, "topic").agg(F.count("*").alias("count"))
+    return top_k_per_group(real, by, [F.desc("count"), F.asc("topic")], k, "topic")
 
 
 def noise_ratio(topics: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -32,11 +32,9 @@ _TERM_PARTS = """
 
 _HASHED = f"""
     , words1 AS MATERIALIZED (SELECT conv_id * 1000 + turn AS doc_id, {S.tokens(S.clean('text'), (), 1)} AS w FROM conversations),
-    tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM ({_TERM_PARTS}) GROUP BY doc_id, term),
-    cells AS (SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS dim,
-                     sum(tf * (ln((total + 1) / (docs + 1)::DOUBLE) + 1) * ((('0x' || substr(md5(term), 9, 8))::BIGINT % 2) * 2 - 1)) AS v
-              FROM tf JOIN (SELECT term, count(*) AS docs FROM tf GROUP BY term) USING (term), (SELECT count(*) AS total FROM words1)
-              GROUP BY 1, 2),
+    occ AS MATERIALIZED (SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT AS n FROM ({_TERM_PARTS})),
+    idf AS (SELECT n % 262144 AS bucket, ln(((SELECT count(*) FROM words1) + 1) / (count(DISTINCT doc_id) + 1)::DOUBLE) + 1 AS idf FROM occ GROUP BY 1),
+    cells AS (SELECT doc_id, n % 64 AS dim, sum(idf * (((n >> 18) % 2) * 2 - 1)) AS v FROM occ JOIN idf ON bucket = n % 262144 GROUP BY 1, 2),
     norms AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM cells GROUP BY doc_id)"""
 
 
@@ -293,7 +291,7 @@ def _(v):
 
 @query("density_cluster")
 def _(v):
-    return clustering.density_cluster(v.emb, 10, 5, eps_quantile=0.8)
+    return clustering.density_cluster(v.emb, 10, 5)
 
 
 _LINKED = """
