@@ -81,7 +81,9 @@ def _(v):
     return rounded(inference_log.read_inference_log(log, _NOW, 7).select(stamp("predicted_at"), "probability", F.col("topic_id").cast("double").alias("topic_id")))
 
 
-@query("write_artifacts")
+@query("write_artifacts", """
+    SELECT format, count(*) AS n, sum(len(tokens))::BIGINT AS tokens, sum(length(text_clean))::BIGINT AS chars
+    FROM prep, (SELECT unnest(['parquet', 'csv', 'json']) AS format) GROUP BY format""", "prep")
 def _(v):
     """Rows and cell sums after a round trip through each format."""
     table = v.prep.select("post_id", "channel", "tokens", "text_clean")

@@ -49,7 +49,7 @@ def _(v):
     return long.select("doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 4).alias("value"))
 
 
-@query("embed_texts_encoder")
+@query("embed_texts_encoder", "SELECT post_id AS doc_id, 16 AS dims, CASE WHEN regexp_matches(lower(text), '[a-p]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM posts", "posts")
 def _(v):
     """A user encoder (letter frequencies): one unit vector per post."""
 
@@ -192,7 +192,7 @@ _MOVED = f"(SELECT doc_id, topic AS t0, CASE WHEN topic = -1 AND score >= 0.6 TH
 
 
 @query("update_topics", """
-    WITH moved AS MATERIALIZED (SELECT doc_id, CASE WHEN topic = -1 THEN doc_id % 20 ELSE topic END AS topic FROM ttopics),
+    WITH moved AS MATERIALIZED (SELECT doc_id, CASE WHEN topic = -1 THEN doc_id % 20 ELSE topic END::INT AS topic FROM ttopics),
     vt AS (SELECT v.doc_id, m.topic, tok, i FROM vtok v JOIN moved m ON v.doc_id = m.doc_id),
     tc2 AS MATERIALIZED (SELECT topic, term, count(*) AS tf FROM (
         SELECT topic, tok AS term FROM vt UNION ALL
@@ -289,26 +289,28 @@ def _(v):
     return rounded(clustering.reduce_dims(v.emb, 5).select("doc_id", F.posexplode("embedding").alias("dim", "value")), 4)
 
 
-@query("density_cluster")
-def _(v):
-    return clustering.density_cluster(v.emb, 10, 5)
-
-
 _LINKED = """
     edges AS MATERIALIZED (
         SELECT src, dst FROM (SELECT k.doc_id AS src, k.neighbour_id AS dst, greatest(a.core, b.core, round(1 - similarity, 10)) AS reach
-            FROM knn k JOIN core a ON a.doc_id = k.doc_id JOIN core b ON b.doc_id = k.neighbour_id) WHERE reach <= 0.45),
+            FROM knn k JOIN core a ON a.doc_id = k.doc_id JOIN core b ON b.doc_id = k.neighbour_id WHERE k.rank <= {depth}) WHERE reach <= {eps}),
     both_ways AS MATERIALIZED (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
-    walk(id, seen) AS (SELECT src, src FROM both_ways UNION SELECT w.id, b.dst FROM walk w JOIN both_ways b ON b.src = w.seen)"""
+    walk(id, seen) AS (SELECT src, src FROM both_ways UNION SELECT w.id, b.dst FROM walk w JOIN both_ways b ON b.src = w.seen),
+    parts AS (SELECT id, min(seen) AS component FROM walk GROUP BY id)"""
 
 
-@query("connected_components", f""", {_LINKED}
-    SELECT id, min(seen) AS component FROM walk GROUP BY id""", "knn core")
+@query("connected_components", f", {_LINKED.format(depth=10, eps=0.45)} SELECT id, component FROM parts", "knn core")
 def _(v):
     near = clustering.mutual_reachability(v.knn, 5).where("reach <= 0.45")
     return clustering.connected_components(near)
 
 
+@query("density_cluster", f""", {_LINKED.format(depth=5, eps="(SELECT quantile_disc(core, 0.9) FROM core)")},
+    numbered AS (SELECT component, row_number() OVER (ORDER BY count(*) DESC, component) - 1 AS topic FROM parts GROUP BY component HAVING count(*) >= 10)
+    SELECT doc_id, coalesce(topic, -1)::INT AS topic FROM emb LEFT JOIN parts ON id = doc_id LEFT JOIN numbered USING (component)""", "emb knn core")
+def _(v):
+    return clustering.density_cluster(v.emb, 10, 5)
+
+
 @query("fit_topics")
 def _(v):
     """Text and vectors of the same ids, clustered and described; top words of the found topics."""
@@ -328,7 +330,25 @@ def _(v):
     return rounded(quality.dbcv(v.emb, v.topics), 4)
 
 
-@query("coherence_cv")
+@query("coherence_cv", """
+    , real AS MATERIALIZED (SELECT DISTINCT topic, word FROM words WHERE topic <> -1),
+    toks AS (SELECT doc_id, string_split(text_lemm, ' ') AS w FROM docs),
+    occ AS MATERIALIZED (SELECT doc_id, word, pos, greatest(1, n - 109) AS total FROM (
+        SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos, len(w) AS n FROM toks) WHERE word IN (SELECT word FROM real)),
+    hits AS MATERIALIZED (SELECT DISTINCT doc_id, word, unnest(range(greatest(0, pos - 109), least(pos, total - 1) + 1)) AS start FROM occ),
+    size AS (SELECT sum(total)::DOUBLE AS windows FROM (SELECT DISTINCT doc_id, total FROM occ)),
+    single AS MATERIALIZED (SELECT word, count(*) / any_value(windows) AS p FROM hits, size GROUP BY word),
+    pairs AS (SELECT DISTINCT a.word AS a, b.word AS b FROM real a JOIN real b ON a.topic = b.topic AND a.word < b.word),
+    both AS MATERIALIZED (SELECT a, b, count(*) / any_value(windows) AS p FROM pairs JOIN hits x ON x.word = a
+        JOIN hits y ON y.word = b AND y.doc_id = x.doc_id AND y.start = x.start, size GROUP BY a, b),
+    known AS MATERIALIZED (SELECT topic, word, p, count(*) OVER (PARTITION BY topic) AS k FROM real JOIN single USING (word)),
+    npmi AS MATERIALIZED (SELECT topic, x, y, ln((p + 1e-12) / (px * py)) / -ln(p + 1e-12) AS v FROM (
+        SELECT l.topic, l.word AS x, r.word AS y, l.p AS px, r.p AS py, CASE WHEN l.word = r.word THEN l.p ELSE coalesce(b.p, 0) END AS p
+        FROM known l JOIN known r ON l.topic = r.topic AND l.k >= 2 LEFT JOIN both b ON b.a = least(l.word, r.word) AND b.b = greatest(l.word, r.word))),
+    centre AS (SELECT topic, y, sum(v) AS s FROM npmi GROUP BY topic, y)
+    SELECT topic, round(avg(c), 4) AS cv FROM (
+        SELECT topic, x, sum(v * s) / (sqrt(sum(v * v)) * sqrt(sum(s * s))) AS c FROM npmi JOIN centre USING (topic, y) GROUP BY topic, x) GROUP BY topic
+    """, "words docs")
 def _(v):
     return rounded(quality.coherence_cv(v.docs, v.words, per_topic=True), 4)
 

@@ -70,7 +70,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         GROUP BY topic, term"""),
     "vocab": (("tc",), """
         SELECT topic, term, tf, f FROM tc JOIN (
-            SELECT term, count(*) AS df, sum(tf) AS f FROM tc GROUP BY term
+            SELECT term, count(*) AS df, sum(tf)::BIGINT AS f FROM tc GROUP BY term
             HAVING count(*) <= 0.85 * (SELECT count(DISTINCT topic) FROM tc)
             ORDER BY f DESC, term LIMIT 30000) USING (term)"""),
     "ctf": (("vocab",), """
