@@ -54,6 +54,13 @@ def test_best_matches_equal_the_full_matrix(spark, seed):
     assert got == full_best(new, old, wn, wo)
 
 
+def test_compare_models_end_to_end(spark, views):
+    got = evolution.compare_models(views.centroids, views.old_centroids, views.new_words, views.old_words, views.verdicts)
+    kinds = {(r.new_topic_id, r.evolution_type, r.matched_old_topic_id, r.inherited_topic_id) for r in got.collect()}
+    stable = {(t, "Stable", t, t) for t in (0, 1, 4, 6, 7, 8)}
+    assert kinds == stable | {(2, "Merged", 2, 2), (3, "Merged", 2, 2), (5, "Emerged", None, 9), (9, "Emerged", None, 10), (None, "Disappeared", 5, None)}
+
+
 def test_equal_scores_take_the_lowest_id(spark):
     new, old = {0: [1, 0], 1: [0, 1]}, {3: [1, 0], 5: [1, 0], 8: [0, 1]}
     empty = words(spark, {0: ["x"]})

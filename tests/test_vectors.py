@@ -200,3 +200,17 @@ def test_coherence_equals_its_definition(spark):
     assert abs(got - plain_cv(texts, topics, 6)) < 1e-9
     none = quality.coherence_cv(docs, words.where("topic = 2"), window=6).first().cv_coherence
     assert none != none
+
+
+@pytest.mark.parametrize("channels", [1, 2, 30])
+def test_cross_channel_pairs(spark, channels):
+    """One channel may hold nearly everything; then all rows are searched."""
+    from topicflow.operators.embeddings import cross_channel_pairs
+
+    rows = [(i, f"c{i % channels if i % 50 == 0 else 0}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, channel string")
+    import hashlib
+
+    order = sorted(rows, key=lambda r: hashlib.md5(f"{r[0]}|42".encode()).hexdigest())
+    want = [(a[0], b[0]) for a, b in zip(order[::2], order[1::2]) if a[1] != b[1]][:12]
+    assert sorted((r.a, r.b) for r in cross_channel_pairs(df, 12).collect()) == sorted(want)

@@ -38,18 +38,22 @@ def word_ngrams(tokens: Column) -> Column:
 
 
 def term_counts(
-    docs: DataFrame, topics: DataFrame, text: str = "text_lemm", key: str = "doc_id", by: Sequence[str] = (),
+    docs: DataFrame, topics: DataFrame | None, text: str = "text_lemm", key: str = "doc_id", by: Sequence[str] = (),
     stop_words: Sequence[str] = ARTIFACT_WORDS, join_documents: bool = True,
 ) -> DataFrame:
     """``topic, term, tf`` over the texts of each topic, joined in id order.
 
+    Without ``topics`` the texts carry a ``topic`` column, which saves moving them for a join.
+
     Joining texts makes one more word pair between the end of a document and the start of the
     next; ``join_documents=False`` leaves those out.
     """
     group = [*by, "topic"]
     filled = F.filter(F.array(vocabulary_tokens(F.col(text), stop_words)), lambda w: F.size(w) > 0)
-    tokens = explode_once(docs, [key, *by], filled, "w")
-    labelled = tokens.join(topics.select(key, "topic"), key)
+    if topics is None:
+        labelled = explode_once(docs, [key, *group], filled, "w")
+    else:
+        labelled = explode_once(docs, [key, *by], filled, "w").join(topics.select(key, "topic"), key)
     terms = explode_once(labelled, group, word_ngrams(F.col("w")), "term")
     if join_documents:
         ends = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
@@ -108,9 +112,12 @@ def topic_words_row(words: DataFrame, n: int = 10, by: Sequence[str] = ()) -> Da
     return picked.select(*by, "topic", F.col("w.word").alias("words"))
 
 
-def topic_centroids(emb: DataFrame, topics: DataFrame, key: str = "doc_id", by: Sequence[str] = ()) -> DataFrame:
-    """Mean vector per topic, noise included; one partial sum per topic leaves each map task."""
-    joined = emb.select(key, *by, "embedding").join(topics.select(key, "topic"), key)
+def topic_centroids(emb: DataFrame, topics: DataFrame | None, key: str = "doc_id", by: Sequence[str] = ()) -> DataFrame:
+    """Mean vector per topic, noise included; one partial sum per topic leaves each map task.
+
+    Without ``topics`` the vectors carry a ``topic`` column.
+    """
+    joined = emb if topics is None else emb.select(key, *by, "embedding").join(topics.select(key, "topic"), key)
     vectors = joined.select(*by, "topic", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
     means = vectors.groupBy(*by, "topic").agg(Summarizer.mean(F.col("v")).alias("m"))
     return means.select(*by, "topic", vector_to_array("m").alias("centroid"))
@@ -147,7 +154,7 @@ def topic_diversity(words: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def describe_topics(
-    docs: DataFrame, topics: DataFrame, text: str = "text_lemm", n: int = 10, by: Sequence[str] = (),
+    docs: DataFrame, topics: DataFrame | None, text: str = "text_lemm", n: int = 10, by: Sequence[str] = (),
     max_df: float = 0.85, max_features: int = 30_000,
 ) -> tuple[DataFrame, DataFrame]:
     """(class TF-IDF table, top words) of an assignment.

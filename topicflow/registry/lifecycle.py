@@ -80,7 +80,7 @@ _RECORDS = """new_topic_id::DOUBLE AS new_topic_id, evolution_type, matched_old_
 
 @query("evolution_taxonomy", f"SELECT {_RECORDS} FROM records", "records")
 def _(v):
-    return _flat_records(evolution.compare_models(v.centroids, v.old_centroids, v.new_words, v.old_words, v.verdicts))
+    return _flat_records(evolution.evolution_taxonomy(v.matches))
 
 
 @query("evolution_taxonomy_research", """

@@ -134,7 +134,7 @@ def _(v):
 
 @query("topic_top_words", "SELECT topic, rank, word, round(score, 8) AS score FROM words", "words")
 def _(v):
-    _, words = topics.describe_topics(v.docs, v.text_topics)
+    _, words = topics.describe_topics(v.topic_docs, None)
     return rounded(words.withColumn("rank", F.col("rank").cast("long")), 8)
 
 
@@ -306,7 +306,7 @@ def _(v):
 
 @query("density_cluster", f""", {_LINKED.format(depth=5, eps="(SELECT quantile_disc(core, 0.9) FROM core)")},
     numbered AS (SELECT component, row_number() OVER (ORDER BY count(*) DESC, component) - 1 AS topic FROM parts GROUP BY component HAVING count(*) >= 10)
-    SELECT doc_id, coalesce(topic, -1)::INT AS topic FROM emb LEFT JOIN parts ON id = doc_id LEFT JOIN numbered USING (component)""", "emb knn core")
+    SELECT doc_id, coalesce(numbered.topic, -1)::INT AS topic FROM emb LEFT JOIN parts ON id = doc_id LEFT JOIN numbered USING (component)""", "emb knn core")
 def _(v):
     return clustering.density_cluster(v.emb, 10, 5)
 
@@ -339,12 +339,12 @@ def _(v):
     size AS (SELECT sum(total)::DOUBLE AS windows FROM (SELECT DISTINCT doc_id, total FROM occ)),
     single AS MATERIALIZED (SELECT word, count(*) / any_value(windows) AS p FROM hits, size GROUP BY word),
     pairs AS (SELECT DISTINCT a.word AS a, b.word AS b FROM real a JOIN real b ON a.topic = b.topic AND a.word < b.word),
-    both AS MATERIALIZED (SELECT a, b, count(*) / any_value(windows) AS p FROM pairs JOIN hits x ON x.word = a
+    twos AS MATERIALIZED (SELECT a, b, count(*) / any_value(windows) AS p FROM pairs JOIN hits x ON x.word = a
         JOIN hits y ON y.word = b AND y.doc_id = x.doc_id AND y.start = x.start, size GROUP BY a, b),
     known AS MATERIALIZED (SELECT topic, word, p, count(*) OVER (PARTITION BY topic) AS k FROM real JOIN single USING (word)),
     npmi AS MATERIALIZED (SELECT topic, x, y, ln((p + 1e-12) / (px * py)) / -ln(p + 1e-12) AS v FROM (
         SELECT l.topic, l.word AS x, r.word AS y, l.p AS px, r.p AS py, CASE WHEN l.word = r.word THEN l.p ELSE coalesce(b.p, 0) END AS p
-        FROM known l JOIN known r ON l.topic = r.topic AND l.k >= 2 LEFT JOIN both b ON b.a = least(l.word, r.word) AND b.b = greatest(l.word, r.word))),
+        FROM known l JOIN known r ON l.topic = r.topic AND l.k >= 2 LEFT JOIN twos b ON b.a = least(l.word, r.word) AND b.b = greatest(l.word, r.word))),
     centre AS (SELECT topic, y, sum(v) AS s FROM npmi GROUP BY topic, y)
     SELECT topic, round(avg(c), 4) AS cv FROM (
         SELECT topic, x, sum(v * s) / (sqrt(sum(v * v)) * sqrt(sum(s * s))) AS c FROM npmi JOIN centre USING (topic, y) GROUP BY topic, x) GROUP BY topic

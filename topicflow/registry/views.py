@@ -71,9 +71,14 @@ class Views:
         return top.select("form", F.substring("form", 1, 5).alias("lemma"))
 
     @cached_property
-    def text_topics(self) -> DataFrame:
+    def topic_docs(self) -> DataFrame:
+        """Texts with their topic: the channel number, and noise."""
         topic = F.when(F.col("doc_id") % 7 == 0, -1).otherwise(F.substring("channel", 4, 10).cast("int"))
-        return self.docs.select("doc_id", topic.alias("topic"))
+        return self.docs.withColumn("topic", topic)
+
+    @cached_property
+    def text_topics(self) -> DataFrame:
+        return self.topic_docs.select("doc_id", "topic")
 
     @cached_property
     def counts(self) -> DataFrame:

@@ -104,7 +104,7 @@ def append_delta(base: DataFrame, delta: DataFrame, key: str = "id_post", dedup:
     """Rows to add: only keys unknown to ``base``, each once (the newest); all rows for dedup=False."""
     if not dedup:
         return delta
-    fresh = delta.join(base.select(key).distinct(), key, "left_anti")
+    fresh = delta.join(base.select(key), key, "left_anti")
     columns = [c for c in delta.columns if c != key]
     # a repeated key keeps the smallest row by content, so the choice does not depend on file order
     newest = F.min(F.struct(*[F.col(c) for c in columns])).alias("__row")
