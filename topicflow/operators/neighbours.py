@@ -33,6 +33,7 @@ CELLS = 256
 _CHUNK = 1 << 22  # similarities held at a time
 _RESULT = "qid long, iid long, sim double"
 _SLACK = 1e-6
+_CELLS_PER_BLOCK = 4
 
 
 def _best_k(sims: np.ndarray, ids: np.ndarray, k: int, banned: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -131,16 +132,17 @@ def _search_cells(
         .select("cell", "blk", "salt", "id", "vec")
     )
 
-    def search(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or known.empty:
-            return pd.DataFrame({"qid": [], "iid": [], "sim": []})
-        return _search_block(
-            asked["id"].to_numpy(), unit(np.vstack(asked["vec"]).astype(np.float64)),
-            known["id"].to_numpy(), unit(np.vstack(known["vec"]).astype(np.float64)), k, exclude_self,
+    def search(asked: pa.Table, known: pa.Table) -> pa.Table:
+        if asked.num_rows == 0 or known.num_rows == 0:
+            return _ARROW_RESULT.empty_table()
+        found = _search_block(
+            asked.column("id").to_numpy(), unit(as_matrix(asked.column("vec"))),
+            known.column("id").to_numpy(), unit(as_matrix(known.column("vec"))), k, exclude_self,
         )
+        return pa.Table.from_pandas(found, schema=_ARROW_RESULT, preserve_index=False)
 
     keys = ["cell", "blk", "salt"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, _RESULT)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, _RESULT)
     return _merge(found, k)
 
 
@@ -241,7 +243,9 @@ def nearest(
     rows = max(1, block_bytes // width)
     if by:
         return _search_cells(asked.withColumnRenamed("grp", "cell"), known.withColumnRenamed("grp", "cell"), k, exclude_self, rows)
-    return _pivot_search(asked, known, k, exclude_self, rows, min(cells, size["n"]))
+    # a few cells per block: more would copy queries to many small cells when little can be pruned
+    wanted = _CELLS_PER_BLOCK * -(-size["n"] // rows)
+    return _pivot_search(asked, known, k, exclude_self, rows, min(cells, wanted, size["n"]))
 
 
 def knn_cosine(

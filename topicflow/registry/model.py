@@ -77,16 +77,7 @@ def _(v):
     return meta.select("num_docs", F.col("embedding_dim").cast("long").alias("embedding_dim"))
 
 
-@query("pair_similarity_gap", f"""
-    SELECT round(same_sim, 6) AS same_sim, round(diff_sim, 6) AS diff_sim, round(same_sim - diff_sim, 6) AS gap FROM (
-        SELECT avg(list_cosine_similarity(x.embedding, y.embedding)) AS same_sim FROM (
-            SELECT channel, (place - 1) // 2 AS pair, min_by(doc_id, place) AS a, max_by(doc_id, place) AS b FROM (
-                SELECT doc_id, channel, row_number() OVER (PARTITION BY channel ORDER BY {S.md5_key('doc_id')}, doc_id) AS place FROM emb) WHERE place <= 20
-            GROUP BY 1, 2 HAVING count(*) = 2 ORDER BY channel, pair LIMIT 300) p JOIN emb x ON x.doc_id = a JOIN emb y ON y.doc_id = b),
-    (SELECT avg(list_cosine_similarity(x.embedding, y.embedding)) AS diff_sim FROM (
-            SELECT place // 2 AS pair, min_by(doc_id, place) AS a, max_by(doc_id, place) AS b FROM (
-                SELECT doc_id, channel, row_number() OVER (ORDER BY {S.md5_key('doc_id')}, doc_id) - 1 AS place FROM emb)
-            GROUP BY 1 HAVING count(DISTINCT channel) = 2 ORDER BY pair LIMIT 300) p JOIN emb x ON x.doc_id = a JOIN emb y ON y.doc_id = b)""", "emb")
+@query("pair_similarity_gap", f"SELECT round(same_sim, 6) AS same_sim, round(diff_sim, 6) AS diff_sim, round(same_sim - diff_sim, 6) AS gap FROM ({S.gap('emb')})", "emb")
 def _(v):
     return rounded(embeddings.pair_similarity_gap(v.emb))
 
@@ -104,19 +95,21 @@ def _(v):
     return rounded(found.withColumn("rank", F.col("rank").cast("long")))
 
 
-_TSP = """SELECT count(*) FILTER (abs(date_diff('day', a.created_at, b.created_at)) <= 1) / ((SELECT count(*) FROM emb) * 10.0::DOUBLE) AS tsp
-    FROM knn JOIN emb a ON a.doc_id = knn.doc_id JOIN emb b ON b.doc_id = knn.neighbour_id"""
-
-
-@query("tsp_at_k", f"SELECT round(tsp, 6) AS tsp FROM ({_TSP})", "emb knn")
+@query("tsp_at_k", f"SELECT round(tsp, 6) AS tsp FROM ({S.tsp('emb', 'knn')})", "emb knn")
 def _(v):
     return rounded(embeddings.tsp_at_k(v.emb, 10))
 
 
-@query("embedder_comparison", f"SELECT model, round(tsp, 6) AS tsp, 64::BIGINT AS embedding_dim FROM (SELECT 'planted' AS model, tsp FROM ({_TSP}))", "emb knn")
+@query("embedder_comparison", "\nUNION ALL\n".join(f"""
+    SELECT '{name}' AS model, round(tsp, 6) AS tsp, round(same_sim, 6) AS same_sim, round(diff_sim, 6) AS diff_sim,
+           round(same_sim - diff_sim, 6) AS gap, 64::BIGINT AS embedding_dim FROM ({S.tsp(vectors, near)}), ({S.gap(vectors)})"""
+    for name, vectors, near in (("planted", "emb", "knn"), ("raw", "rawemb", "rawknn"))), "emb knn rawemb rawknn")
 def _(v):
-    rows = embeddings.embedder_comparison({"planted": v.emb})
-    return rounded(rows.select("model", "tsp", F.col("embedding_dim").cast("long").alias("embedding_dim")))
+    """The planted vectors against the raw ones."""
+    raw = v.table("embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    raw = raw.join(v.emb.select("doc_id", "channel", "created_at"), "doc_id")
+    rows = embeddings.embedder_comparison({"planted": v.emb, "raw": raw})
+    return rounded(rows.drop("inference_time_seconds").withColumn("embedding_dim", F.col("embedding_dim").cast("long")))
 
 
 # --- topics -----------------------------------------------------------------

@@ -30,6 +30,33 @@ def md5_key(column: str, seed: int = 42) -> str:
 
 
 
+def _knn(vectors: str) -> str:
+    return f"""
+        SELECT doc_id, neighbour_id, similarity, rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, neighbour_id) AS rank FROM (
+                SELECT a.doc_id, b.doc_id AS neighbour_id, round(list_cosine_similarity(a.embedding, b.embedding), 10) AS similarity
+                FROM {vectors} a JOIN {vectors} b ON a.doc_id <> b.doc_id)) WHERE rank <= 10"""
+
+
+def gap(vectors: str) -> str:
+    """Mean cosine inside and across channels of one table of vectors."""
+    hashed = f"ORDER BY {md5_key('doc_id')}, doc_id"
+    mean = f"(SELECT avg(list_cosine_similarity(x.embedding, y.embedding)) FROM ({{0}}) p JOIN {vectors} x ON x.doc_id = a JOIN {vectors} y ON y.doc_id = b)"
+    same = f"""SELECT channel, (place - 1) // 2 AS pair, min_by(doc_id, place) AS a, max_by(doc_id, place) AS b FROM (
+            SELECT doc_id, channel, row_number() OVER (PARTITION BY channel {hashed}) AS place FROM {vectors}) WHERE place <= 20
+        GROUP BY 1, 2 HAVING count(*) = 2 ORDER BY channel, pair LIMIT 300"""
+    cross = f"""SELECT place // 2 AS pair, min_by(doc_id, place) AS a, max_by(doc_id, place) AS b FROM (
+            SELECT doc_id, channel, row_number() OVER ({hashed}) - 1 AS place FROM {vectors})
+        GROUP BY 1 HAVING count(DISTINCT channel) = 2 ORDER BY pair LIMIT 300"""
+    return f"SELECT {mean.format(same)} AS same_sim, {mean.format(cross)} AS diff_sim"
+
+
+def tsp(vectors: str, neighbours: str) -> str:
+    """Share of the ten nearest neighbours dated within a day."""
+    return f"""SELECT count(*) FILTER (abs(date_diff('day', a.created_at, b.created_at)) <= 1) / ((SELECT count(*) FROM {vectors}) * 10.0::DOUBLE) AS tsp
+        FROM {neighbours} k JOIN {vectors} a ON a.doc_id = k.doc_id JOIN {vectors} b ON b.doc_id = k.neighbour_id"""
+
+
 # name -> (views it needs, body)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_posts": ((), """
@@ -116,11 +143,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             SELECT topic, i, avg(v) AS m FROM (
                 SELECT topic, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM emb) GROUP BY topic, i)
         GROUP BY topic"""),
-    "knn": (("emb",), """
-        SELECT doc_id, neighbour_id, similarity, rank FROM (
-            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, neighbour_id) AS rank FROM (
-                SELECT a.doc_id, b.doc_id AS neighbour_id, round(list_cosine_similarity(a.embedding, b.embedding), 10) AS similarity
-                FROM emb a JOIN emb b ON a.doc_id <> b.doc_id)) WHERE rank <= 10"""),
+    "rawemb": ((), """
+        SELECT vec_id AS doc_id, 'ch' || (vec_id % 20) AS channel, TIMESTAMP '2024-01-01' + to_days((vec_id % 30)::INT) AS created_at,
+               embedding::DOUBLE[] AS embedding FROM embeddings"""),
+    "knn": (("emb",), _knn("emb")),
+    "rawknn": (("rawemb",), _knn("rawemb")),
     "core": (("knn",), f"SELECT doc_id, round(1 - similarity, 10) AS core FROM knn WHERE rank = {CORE_NEIGHBOURS}"),
     "oldcent": (("anchor",), """
         SELECT x.label AS topic,
