@@ -8,9 +8,8 @@ from ..config import ClusterParams
 from ..operators import clustering, embeddings, neighbours, outliers, quality, search, topics
 from ..functions.vectors import cosine_distance, cosine_similarity
 from ..plans import fit
-from ..session import materialize
 from . import sql as S
-from .base import joined, query, rounded
+from .base import query, rounded
 
 
 @query("cosine_similarity", """
@@ -39,7 +38,7 @@ _HASHED = f"""
 
 
 @query("embed_texts", "WITH one AS (SELECT 1)" + _HASHED + """
-    SELECT w.doc_id, d.dim, round(CASE WHEN coalesce(norm, 0) = 0 THEN CASE WHEN d.dim = 0 THEN 1.0 ELSE 0.0 END ELSE coalesce(v, 0) / norm END, 4)::DOUBLE AS value
+    SELECT w.doc_id, d.dim, round(CASE WHEN coalesce(norm, 0) = 0 THEN CASE WHEN d.dim = 0 THEN 1.0 ELSE 0.0 END ELSE coalesce(v, 0) / norm END::FLOAT::DOUBLE, 4) AS value
     FROM words1 w CROSS JOIN (SELECT unnest(range(64)) AS dim) d
     LEFT JOIN cells c ON c.doc_id = w.doc_id AND c.dim = d.dim LEFT JOIN norms n ON n.doc_id = w.doc_id""")
 def _(v):

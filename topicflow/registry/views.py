@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RingConfig
-from ..functions.text import STOP_WORDS
+from ..functions.text import STOP_WORDS, clean_text
 from ..operators import clustering, evolution, labeling, outliers, topics
+from ..operators.classify import TopicReference
 from ..operators.neighbours import knn_cosine
 from ..operators.preprocess import preprocess_posts
+from ..operators.search import trial_score
 from ..session import configure, materialize, spread
 from ..sources.posts import normalize_posts
 
@@ -203,8 +205,6 @@ class Views:
 
     @cached_property
     def clean_docs(self) -> DataFrame:
-        from ..functions.text import clean_text
-
         return self.emb_docs.select("doc_id", clean_text(F.col("text")).alias("text_clean"))
 
     @cached_property
@@ -262,9 +262,7 @@ class Views:
         )
 
     @cached_property
-    def reference_model(self):
-        from ..operators.classify import TopicReference
-
+    def reference_model(self) -> TopicReference:
         parsed = labeling.parse_label_json(F.col("payload"))
         label = self.external_labels.select("topic", parsed.alias("l")).select(
             "topic", *[F.coalesce(f"l.{c}", F.lit("")).alias(c) for c in ("l1", "l2", "l3", "core_topic", "periphery_topic")],
@@ -302,6 +300,4 @@ class Views:
             (F.col("l_discount") + F.col("l_tax")).alias("noise_ratio"), dbcv.alias("dbcv"),
             (0.70 + F.col("l_tax")).alias("cv_coherence"),
         )
-        from ..operators.search import trial_score
-
         return base.withColumn("score", trial_score(F.col("dbcv"), F.col("noise_ratio")))
