@@ -6,8 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF, ordered, plain, same
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from topicflow.registry import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -30,6 +29,10 @@ def test_query(spark, duck, name):
         assert all(same(a, b) for a, b in zip(left, right)), (left, right)
 
 
+def test_entry_offers_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert rows and {"topic", "rank", "word", "score"} == set(rows[0].asDict())
