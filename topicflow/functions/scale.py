@@ -7,6 +7,7 @@ group in one place is a table of slot counts with a fixed upper bound.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -109,6 +110,25 @@ def dense_index(df: DataFrame, key: str, name: str) -> DataFrame:
     return slotted.join(offsets, "__slot").withColumn(name, F.col("__off") + local).drop("__slot", "__off")
 
 
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    """The smallest value that at least the share ``q`` of all values does not exceed, exact at every size; None without values.
+
+    Values are counted per range of their order; the driver sees one number per range and picks the range that
+    holds the wanted rank.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__v")).agg(F.count("*").alias("__n"))
+    slotted = _ranged(counts, ["__v"])
+    totals = {r["__slot"]: r["n"] for r in slotted.groupBy("__slot").agg(F.sum("__n").alias("n")).collect()}
+    rank = max(1, math.ceil(round(q * sum(totals.values()), 9)))
+    for slot in sorted(totals):
+        if rank <= totals[slot]:
+            upto = F.sum("__n").over(Window.orderBy("__v"))
+            inside = slotted.where(F.col("__slot") == slot).withColumn("__upto", upto)
+            return inside.where(F.col("__upto") >= rank).agg(F.min("__v").alias("v")).first()["v"]
+        rank -= totals[slot]
+    return None
+
+
 def next_in_group(df: DataFrame, group: Sequence[str], key: str, value: str, name: str) -> DataFrame:
     """``lead(value)`` by ``key`` within each group, with hot groups split by key range.
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import NOISE, ClusterParams
+from ..functions.graph import connected_components
+from ..functions.scale import exact_quantile
 from ..session import materialize
 from .neighbours import knn_cosine
 
@@ -38,35 +40,6 @@ def mutual_reachability(knn: DataFrame, m: int, key: str = "doc_id") -> DataFram
     return joined.select("src", "dst", "distance", F.greatest("cs", "cd", "distance").alias("reach"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """``id, component`` for every node of an undirected edge table; component = smallest id.
-
-    Each round points every node at its smallest neighbour, follows that pointer twice and
-    replaces the nodes of all edges by what they point at. Loops and duplicates drop out, so the
-    edge table shrinks by a factor per round. Each round is written to shared storage: its
-    lineage ends there and a lost executor repeats one round at most.
-    """
-    pairs = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).where("a <> b")
-    flip = lambda df: df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    live = materialize(flip(pairs), "edges")
-    labels = materialize(live.select(F.col("a").alias("id"), F.col("a").alias("label")).distinct(), "labels")
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            break
-        point = live.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"))
-        up = point.select(F.col("a").alias("to"), F.col("to").alias("up"))
-        jump = materialize(point.join(up, "to").select(F.col("a").alias("node"), F.col("up").alias("root")), "jump")
-        moved = labels.join(jump, labels["label"] == jump["node"], "left")
-        labels = materialize(moved.select("id", F.coalesce("root", "label").alias("label")), "labels")
-        left = live.join(jump.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
-        both = left.join(jump.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
-        live = materialize(both.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges")
-    else:
-        raise RuntimeError("connected components did not settle")
-    smallest = labels.groupBy("label").agg(F.min("id").alias("component"))
-    return labels.join(smallest, "label").select("id", "component")
-
-
 def density_cluster(
     emb: DataFrame, min_cluster_size: int, min_samples: int, eps: float | None = None, key: str = "doc_id",
     knn: DataFrame | None = None, eps_quantile: float = 0.9, **options: int,
@@ -80,9 +53,7 @@ def density_cluster(
     if knn is None:
         knn = materialize(knn_cosine(emb, min_samples, key, **options), "knn")
     if eps is None:
-        core = core_distances(knn, min_samples, key)
-        eps = core.agg(F.percentile_approx("core", eps_quantile, 10_000).alias("e")).first()["e"]
-        eps = 0.0 if eps is None else eps
+        eps = exact_quantile(core_distances(knn, min_samples, key), "core", eps_quantile) or 0.0
     linked = mutual_reachability(knn, min_samples, key).where(F.col("reach") <= F.lit(eps))
     parts = connected_components(linked)
     sizes = parts.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= min_cluster_size)

@@ -71,6 +71,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing will read them again."""
+    for df in tables:
+        session = df.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = session.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Use all cores on a table whose files give fewer partitions than there are cores.
 
