@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dedup, packing, quality, shards, toxicity
+import corpus_pipeline
+
+from . import bpe, dedup, html, licenses, lm, near, packing, quality, shards, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,16 +45,41 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"))
 
 
+@query
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False)
 
 
+@query
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 @query
 def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.round_trip(table(spark, folder, "documents"))
 
 
+@query
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"))
+
+
 @query
 def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(table(spark, folder, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
