@@ -67,12 +67,12 @@ def test_json_answers(spark):
     assert [(v.same_topic, v.confidence) for v in verdict] == [(True, "high"), (False, "low"), (False, "low")]
 
 
-@pytest.mark.parametrize("bound", [0, 10])
+@pytest.mark.parametrize("bound", [0, 1000])
 def test_lemmatize_both_plans(spark, bound):
-    df = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, ["z", "a"])], "post_id long, tokens array<string>")
+    df = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, ["z", None, "a"]), (4, None)], "post_id long, tokens array<string>")
     lemmas = spark.createDataFrame([("a", "A2"), ("a", "A1"), ("b", "B")], "form string, lemma string")
-    rows = lemmatize(df, lemmas, broadcast_forms=bound).collect()
-    assert {r.post_id: r.tokens for r in rows} == {1: ["B", "A1", "B"], 2: [], 3: ["z", "A1"]}
+    rows = lemmatize(df, lemmas, broadcast_bytes=bound).collect()
+    assert {r.post_id: r.tokens for r in rows} == {1: ["B", "A1", "B"], 2: [], 3: ["z", None, "A1"], 4: None}
 
 
 def test_preprocess_drops_blank_rows(spark):

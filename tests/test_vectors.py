@@ -76,6 +76,24 @@ def test_cosine(spark):
     assert [r.d for r in out[:3]] == [0, 2, 1]
 
 
+def test_vectors_of_different_widths_are_an_error(spark):
+    from pyspark.errors import PythonException
+
+    df = spark.createDataFrame([([1.0, 0.0, 0.0], [1.0])], "a array<double>, b array<double>")
+    with pytest.raises(PythonException, match="different widths"):
+        df.select(cosine_similarity(F.col("a"), F.col("b"))).collect()
+
+
+def test_exact_quantile(spark):
+    from topicflow.functions.scale import exact_quantile
+
+    values = np.random.default_rng(3).integers(0, 15_000, 20_000) / 7.0
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for q in (0.0, 0.25, 0.9, 1.0):
+        assert exact_quantile(df, "v", q) == np.sort(values)[max(0, int(np.ceil(round(q * len(values), 9))) - 1)]
+    assert exact_quantile(df.limit(0), "v", 0.5) is None
+
+
 def components(edges):
     parent = {}
 
@@ -102,6 +120,22 @@ def test_connected_components(spark, shape):
         edges = [(50, i) for i in range(50)] + [(60, 61)]
     else:
         edges = [tuple(rng.integers(0, 120, 2)) for _ in range(90)]
+    check_components(spark, edges)
+
+
+@pytest.mark.parametrize("shape", ["ascending", "descending", "grid"])
+def test_long_chains_settle_in_few_rounds(spark, shape, monkeypatch):
+    from topicflow.functions import graph
+
+    rounds, plain = [], graph.discard
+    monkeypatch.setattr(graph, "discard", lambda *tables: (rounds.append(1), plain(*tables)))
+    n = 2000
+    edges = [(k, k + 1) for k in range(n)] if shape != "grid" else [(x * 30 + y, x * 30 + y + s) for x in range(29) for y in range(29) for s in (1, 30)]
+    check_components(spark, [(n - a, n - b) for a, b in edges] if shape == "descending" else edges)
+    assert len(rounds) <= 25
+
+
+def check_components(spark, edges):
     edges = [(int(a), int(b)) for a, b in edges if a != b]
     got = {r.id: r.component for r in clustering.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == components(edges)

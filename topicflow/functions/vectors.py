@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def as_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list column as a 2-D float64 block; rows of one block share their width."""
+    """A list column as a 2-D float64 block; vectors of different widths are an error."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    widths = np.unique(np.asarray(pc.list_value_length(column)))
+    if len(widths) > 1:
+        raise ValueError(f"vectors of different widths: {widths.tolist()[:5]}")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.asarray(flat, dtype=np.float64).reshape(len(column), -1)
 
@@ -32,6 +36,8 @@ def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     if known.any():
         mask = pa.array(known)
         left, right = unit(as_matrix(a.filter(mask))), unit(as_matrix(b.filter(mask)))
+        if left.shape != right.shape:
+            raise ValueError(f"vectors of different widths: {left.shape[1]} and {right.shape[1]}")
         out[known] = np.einsum("ij,ij->i", left, right)
     return pa.array(out, pa.float64(), mask=~known)
 

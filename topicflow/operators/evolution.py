@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CURVE_THRESHOLDS, NOISE, WEIGHT_GRID, EvolutionThresholds
+from ..functions.scale import dense_index
 from ..functions.text import parse_verdict_json
 from ..functions.vectors import cosine_plain
 from .neighbours import nearest
@@ -68,9 +69,12 @@ def candidate_pairs(
     keys = [by] if by else []
     new, old = _real(new), _real(old)
     if by:
-        # topic ids repeat between slices: search by a key that is unique over all of them
-        key = F.xxhash64(F.col(by), F.col("topic"))
-        left, right = new.withColumn("__id", key), old.withColumn("__id", key)
+        # topic ids repeat between slices: search by a key that is unique over all of them and keeps
+        # the order of ids within a slice, so that ties go to the lower topic as without ``by``
+        slices = new.select(by).unionByName(old.select(by)).where(F.col(by).isNotNull()).distinct()
+        number = dense_index(slices, by, "__slice")
+        key = F.col("__slice") * (1 << 32) + F.col("topic")
+        left, right = (df.join(number, by).withColumn("__id", key).drop("__slice") for df in (new, old))
         forward = nearest(left, right, 1, "__id", "__id", "centroid", "centroid", by=by, **options)
         backward = nearest(right, left, 1, "__id", "__id", "centroid", "centroid", by=by, **options)
         name = lambda df, i, t: df.select(F.col("__id").alias(i), by, F.col("topic").alias(t))

@@ -2,57 +2,168 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ABLATION_THRESHOLDS, NOISE, RANDOM_SEED, OutlierThresholds
-from ..functions.scale import explode_once, hash_key
+from ..functions.scale import hash_key
+from ..session import materialize
 from .neighbours import nearest
-from .topics import topic_words_row, vocabulary_tokens, word_ngrams
+from .topics import topic_words_row, vocabulary_tokens
 
 _DEFAULTS = OutlierThresholds()
+BLOCK_BYTES = 64 << 20
+DENSE_CELLS = 1 << 22  # documents x topics of one product
 
 
 def ctfidf_scores(
-    docs: DataFrame, topics: DataFrame, ctfidf: DataFrame, text: str = "text_lemm", key: str = "doc_id", by: Sequence[str] = ()
+    docs: DataFrame, topics: DataFrame, ctfidf: DataFrame, text: str = "text_lemm", key: str = "doc_id", by: Sequence[str] = (),
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Best topic of each noise document by cosine of document and topic class TF-IDF: ``key, best, score``.
 
-    A document vector weighs its term counts with the weights the topics use, ln(1 + A / f). The
-    product of the sparse tables is summed per (document, topic) before and after the shuffle. A
-    document without any known term is absent. With ``by``, documents only meet topics of their
-    own slice.
+    A document vector weighs its term counts with the weights the topics use, ln(1 + A / f). A document without any known
+    term is absent. With ``by``, documents only meet topics of their own slice.
+
+    The topics are cut into blocks of at most ``block_bytes`` (a topic alone may be larger), each a sparse matrix that goes to the tasks.
+    Every Arrow batch of documents meets every block where it is: no term is shuffled and no row per document and
+    topic exists, one best topic per document and block does. Slices go one after another inside a block.
     """
     by = list(by)
     noise = topics.where(F.col("topic") == NOISE).select(key)
     tokens = docs.select(key, *by, vocabulary_tokens(F.col(text)).alias("w")).join(noise, key, "left_semi")
-    tf = explode_once(tokens, [key, *by], word_ngrams(F.col("w")), "term").groupBy(key, *by, "term").agg(F.count("*").alias("n"))
-    # the weight of a term is the same in every topic: score / (tf / words)
+    slice_of = F.to_json(F.struct(*by)) if by else F.lit("")
+    rows = tokens.select(F.col(key).cast("long").alias("id"), slice_of.alias("slice"), F.array_join("w", " ").alias("w"))
+    model = _topic_weights(ctfidf, by, slice_of)
+    blocks = _topic_blocks(model, block_bytes)
+    if len(blocks) > 1:
+        rows = materialize(rows, "noise")  # the texts are cut into words once, not once per block
+    found = [_block_scores(rows, model, block) for block in blocks] or [docs.sparkSession.createDataFrame([], _FOUND)]
+    best = reduce(DataFrame.unionByName, found)
+    if len(blocks) > 1:
+        best = best.groupBy("id").agg(
+            F.max(F.struct("s", (-F.col("topic")).alias("neg"))).alias("b"), F.max("norm").alias("norm")
+        ).select("id", F.col("b.s").alias("s"), (-F.col("b.neg")).cast("int").alias("topic"), "norm")
+    cosine = F.try_divide("s", "norm")
+    return best.select(F.col("id").alias(key), F.col("topic").alias("best"), F.round(cosine, 10).alias("score"))
+
+
+_FOUND = "id long, topic int, s double, norm double"
+
+
+def _topic_weights(ctfidf: DataFrame, by: Sequence[str], slice_of) -> DataFrame:
+    """slice, topic, term, score and the idf of the term, the same in every topic: score / (tf / words)."""
     lengths = ctfidf.groupBy(*by, "topic").agg(F.sum("tf").alias("words"))
-    weights = ctfidf.join(lengths, [*by, "topic"])
-    idf = F.max(F.col("score") * F.col("words") / F.col("tf"))
-    real = F.col("topic") != NOISE
-    pairs = F.collect_list(F.when(real, F.struct("topic", "score")))  # one entry per topic
-    terms = weights.groupBy(*by, "term").agg(idf.alias("idf"), pairs.alias("topics"))
-    weighted = tf.join(terms, [*by, "term"]).select(key, *by, (F.col("n") * F.col("idf")).alias("w"), "topics")
-    norms = ctfidf.where(real).groupBy(*by, "topic").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("topic_norm"))
-    dots = (
-        weighted.select(key, *by, "w", F.explode_outer("topics").alias("t"))
-        .groupBy(key, *by, F.col("t.topic").alias("topic"))
-        .agg(F.sum(F.col("w") * F.col("t.score")).alias("dot"))
-    )
-    doc_norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("doc_norm"))
-    scored = dots.where("topic IS NOT NULL").join(norms, [*by, "topic"])
-    # the document norm is the same for all topics of a document, so it can wait until the best is known
-    best = scored.select(key, "topic", (F.col("dot") / F.col("topic_norm")).alias("s")).groupBy(key).agg(
-        F.max(F.struct(F.round("s", 10).alias("s"), (-F.col("topic")).alias("neg"))).alias("b")
-    )
-    cosine = F.try_divide(F.col("b.s"), F.col("doc_norm"))
-    return best.join(doc_norms, key).select(
-        key, (-F.col("b.neg")).cast("int").alias("best"), F.round(cosine, 10).alias("score")
-    )
+    rated = ctfidf.join(lengths, [*by, "topic"]).withColumn("idf", F.col("score") * F.col("words") / F.col("tf"))
+    idf = rated.groupBy(*by, "term").agg(F.max("idf").alias("idf"))
+    named = ctfidf.join(idf, [*by, "term"]).select(slice_of.alias("slice"), "topic", "term", "score", "idf")
+    return materialize(named, "weights")
+
+
+def _topic_blocks(model: DataFrame, block_bytes: int) -> list[list[tuple[str, int]]]:
+    """(slice, topic) in runs of about ``block_bytes``; sizes are one row per topic."""
+    size = F.sum(F.octet_length("term") + 32).alias("bytes")
+    sizes = model.groupBy("slice", "topic").agg(size).orderBy("slice", "topic").collect()
+    out, held = [], 0
+    for r in sizes:
+        if not out or held + r["bytes"] > block_bytes:
+            out.append([])
+            held = 0
+        out[-1].append((r["slice"], r["topic"]))
+        held += r["bytes"]
+    return out
+
+
+def _block_scores(rows: DataFrame, model: DataFrame, block: list[tuple[str, int]]) -> DataFrame:
+    """The best topic of a block for each document: the product of sparse rows, one topic's column after another.
+
+    Terms of the noise topic weigh into a document's length but are no choice. The norm of a document counts all its known
+    terms, so every block carries the idf of its slices' whole vocabulary.
+    """
+    slices = sorted({s for s, _ in block})
+    chosen = model.where(F.col("slice").isin(slices))
+    wanted = set(block)
+    vocabulary = chosen.select("slice", "term", "idf").distinct().toArrow()
+    scores = chosen.select("slice", "topic", "term", "score").where(F.concat_ws("|", "slice", "topic").isin([f"{s}|{t}" for s, t in wanted]) & (F.col("topic") != NOISE)).toArrow()
+    shared = rows.sparkSession.sparkContext.broadcast(_matrices(vocabulary, scores))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slices_of = np.asarray(batch.column("slice").to_pylist(), dtype=object)
+            for name, matrix in shared.value.items():
+                mine = batch.filter(pa.array(slices_of == name))
+                if mine.num_rows:
+                    yield matrix.best(mine.column("id"), mine.column("w"))
+
+    return rows.mapInArrow(score, _FOUND)
+
+
+def _matrices(vocabulary: pa.Table, scores: pa.Table) -> dict[str, TermMatrix]:
+    out = {}
+    for name in pc.unique(vocabulary.column("slice")).to_pylist():
+        words = vocabulary.filter(pc.equal(vocabulary.column("slice"), name))
+        cells = scores.filter(pc.equal(scores.column("slice"), name))
+        terms = words.column("term").combine_chunks()
+        place = pc.index_in(cells.column("term").combine_chunks(), terms).to_numpy(zero_copy_only=False).astype(np.int64)
+        out[name] = TermMatrix(terms, words.column("idf").to_numpy(), place, cells.column("topic").to_numpy(), cells.column("score").to_numpy())
+    return out
+
+
+class TermMatrix:
+    """Scores by term and topic of one slice, kept by term, and the idf of every term."""
+
+    def __init__(self, terms: pa.Array, idf: np.ndarray, term: np.ndarray, topic: np.ndarray, score: np.ndarray):
+        self.terms, self.idf = terms, idf
+        self.topics, column = np.unique(topic, return_inverse=True)
+        self.norms = np.sqrt(np.bincount(column, score * score, len(self.topics)))
+        order = np.argsort(term, kind="stable")
+        self.column, self.score = column[order], score[order]
+        self.start = np.searchsorted(term[order], np.arange(len(terms) + 1))
+
+    def best(self, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        """The topic of the largest product per text, ties to the lower topic, and the length of the text's vector."""
+        doc, term = self._terms(texts)
+        cell, counts = np.unique(doc * max(len(self.terms), 1) + term, return_counts=True)
+        doc, term = cell // max(len(self.terms), 1), cell % max(len(self.terms), 1)
+        weight = counts * self.idf[term]
+        n, norm = len(ids), np.sqrt(np.bincount(doc, weight * weight, len(ids)))
+        found, best, topic = np.zeros(n, bool), np.full(n, -np.inf), np.zeros(n, np.int64)
+        ends, step = np.searchsorted(doc, np.arange(n + 1)), max(1, DENSE_CELLS // max(len(self.topics), 1))
+        for first in range(0, n, step):  # a dense block of documents x topics of bounded size
+            part = slice(ends[first], ends[min(first + step, n)])
+            size = self.start[term[part] + 1] - self.start[term[part]]
+            at = np.repeat(self.start[term[part]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            row = np.repeat(doc[part] - first, size)
+            rows, width = min(step, n - first), max(len(self.topics), 1)
+            place = row * width + self.column[at]
+            dots = np.bincount(place, np.repeat(weight[part], size) * self.score[at], rows * width).reshape(rows, width)
+            met = np.bincount(place, minlength=rows * width).reshape(rows, width) > 0
+            value = np.where(met, np.round(dots / np.where(self.norms > 0, self.norms, 1) if len(self.norms) else dots, 10), -np.inf)
+            choice = value.argmax(axis=1)
+            here = slice(first, first + rows)
+            best[here], found[here] = value[np.arange(rows), choice], met.any(axis=1)
+            topic[here] = self.topics[choice] if len(self.topics) else 0
+        keep = pa.array(found)
+        columns = [ids.filter(keep), pa.array(topic[found].astype(np.int32)), pa.array(best[found]), pa.array(norm[found])]
+        return pa.RecordBatch.from_arrays(columns, ["id", "topic", "s", "norm"])
+
+    def _terms(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Document and number of each known word and known pair of neighbouring words."""
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        doc = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        words = lists.flatten()
+        near = doc[1:] == doc[:-1]
+        both = pc.binary_join_element_wise(words[:-1], words[1:], " ").filter(pa.array(near)) if len(words) > 1 else words[:0]
+        term = pc.index_in(pa.concat_arrays([words, both]), self.terms.cast(words.type))
+        doc = np.concatenate([doc, doc[1:][near]])
+        known = pc.is_valid(term).to_numpy(zero_copy_only=False)
+        return doc[known].astype(np.int64), term.drop_null().to_numpy().astype(np.int64)
 
 
 def embedding_scores(

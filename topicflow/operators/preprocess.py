@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.scale import explode_once
 from ..functions.text import STOP_WORDS, clean_text, tokenize
+from ..session import materialize
 
-BROADCAST_FORMS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def _lookup(forms: pa.Array, lemmas: pa.Array, spark: SparkSession):
@@ -29,36 +30,37 @@ def _lookup(forms: pa.Array, lemmas: pa.Array, spark: SparkSession):
         found = pc.coalesce(wanted.cast(flat.type).take(place), flat)
         sizes = pc.fill_null(pc.list_value_length(tokens), 0)
         offsets = np.concatenate([[0], np.cumsum(np.asarray(sizes))]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), found)
+        return pa.ListArray.from_arrays(pa.array(offsets), found, mask=tokens.is_null())
 
     return replace
 
 
 def lemmatize(
-    df: DataFrame, lemmas: DataFrame, id_col: str = "post_id", tokens: str = "tokens", broadcast_forms: int = BROADCAST_FORMS
+    df: DataFrame, lemmas: DataFrame, id_col: str = "post_id", tokens: str = "tokens", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Replace each token by the lemma of a user table ``(form, lemma)``; unknown tokens stay.
 
-    A table of at most ``broadcast_forms`` forms is shipped to the tasks and looked up in place, so
-    no token is shuffled. A larger one is joined: rows move by id before the tokens are exploded,
-    which lets Spark put the tokens together again where they are. A repeated form uses its
-    smallest lemma.
+    A table of at most ``broadcast_bytes`` is shipped to the tasks and looked up in place, so no
+    token is shuffled. A larger one is joined: the corpus' distinct forms meet the table, and every row's
+    tokens are put together again by id. Both give the same rows: null tokens and null lists stay as they are.
+    A repeated form uses its smallest lemma.
     """
     spark = df.sparkSession
-    forms = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
-    head = forms.limit(broadcast_forms + 1).toArrow()
-    if head.num_rows <= broadcast_forms:
-        replace = _lookup(head.column("form").combine_chunks(), head.column("lemma").combine_chunks(), spark)
+    forms = lemmas.where("form IS NOT NULL").groupBy("form").agg(F.min("lemma").alias("lemma"))
+    forms = materialize(forms, "forms")
+    width = F.octet_length("form") + F.coalesce(F.octet_length("lemma"), F.lit(0)) + 8
+    if (forms.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= broadcast_bytes:
+        table = forms.toArrow()
+        replace = _lookup(table.column("form").combine_chunks(), table.column("lemma").combine_chunks(), spark)
         return df.withColumn(tokens, replace(F.col(tokens)))
     rows = df.repartition(id_col)
-    exploded = rows.select(id_col, F.posexplode_outer(tokens).alias("pos", "form")).where("form IS NOT NULL")
+    exploded = rows.select(id_col, F.posexplode_outer(tokens).alias("pos", "form")).where("pos IS NOT NULL")
     named = exploded.join(forms, "form", "left").select(
         id_col, F.struct("pos", F.coalesce("lemma", "form").alias("lemma")).alias("item")
     )
     ordered = F.transform(F.sort_array(F.collect_list("item")), lambda item: item["lemma"])
     regrouped = named.groupBy(id_col).agg(ordered.alias("__lemmas"))
-    empty = F.array().cast("array<string>")
-    return rows.join(regrouped, id_col, "left").withColumn(tokens, F.coalesce("__lemmas", empty)).drop("__lemmas")
+    return rows.join(regrouped, id_col, "left").withColumn(tokens, F.coalesce("__lemmas", tokens)).drop("__lemmas")
 
 
 def preprocess_posts(

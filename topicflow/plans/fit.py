@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,6 @@ from ..session import materialize
 
 # Ranges of the parameter search.
 SEARCH_SPACE = {
-    "n_neighbors": (15, 100),
     "n_components": (5, 15),
     "min_cluster_size": (50, 200),
     "min_samples": (5, 150),
@@ -105,8 +104,10 @@ def search_trials(
 
     The neighbour graph is computed once per number of components, at the largest ``min_samples``
     drawn for it. The objective rewards two clean clusters above all, so trials with fewer than
-    ``min_topics`` topics count as failed.
+    ``min_topics`` topics count as failed. A trial that raises is recorded with the failing score and its error
+    and the search goes on. The result is one row of numbers per trial.
     """
+    spark = emb.sparkSession
     draw = random.Random(seed)
     trials = [{p: draw.randint(low, high) for p, (low, high) in space.items()} for _ in range(n)]
     graphs: dict[int, tuple[DataFrame, DataFrame]] = {}
@@ -114,21 +115,24 @@ def search_trials(
         deepest = max(t["min_samples"] for t in trials if t["n_components"] == components)
         reduced = materialize(reduce_dims(emb, components), "reduced")
         graphs[components] = (reduced, materialize(knn_cosine(reduced, deepest), "knn"))
-    rows = None
+    rows = []
     for number, trial in enumerate(trials):
-        reduced, knn = graphs[trial["n_components"]]
-        near = knn.where(F.col("rank") <= trial["min_samples"])
-        topics = materialize(density_cluster(reduced, trial["min_cluster_size"], trial["min_samples"], knn=near), "topics")
-        noise = noise_ratio(topics).select("noise_ratio", F.col("num_topics").alias("n_clusters"))
-        value = dbcv(reduced, topics, cap).select(F.col("dbcv_score").alias("dbcv"))
-        row = side_by_side([noise, value]).select(
-            F.lit(study).alias("study"), F.lit(number).alias("trial_id"), *[F.lit(v).alias(p) for p, v in trial.items()], "noise_ratio", "n_clusters", "dbcv"
-        )
-        rows = row if rows is None else rows.unionByName(row)
+        try:
+            found = (*_tried(*graphs[trial["n_components"]], trial, cap), None)
+        except Exception as error:  # noqa: BLE001  whatever ends a trial must not end the search
+            found = (None, None, None, f"{type(error).__name__}: {error}"[:200])
+        rows.append((study, number, *trial.values(), *found))
+    kinds = ", ".join(f"{p} int" for p in space)
+    table = spark.createDataFrame(rows, f"study string, trial_id int, {kinds}, noise_ratio double, n_clusters long, dbcv double, error string")
     scored = F.when(F.col("n_clusters") >= min_topics, F.col("dbcv"))
-    return rows.withColumn("score", trial_score(scored, F.col("noise_ratio")))
+    return table.withColumn("score", trial_score(scored, F.col("noise_ratio")))
 
 
-def heterogeneous_params(params: ClusterParams, topics: DataFrame) -> ClusterParams:
-    """Smaller clusters when the previous labelling flagged mixed topics."""
-    return params if topics.isEmpty() else replace(params.for_heterogeneous())
+def _tried(reduced: DataFrame, knn: DataFrame, trial: Mapping[str, int], cap: int) -> tuple[float, int, float]:
+    """Noise, number of topics and DBCV of one trial."""
+    near = knn.where(F.col("rank") <= trial["min_samples"])
+    topics = materialize(density_cluster(reduced, trial["min_cluster_size"], trial["min_samples"], knn=near), "topics")
+    noise = noise_ratio(topics).select("noise_ratio", F.col("num_topics").alias("n_clusters"))
+    row = side_by_side([noise, dbcv(reduced, topics, cap).select(F.col("dbcv_score").alias("dbcv"))]).first()
+    return row["noise_ratio"], row["n_clusters"], row["dbcv"]
+

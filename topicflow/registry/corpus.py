@@ -53,9 +53,10 @@ def _(v):
     SELECT id_post, channel_name, {_STAMP.format('post_date')}, md5(text) AS text_md5, views FROM raw_posts WHERE id_post % 3 = 0
     """, "raw_posts")
 def _(v):
-    """Two thirds of the posts are known; the delta is all posts, half of them twice, through CSV."""
+    """Two thirds of the posts are known; the delta is all posts, half of them also in an older version, through CSV."""
     base = v.raw_posts.where(F.col("id_post") % 3 != 0)
-    again = v.raw_posts.where(F.col("id_post") % 2 == 0)
+    older = v.raw_posts.where(F.col("id_post") % 2 == 0)
+    again = older.select("id_post", "channel_name", (F.col("post_date") - F.make_dt_interval(F.lit(30))).alias("post_date"), F.lit("~ old").alias("text"), "views", "reactions", "comments")
     path = scratch_path(v.spark, "delta")
     delta = v.raw_posts.unionByName(again).withColumn("post_date", F.date_format("post_date", "yyyy-MM-dd HH:mm:ss"))
     delta.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -220,7 +221,7 @@ def _(v):
     GROUP BY post_id""", "prep lemmas")
 def _(v):
     """The plan for a lemma table beyond the broadcast bound."""
-    rows = preprocess.lemmatize(v.prep.select("post_id", "tokens"), v.lemmas, broadcast_forms=0)
+    rows = preprocess.lemmatize(v.prep.select("post_id", "tokens"), v.lemmas, broadcast_bytes=0)
     return rows.select("post_id", joined("tokens").alias("lemmas"))
 
 

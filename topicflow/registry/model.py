@@ -105,7 +105,7 @@ def _(v):
     for name, vectors, near in (("planted", "emb", "knn"), ("raw", "rawemb", "rawknn"))), "emb knn rawemb rawknn")
 def _(v):
     """The planted vectors against the raw ones."""
-    raw = v.table("embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    raw = v.doc_vectors.select("doc_id", F.col("e").alias("embedding"))
     raw = raw.join(v.emb.select("doc_id", "channel", "created_at"), "doc_id")
     rows = embeddings.embedder_comparison({"planted": v.emb, "raw": raw})
     return rounded(rows.drop("inference_time_seconds").withColumn("embedding_dim", F.col("embedding_dim").cast("long")))
@@ -232,6 +232,12 @@ _ABLATION = """
         FROM {0} LEFT JOIN {1} USING (doc_id), range(0, 100, 5) t(i)) GROUP BY threshold"""
 
 
+@query("reduce_outliers_ctfidf_blocks", "SELECT doc_id, best, round(score, 6) AS score FROM tscore", "tscore")
+def _(v):
+    """The same scores with the topics cut into many blocks."""
+    return rounded(outliers.ctfidf_scores(v.docs, v.text_topics, v.ctfidf, block_bytes=400_000))
+
+
 @query("threshold_ablation", _ABLATION.format("ttopics", "tscore"), "ttopics tscore")
 def _(v):
     return rounded(outliers.threshold_ablation(v.text_topics, v.text_scores))
@@ -355,8 +361,8 @@ def _(v):
 
 @query("search_trials")
 def _(v):
-    space = {"n_neighbors": (15, 100), "n_components": (6, 8), "min_cluster_size": (8, 20), "min_samples": (4, 10)}
-    return rounded(fit.search_trials(v.emb, 3, space), 4)
+    space = {"n_components": (6, 8), "min_cluster_size": (8, 20), "min_samples": (4, 10)}
+    return rounded(fit.search_trials(v.emb, 3, space).drop("error"), 4)
 
 
 @query("rank_trials", """

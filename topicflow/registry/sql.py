@@ -39,16 +39,18 @@ def _knn(vectors: str) -> str:
 
 
 def gap(vectors: str) -> str:
-    """Mean cosine inside and across channels of one table of vectors."""
-    hashed = f"ORDER BY {md5_key('doc_id')}, doc_id"
-    mean = f"(SELECT avg(list_cosine_similarity(x.embedding, y.embedding)) FROM ({{0}}) p JOIN {vectors} x ON x.doc_id = a JOIN {vectors} y ON y.doc_id = b)"
-    same = f"""SELECT channel, (place - 1) // 2 AS pair, min_by(doc_id, place) AS a, max_by(doc_id, place) AS b FROM (
-            SELECT doc_id, channel, row_number() OVER (PARTITION BY channel {hashed}) AS place FROM {vectors}) WHERE place <= 20
-        GROUP BY 1, 2 HAVING count(*) = 2 ORDER BY channel, pair LIMIT 300"""
-    cross = f"""SELECT place // 2 AS pair, min_by(doc_id, place) AS a, max_by(doc_id, place) AS b FROM (
-            SELECT doc_id, channel, row_number() OVER ({hashed}) - 1 AS place FROM {vectors})
-        GROUP BY 1 HAVING count(DISTINCT channel) = 2 ORDER BY pair LIMIT 300"""
-    return f"SELECT {mean.format(same)} AS same_sim, {mean.format(cross)} AS diff_sim"
+    """Mean cosine of all pairs inside channels and of all pairs across channels of one table of vectors."""
+    return f"""SELECT (sum(q) - sum(own)) / sum(n * (n - 1)) AS same_sim, (any_value(w) - sum(q)) / (sum(n) * sum(n) - sum(n * n)) AS diff_sim
+        FROM (SELECT channel, sum(s * s) AS q FROM (
+                SELECT channel, i, sum(v / nullif(len, 0)) AS s FROM (
+                    SELECT channel, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i,
+                           sqrt(list_sum(list_transform(embedding, lambda x: x * x))) AS len FROM {vectors}) GROUP BY channel, i) GROUP BY channel)
+        JOIN (SELECT channel, count(*)::DOUBLE AS n, count(*) FILTER (list_sum(list_transform(embedding, lambda x: x * x)) > 0)::DOUBLE AS own
+              FROM {vectors} GROUP BY channel) USING (channel),
+             (SELECT sum(s * s) AS w FROM (
+                SELECT i, sum(v / nullif(len, 0)) AS s FROM (
+                    SELECT unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i,
+                           sqrt(list_sum(list_transform(embedding, lambda x: x * x))) AS len FROM {vectors}) GROUP BY i))"""
 
 
 def tsp(vectors: str, neighbours: str) -> str:
@@ -131,21 +133,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             GROUP BY doc_id, topic)
         GROUP BY doc_id"""),
     "anchor": ((), "SELECT label, arg_min(embedding, vec_id)::DOUBLE[] AS a FROM embeddings GROUP BY label"),
-    "emb": (("anchor",), """
-        SELECT vec_id AS doc_id, label, 'ch' || (vec_id % 20) AS channel,
-               TIMESTAMP '2024-01-01' + to_days((vec_id % 30)::INT) AS created_at,
-               CASE WHEN vec_id % 7 = 0 THEN -1 ELSE label END AS topic,
-               CASE WHEN vec_id % 14 = 0 THEN embedding::DOUBLE[]
-                    ELSE list_transform(list_zip(a, embedding::DOUBLE[]), lambda x: x[1] * 0.8::DOUBLE + x[2] * 0.6::DOUBLE) END AS embedding
-        FROM embeddings JOIN anchor USING (label)"""),
+    "docvec": ((), """
+        SELECT doc_id, x.label, list_transform(list_zip(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), lambda v: v[1] + v[2] * 0.25::DOUBLE) AS e
+        FROM documents, (SELECT count(*) AS n FROM embeddings) JOIN embeddings x ON x.vec_id = doc_id % n JOIN embeddings y ON y.vec_id = (doc_id * 7 + 3) % n"""),
+    "emb": (("anchor", "docvec"), """
+        SELECT doc_id, label, 'ch' || (doc_id % 20) AS channel,
+               TIMESTAMP '2024-01-01' + to_days((doc_id % 30)::INT) AS created_at,
+               CASE WHEN doc_id % 7 = 0 THEN -1 ELSE label END AS topic,
+               CASE WHEN doc_id % 14 = 0 THEN e
+                    ELSE list_transform(list_zip(a, e), lambda x: x[1] * 0.8::DOUBLE + x[2] * 0.6::DOUBLE) END AS embedding
+        FROM docvec JOIN anchor USING (label)"""),
     "cent": (("emb",), """
         SELECT topic, list(m ORDER BY i) AS centroid FROM (
             SELECT topic, i, avg(v) AS m FROM (
                 SELECT topic, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM emb) GROUP BY topic, i)
         GROUP BY topic"""),
-    "rawemb": ((), """
-        SELECT vec_id AS doc_id, 'ch' || (vec_id % 20) AS channel, TIMESTAMP '2024-01-01' + to_days((vec_id % 30)::INT) AS created_at,
-               embedding::DOUBLE[] AS embedding FROM embeddings"""),
+    "rawemb": (("docvec",), """
+        SELECT doc_id, 'ch' || (doc_id % 20) AS channel, TIMESTAMP '2024-01-01' + to_days((doc_id % 30)::INT) AS created_at,
+               e AS embedding FROM docvec"""),
     "knn": (("emb",), _knn("emb")),
     "rawknn": (("rawemb",), _knn("rawemb")),
     "core": (("knn",), f"SELECT doc_id, round(1 - similarity, 10) AS core FROM knn WHERE rank = {CORE_NEIGHBOURS}"),

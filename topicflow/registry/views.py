@@ -108,14 +108,25 @@ class Views:
         vector = F.col("embedding").cast("array<double>")
         return self.table("embeddings").groupBy("label").agg(F.min_by(vector, "vec_id").alias("a"))
 
+    @cached_property
+    def doc_vectors(self) -> DataFrame:
+        """A vector for every document: one given vector and a quarter of another, so that no two documents share theirs."""
+        given = self.table("embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
+        n = F.lit(given.count())
+        docs = self.table("documents").select("doc_id", (F.col("doc_id") % n).alias("v1"), ((F.col("doc_id") * 7 + 3) % n).alias("v2"))
+        first = given.select(F.col("vec_id").alias("v1"), "label", F.col("e").alias("e1"))
+        second = given.select(F.col("vec_id").alias("v2"), F.col("e").alias("e2"))
+        both = docs.join(first, "v1").join(second, "v2")
+        return both.select("doc_id", "label", F.zip_with("e1", "e2", lambda x, y: x + y * 0.25).alias("e"))
+
     @cached_property
     def emb(self) -> DataFrame:
-        i, e = F.col("vec_id"), F.col("embedding").cast("array<double>")
+        i, e = F.col("doc_id"), F.col("e")
         pulled = F.zip_with("a", e, lambda a, v: a * 0.8 + v * 0.6)
         day = F.make_dt_interval((i % 30).cast("int"))
         return materialize(
-            self.table("embeddings").join(self.anchors, "label").select(
-                i.alias("doc_id"), F.when(i % 14 == 0, e).otherwise(pulled).alias("embedding"), "label",
+            self.doc_vectors.join(self.anchors, "label").select(
+                "doc_id", F.when(i % 14 == 0, e).otherwise(pulled).alias("embedding"), "label",
                 F.concat(F.lit("ch"), (i % 20).cast("string")).alias("channel"),
                 (F.lit("2024-01-01").cast("timestamp") + day).alias("created_at"),
                 F.when(i % 7 == 0, -1).otherwise(F.col("label")).alias("topic"),
@@ -198,7 +209,7 @@ class Views:
 
     @cached_property
     def emb_docs(self) -> DataFrame:
-        """A text for every vector; vectors without a post have an empty one."""
+        """The post of every vector, that is of every document; an empty text for a post without a date."""
         posts = self.posts.select(F.col("post_id").alias("doc_id"), "text")
         joined = self.emb.select("doc_id").join(posts, "doc_id", "left")
         return joined.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

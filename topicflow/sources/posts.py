@@ -100,14 +100,17 @@ def read_delta(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(typed).withColumn("post_date", F.to_timestamp("post_date"))
 
 
-def append_delta(base: DataFrame, delta: DataFrame, key: str = "id_post", dedup: bool = True) -> DataFrame:
-    """Rows to add: only keys unknown to ``base``, each once (the newest); all rows for dedup=False."""
+def append_delta(base: DataFrame, delta: DataFrame, key: str = "id_post", dedup: bool = True, time: str = "post_date") -> DataFrame:
+    """Rows to add: only keys unknown to ``base``, each once (the newest by ``time``, null dates last); all rows for dedup=False.
+
+    Rows of one date are told apart by a hash of their content, so the choice does not depend on file order.
+    """
     if not dedup:
         return delta
     fresh = delta.join(base.select(key), key, "left_anti")
     columns = [c for c in delta.columns if c != key]
-    # a repeated key keeps the smallest row by content, so the choice does not depend on file order
-    newest = F.min(F.struct(*[F.col(c) for c in columns])).alias("__row")
+    order = F.struct(*([F.col(time)] if time in columns else []), F.xxhash64(*columns).alias("__content"))
+    newest = F.max_by(F.struct(*columns), order).alias("__row")
     return fresh.groupBy(key).agg(newest).select(key, *[F.col(f"__row.{c}").alias(c) for c in columns]).select(delta.columns)
 
 

@@ -50,7 +50,8 @@ def stream_drift_streaks(flags: DataFrame, window_days: int = 3, calendar: bool
     """One row per condition when its first streak of ``window_days`` violating days completes.
 
     ``flags`` is a stream of closed days (the output table of :func:`stream_daily_drift`). The state
-    of a condition is its current run, its start, the last day seen and whether it has fired.
+    of a condition is its current run, its start, the last day seen and whether it has fired. A day that is not
+    after the last one seen, because a later micro-batch brought it, can't be put in its place any more and is left out.
     """
     names = F.array(*[F.struct(F.lit(c).alias("condition"), F.col(c).alias("hit")) for c in CONDITIONS])
     long = flags.select("day", F.explode(names).alias("c")).select("c.condition", "day", "c.hit")
@@ -60,6 +61,8 @@ def stream_drift_streaks(flags: DataFrame, window_days: int = 3, calendar: bool
         days = pd.concat(list(frames)).sort_values("day")
         out = []
         for day, hit in zip(days["day"], days["hit"]):
+            if last is not None and day <= last:
+                continue
             gap = calendar and last is not None and day - last > timedelta(days=1)
             if gap or not hit:
                 run, start = 0, None
