@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..config import ClusterParams
 from ..operators import clustering, embeddings, neighbours, outliers, quality, search, topics
 from ..functions.vectors import cosine_distance, cosine_similarity
-from ..plans import fit
+from ..plans import fit, train, tune
 from . import sql as S
 from .base import query, rounded
 
@@ -365,6 +365,26 @@ def _(v):
     return rounded(fit.search_trials(v.emb, 3, space).drop("error"), 4)
 
 
+@query("tune_chain")
+def _(v):
+    """Trials on half of the documents, the best refitted in full, the choice against the baseline."""
+    docs = v.emb_docs.select("doc_id", F.col("text").alias("text_lemm"))
+    space = {"n_components": (6, 8), "min_cluster_size": (4, 10), "min_samples": (3, 5)}
+    half = v.emb.count() // 2
+    found = tune.tune(docs, v.emb.select("doc_id", "embedding"), ClusterParams(10, 5, 8), 2, half, 1, space, coherence_min=0.0)
+    return rounded(found.configs, 4)
+
+
+@query("train_chain")
+def _(v):
+    """Posts to gates: the older model's tables stand for the model in use."""
+    posts = v.posts.select("post_id", "channel", "created_at", "text")
+    vectors = v.emb.select("doc_id", "embedding")
+    old = train.Production(v.old_centroids, v.old_words, v.production_table, v.spark.createDataFrame([(0.1,)], "dbcv_score double"))
+    run = train.train(posts, ClusterParams(10, 5, 8), old, embed=lambda d: vectors.join(d.select("doc_id"), "doc_id", "left_semi"))
+    return rounded(run.gates.select("check", "new_value", "production", "passed", "verdict"), 4)
+
+
 @query("rank_trials", """
     SELECT study, trial_id, round(score, 6) AS score, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY study ORDER BY score DESC, trial_id) AS rank FROM trials) WHERE rank <= 10""", "trials")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -80,6 +84,23 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors of a session that cannot import it, as a zip file in the shared folder.
+
+    Not needed where the package is installed on all machines (``pip install .``).
+    """
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    place = f"{scratch_path(spark, 'package')}.zip"
+    system, inner = FileSystem.from_uri(place) if ":/" in place else (LocalFileSystem(), place)
+    with system.open_output_stream(inner) as file:
+        file.write(packed.getvalue())
+    spark.sparkContext.addPyFile(place)
+    return place
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Use all cores on a table whose files give fewer partitions than there are cores.
 
