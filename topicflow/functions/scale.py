@@ -45,7 +45,8 @@ def sample_per_group(
     """Keep the ``quota`` rows of each group that come first in hash order.
 
     ``quota`` may be computed from the size of the group. Counting per hash slot finds the one
-    slot in which each group's quota ends; slots beyond it never leave their map task.
+    slot in which each group's quota ends. Slots beyond it never leave their map task, slots before it pass
+    whole, and only the rows of that one slot are ranked.
     """
     group = list(group)
     hashed = df.withColumn("__h", hash_key(id_col, seed)).withColumn("__slot", F.substring("__h", 1, _SLOT_DIGITS))
@@ -54,15 +55,17 @@ def sample_per_group(
     before = whole.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     size = F.sum("__n").over(whole)
     room = (quota(size) if callable(quota) else quota) - F.coalesce(F.sum("__n").over(before), F.lit(0))
-    open_slots = slots.withColumn("__room", room).where("__room > 0").drop("__n")
-    if group:
+    open_slots = slots.withColumn("__room", room).where("__room > 0")
+    open_slots = materialize(open_slots.withColumn("__cut", F.col("__room") < F.col("__n")).drop("__n"), "slots")
+
+    def of(wanted: DataFrame) -> DataFrame:
         # null-safe: a null stratum is a stratum too
-        keys = [hashed[c].eqNullSafe(open_slots[c]) for c in group] + [hashed["__slot"] == open_slots["__slot"]]
-        joined = hashed.join(open_slots, keys).select(hashed["*"], open_slots["__room"])
-    else:
-        joined = hashed.join(open_slots, "__slot")
+        keys = [hashed[c].eqNullSafe(wanted[c]) for c in group] + [hashed["__slot"] == wanted["__slot"]]
+        return hashed.join(wanted, keys).select(hashed["*"], wanted["__room"])
+
     rank = F.row_number().over(Window.partitionBy(*group, "__slot").orderBy("__h", id_col))
-    return joined.withColumn("__rn", rank).where("__rn <= __room").drop("__h", "__slot", "__room", "__rn")
+    cut = of(open_slots.where("__cut")).withColumn("__rn", rank).where("__rn <= __room").drop("__rn")
+    return of(open_slots.where("not __cut")).unionByName(cut).drop("__h", "__slot", "__room")
 
 
 def top_k_per_group(

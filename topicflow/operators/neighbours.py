@@ -4,7 +4,7 @@ Two plans give the same rows:
 
 * the searched side fits a fixed byte bound: it is broadcast as one matrix and every Arrow batch
   of queries is multiplied with it, without a shuffle;
-* otherwise both sides are partitioned into cells around pivots. A first round searches each
+* otherwise both sides are partitioned into cells around about sqrt(n) pivots. A first round searches each
   query's own cell, which bounds the distance of its k-th neighbour; a second round visits only
   the cells whose pivot distance minus radius lies within that bound (triangle inequality). Cells
   are cut into blocks of fixed size on both sides, so a cell holding a third of all vectors is
@@ -15,6 +15,7 @@ Similarities are rounded to 10 digits before ordering, ties go to the lower id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,8 @@ from ..session import materialize
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 16 << 20
-CELLS = 256
+LEAST_CELLS = 256
+PIVOT_BYTES = 32 << 20
 _CHUNK = 1 << 22  # similarities held at a time
 _RESULT = "qid long, iid long, sim double"
 _SLACK = 1e-6
@@ -113,7 +115,7 @@ def _search_cells(
 ) -> DataFrame:
     """Search every visited cell; both sides of a cell are cut into blocks of about ``rows`` rows.
 
-    The sizes of pivot cells are a table of at most ``CELLS`` rows and are broadcast; with
+    The sizes of pivot cells are a table of a row per pivot, bounded by ``PIVOT_BYTES``, and are broadcast; with
     ``few_cells=False`` Spark decides by its size.
     """
     blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(float(rows)))).cast("int")
@@ -155,15 +157,17 @@ def _pivot_search(queries: DataFrame, items: DataFrame, k: int, exclude_self: bo
     spark = queries.sparkSession
     sample = items.orderBy(F.xxhash64("id"), "id").limit(cells).select("vec").toArrow()  # a fixed number of vectors
     pivots = spark.sparkContext.broadcast(unit(as_matrix(sample.column("vec"))))
+    step = max(1, _CHUNK // max(cells, 1))  # vectors whose distances to all pivots are held at a time
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             vectors = unit(as_matrix(batch.column("vec")))
-            distance = _distances(vectors, pivots.value)
-            cell = distance.argmin(axis=1)
-            own = distance[np.arange(len(cell)), cell]
+            cell, own = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
+            for start in range(0, len(vectors), step):
+                distance = _distances(vectors[start : start + step], pivots.value)
+                cell[start : start + step], own[start : start + step] = distance.argmin(axis=1), distance.min(axis=1)
             own[~vectors.any(axis=1)] = np.inf  # a zero vector is similar to nothing: its cell is always visited
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("vec"), pa.array(cell.astype("int32")), pa.array(own)],
@@ -192,16 +196,19 @@ def _pivot_search(queries: DataFrame, items: DataFrame, k: int, exclude_self: bo
             worst = batch.column("worst").to_numpy(zero_copy_only=False).astype(float)
             bound = np.where(np.isnan(worst), np.inf, np.sqrt(np.maximum(0.0, 2 - 2 * worst)))
             bound[~vectors.any(axis=1)] = np.inf
-            nearest = _distances(vectors, pivots.value) - radius[None, : len(pivots.value)]
-            visit = nearest <= bound[:, None] + _SLACK
-            visit &= np.isfinite(radius[None, : len(pivots.value)]) | (radius[None, : len(pivots.value)] > 0)
-            visit[np.arange(len(vectors)), np.asarray(batch.column("cell"))] = False
-            row, cell = np.nonzero(visit)
-            if len(row):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(row)), batch.column("vec").take(pa.array(row)), pa.array(cell.astype("int32"))],
-                    names=["id", "vec", "cell"],
-                )
+            own, edge = np.asarray(batch.column("cell")), radius[None, : len(pivots.value)]
+            for start in range(0, len(vectors), step):
+                part = slice(start, start + step)
+                visit = _distances(vectors[part], pivots.value) - edge <= bound[part][:, None] + _SLACK
+                visit &= np.isfinite(edge) | (edge > 0)
+                visit[np.arange(len(visit)), own[part]] = False
+                row, cell = np.nonzero(visit)
+                if len(row):
+                    chosen = pa.array(row + start)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id").take(chosen), batch.column("vec").take(chosen), pa.array(cell.astype("int32"))],
+                        names=["id", "vec", "cell"],
+                    )
 
     visits = materialize(bounded.mapInArrow(widen, "id long, vec array<double>, cell int"), "visits")
     second = _search_cells(visits, shelved, k, exclude_self, rows, True)
@@ -225,11 +232,12 @@ def nearest(
     exclude_self: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """The ``k`` most similar items of each query: ``qid, iid, sim``; at least one item must exist.
 
-    With ``by`` only items with the same value of that column are candidates.
+    With ``by`` only items with the same value of that column are candidates. The number of pivots follows the
+    square root of the number of items unless ``cells`` names it; pivots take at most ``PIVOT_BYTES``.
     """
     group = F.col(by).cast("string") if by else F.lit("")
     shape = lambda df, i, v: df.where(F.col(v).isNotNull()).select(
@@ -245,7 +253,8 @@ def nearest(
         return _search_cells(asked.withColumnRenamed("grp", "cell"), known.withColumnRenamed("grp", "cell"), k, exclude_self, rows)
     # a few cells per block: more would copy queries to many small cells when little can be pruned
     wanted = _CELLS_PER_BLOCK * -(-size["n"] // rows)
-    return _pivot_search(asked, known, k, exclude_self, rows, min(cells, wanted, size["n"]))
+    grown = min(max(LEAST_CELLS, math.isqrt(size["n"])), max(LEAST_CELLS, PIVOT_BYTES // width))
+    return _pivot_search(asked, known, k, exclude_self, rows, min(cells or grown, wanted, size["n"]))
 
 
 def knn_cosine(
