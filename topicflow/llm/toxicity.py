@@ -27,11 +27,11 @@ SAMPLE_ROWS = 8000
 SAMPLE_CHARS = 32_000_000
 VOCABULARY = 20_000
 LEAST_DOCS = 4
-LEAST_Z = 2.0
+LEAST_Z = 4.0
 STEM = 4
-ROUNDS = 150
-RATE = 0.3
-SHRINK = 2e-5
+ROUNDS = 250
+RATE = 0.6
+SHRINK = 5e-6
 START = -7.0  # log-odds of a sentence without any known word
 SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("score", pa.float64())])
 
