@@ -180,7 +180,7 @@ def _(v):
     return outliers.reduce_outliers_embedding(v.emb, v.topics, v.centroids)
 
 
-_MOVED = f"(SELECT doc_id, topic AS t0, CASE WHEN topic = -1 AND score >= 0.6 THEN best ELSE topic END AS t2 FROM emb LEFT JOIN ({_ESCORE}) USING (doc_id))"
+_MOVED = f"(SELECT doc_id, topic AS t0, CASE WHEN topic = -1 AND score >= 0.64 THEN best ELSE topic END AS t1, CASE WHEN topic = -1 AND score >= 0.6 THEN best ELSE topic END AS t2 FROM emb LEFT JOIN ({_ESCORE}) USING (doc_id))"
 
 
 @query("update_topics", """
@@ -206,16 +206,18 @@ def _(v):
 
 
 @query("reassignment_report", f"""
-    SELECT round(avg((t0 = -1)::INT), 6) AS noise_before, round(avg((t0 = -1)::INT), 6) AS noise_step1, round(avg((t2 = -1)::INT), 6) AS noise_after,
-           round(avg((t2 = -1)::INT) - avg((t0 = -1)::INT), 6) AS delta_noise, 0::BIGINT AS reassigned_step1,
-           count(*) FILTER (t0 = -1 AND t2 <> -1) AS reassigned_step2, count(*) FILTER (t0 = -1 AND t2 <> -1) AS reassigned_total,
+    SELECT round(avg((t0 = -1)::INT), 6) AS noise_before, round(avg((t1 = -1)::INT), 6) AS noise_step1, round(avg((t2 = -1)::INT), 6) AS noise_after,
+           round(avg((t2 = -1)::INT) - avg((t0 = -1)::INT), 6) AS delta_noise, count(*) FILTER (t0 = -1 AND t1 <> -1) AS reassigned_step1,
+           count(*) FILTER (t1 = -1 AND t2 <> -1) AS reassigned_step2, count(*) FILTER (t0 = -1 AND t2 <> -1) AS reassigned_total,
            count(DISTINCT t2) FILTER (t0 = -1 AND t2 <> -1) AS receiving_topics,
            round((SELECT max(n) / sum(n)::DOUBLE FROM (SELECT count(*) AS n FROM {_MOVED} WHERE t0 = -1 AND t2 <> -1 GROUP BY t2)), 6) AS top1_share,
            (SELECT max(n) / sum(n)::DOUBLE FROM (SELECT count(*) AS n FROM {_MOVED} WHERE t0 = -1 AND t2 <> -1 GROUP BY t2)) > 0.3 AS warning
     FROM {_MOVED}""", "emb cent")
 def _(v):
-    after = outliers.reduce_outliers_embedding(v.emb, v.topics, v.centroids)
-    return rounded(outliers.reassignment_report(v.topics, v.topics, after))
+    """A strict step and a wider one after it."""
+    first = outliers.reduce_outliers_embedding(v.emb, v.topics, v.centroids, 0.64)
+    after = outliers.reduce_outliers_embedding(v.emb, first, v.centroids)
+    return rounded(outliers.reassignment_report(v.topics, first, after))
 
 
 @query("receiving_topics", f"""
@@ -323,6 +325,16 @@ def _(v):
     return rounded(fit.reduce_noise(model, docs, v.emb)[1], 4)
 
 
+@query("dbcv_core_distances", """
+    SELECT doc_id, topic, round(pow(sum(pow(d, -64)) / (count(*)), -1 / 64.0::DOUBLE), 6) AS core FROM (
+        SELECT a.doc_id, a.topic, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) AS d
+        FROM emb a JOIN emb b ON a.topic = b.topic AND a.doc_id <> b.doc_id WHERE a.topic <> -1) GROUP BY doc_id, topic""", "emb")
+def _(v):
+    """The first part of the density validity: the core distance of each point among those of its topic."""
+    shapes = quality.cluster_shapes(v.emb, v.topics, cap=1_000_000)
+    return rounded(shapes.select("doc_id", "topic", "core"))
+
+
 @query("dbcv")
 def _(v):
     return rounded(quality.dbcv(v.emb, v.topics), 4)
