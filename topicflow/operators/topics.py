@@ -54,6 +54,8 @@ def term_counts(
         labelled = explode_once(docs, [key, *group], filled, "w")
     else:
         labelled = explode_once(docs, [key, *by], filled, "w").join(topics.select(key, "topic"), key)
+    if join_documents:
+        labelled = materialize(labelled, "labelled")  # read for the terms and, without the words between, for the ends
     terms = explode_once(labelled, group, word_ngrams(F.col("w")), "term")
     if join_documents:
         ends = labelled.select(key, *group, F.element_at("w", 1).alias("head"), F.element_at("w", -1).alias("tail"))
