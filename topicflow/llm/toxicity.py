@@ -29,10 +29,11 @@ VOCABULARY = 20_000
 LEAST_DOCS = 4
 LEAST_Z = 4.0
 STEM = 4
-ROUNDS = 250
-RATE = 0.6
+ROUNDS = 150
+RATE = 0.2
 SHRINK = 5e-6
-START = -7.0  # log-odds of a sentence without any known word
+START = -9.0  # log-odds of a sentence without any known word
+CHUNK = 500  # documents of the sample that are cut into words at a time
 SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("score", pa.float64())])
 
 
@@ -82,41 +83,69 @@ def softplus(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, x)
 
 
-def fit(texts: list[str], labels: list[int]) -> Scorer:
-    """Full-batch descent on the noisy-or likelihood; no row of either label leaves the starting scorer."""
-    y = np.array(labels, bool)
-    if not y.any() or y.all():
-        return Scorer(base=START)
-    row, _, _, of, words = sentences(pa.array(texts, pa.string()))
+def named_features(words: pa.DictionaryArray) -> tuple[pa.Array, np.ndarray]:
+    """Features of some words, and the two feature numbers (word, stem) of each word in turn."""
     both = pa.concat_arrays([words.dictionary, stems(words.dictionary)]).dictionary_encode()
-    codes, n_words = both.indices.to_numpy(), len(words.dictionary)
-    token = np.concatenate([codes[:n_words][words.indices.to_numpy()], codes[n_words:][words.indices.to_numpy()]])
-    of = np.concatenate([of, of])
-    docs_of = np.unique(row[of].astype(np.int64) * len(both.dictionary) + token)
-    feature, doc = docs_of % len(both.dictionary), docs_of // len(both.dictionary)
-    df, toxic_df = np.bincount(feature, minlength=len(both.dictionary)), np.bincount(feature, y[doc], len(both.dictionary))
-    rate = y.mean()
-    z = (toxic_df - df * rate) / np.sqrt(np.maximum(df * rate * (1 - rate), 1e-9))
+    codes, n, at = both.indices.to_numpy(), len(words.dictionary), words.indices.to_numpy()
+    return both.dictionary, np.concatenate([codes[:n][at], codes[n:][at]]) if len(at) else codes[:0]
+
+
+def screened(texts: pa.Array, y: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The features that toxic documents hold more often than chance, counted chunk by chunk, and their log-odds ratio."""
+    counts = []
+    for k in range(0, len(texts), CHUNK):
+        row, _, _, of, words = sentences(texts[k : k + CHUNK])
+        names, token = named_features(words)
+        held = np.unique(row[np.concatenate([of, of])].astype(np.int64) * max(len(names), 1) + token)
+        feature, doc = held % max(len(names), 1), held // max(len(names), 1)
+        toxic = np.bincount(feature, y[k + doc], len(names)) if len(held) else np.zeros(len(names))
+        counts.append(pa.table({"name": names, "df": np.bincount(feature, minlength=len(names)), "toxic": toxic}))
+    table = pa.concat_tables(counts).group_by("name").aggregate([("df", "sum"), ("toxic", "sum")]).sort_by("name")
+    df, toxic, rate = table.column("df_sum").to_numpy(), table.column("toxic_sum").to_numpy(), y.mean()
+    z = (toxic - df * rate) / np.sqrt(np.maximum(df * rate * (1 - rate), 1e-9))
     z[df < LEAST_DOCS] = -np.inf
     chosen = np.argsort(-z, kind="stable")[:VOCABULARY]
     chosen = np.sort(chosen[z[chosen] >= LEAST_Z])
-    place = np.full(len(df), -1)
-    place[chosen] = np.arange(len(chosen))
-    token = place[token]
-    of, token = of[token >= 0], token[token >= 0]
-    n, weights = len(row), np.append(np.zeros(len(chosen)), START)
+    ratio = np.log((toxic + 0.5) / (df - toxic + 0.5)) - np.log(rate / (1 - rate))
+    return table.column("name").combine_chunks().take(pa.array(chosen)), ratio[chosen]
+
+
+def fit(texts: pa.Array, labels: np.ndarray) -> Scorer:
+    """Full-batch descent on the noisy-or likelihood; without rows of both labels the starting scorer comes back.
+
+    Sentences without a chosen feature are alike, so only their number per document is kept. Features start from their
+    log-odds ratio in documents: once one of its words explains a document, noisy-or asks nothing more of the others.
+    """
+    y = np.asarray(labels, bool)
+    if not y.any() or y.all():
+        return Scorer()
+    features, ratio = screened(texts, y)
+    plain, docs, sentence, token, n = np.zeros(len(y)), [], [], [], 0
+    for k in range(0, len(texts), CHUNK):
+        row, _, _, of, words = sentences(texts[k : k + CHUNK])
+        names, found = named_features(words)
+        place = pc.fill_null(pc.index_in(names, features), -1).to_numpy(zero_copy_only=False)[found] if len(found) else found
+        kept, own = np.unique(np.concatenate([of, of])[place >= 0], return_inverse=True)
+        plain[k : k + CHUNK] = np.bincount(row, minlength=len(plain[k : k + CHUNK])) - np.bincount(row[kept], minlength=len(plain[k : k + CHUNK]))
+        docs.append(k + row[kept])
+        sentence.append(n + own)
+        token.append(place[place >= 0])
+        n += len(kept)
+    row, of, token = np.concatenate(docs).astype(np.int64), np.concatenate(sentence).astype(np.int64), np.concatenate(token).astype(np.int64)
+    weights = np.append(ratio, START)
     speed, power = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, ROUNDS + 1):
-        z = weights[-1] + np.bincount(of, weights[token], n)
-        total = np.bincount(row, softplus(z), len(y))
-        pull = np.where(y, -1.0 / np.expm1(np.clip(total, 1e-9, 500.0)), 1.0)  # of the loss by the sum
-        by_sentence = pull[row] / (1.0 + np.exp(-np.clip(z, -500.0, 500.0))) / len(y)
-        slope = np.append(np.bincount(token, by_sentence[of], len(chosen)), by_sentence.sum())
+        z, base = weights[-1] + np.bincount(of, weights[token], n), weights[-1]
+        total = np.bincount(row, softplus(z), len(y)) + plain * softplus(base)
+        pull = np.where(y, -1.0 / np.expm1(np.clip(total, 1e-9, 500.0)), 1.0) / len(y)  # of the loss by the sum
+        by_sentence = pull[row] / (1.0 + np.exp(-np.clip(z, -500.0, 500.0)))
+        of_base = by_sentence.sum() + (pull * plain).sum() / (1.0 + np.exp(-np.clip(base, -500.0, 500.0)))
+        slope = np.append(np.bincount(token, by_sentence[of], len(features)), of_base)
         slope[:-1] += SHRINK * weights[:-1]
         speed = 0.9 * speed + 0.1 * slope
         power = 0.99 * power + 0.01 * slope**2
         weights -= RATE * (speed / (1 - 0.9**step)) / (np.sqrt(power / (1 - 0.99**step)) + 1e-8)
-    return Scorer(both.dictionary.take(pa.array(chosen)).to_pylist(), weights[:-1], float(weights[-1]))
+    return Scorer(features.to_pylist(), weights[:-1], float(weights[-1]))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -137,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     """
     prepare(docs)
     table = training_sample(docs, labels).toArrow()
-    return fit(table.column("text").to_pylist(), table.column("toxic").to_pylist())
+    return fit(table.column("text").combine_chunks(), table.column("toxic").to_numpy())
 
 
 def noisy_or(row: np.ndarray, z: np.ndarray, n: int) -> np.ndarray:
