@@ -18,10 +18,10 @@ FILTER_BITS = 1 << 26  # 8 MB, whatever the number of keys
 SEGMENT = 32768  # bits in one of Spark's bitmaps
 
 
-def prepare(df: DataFrame) -> DataFrame:
-    """Session settings for whole texts in Arrow batches: bounded rows and bytes per batch."""
+def prepare(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """Session settings for whole texts in Arrow batches of a bounded number of rows."""
     configure(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df
 
 

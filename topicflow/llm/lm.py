@@ -30,7 +30,8 @@ PROBES = 4
 FILTER_BYTES = 128 << 20
 BLOCK_BYTES = 96 << 20
 DOCS_PER_BUCKET = 4000
-HELD = 4_000_000  # n-grams that a task gathers before it passes them on
+BATCH_ROWS = 1000  # a token takes some ten numbers while it is scored
+HELD = 2_000_000  # n-grams that a task gathers before it passes them on
 TOP_LEVEL = 48
 PULL = 20.0  # weight of the unigram model within a pair's probability, in occurrences of the first word
 COUNTS = "bucket int, kind int, keys binary, counts binary"
@@ -185,7 +186,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     text is the end token alone. Repeated rows are learnt as often as they occur and score alike; an empty table gives no rows, and with
     nothing to learn from all counts are 0.
     """
-    docs = prepare(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = prepare(docs, BATCH_ROWS).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spark, n_docs = docs.sparkSession, docs.count()
     bucket_bits = max(2, math.ceil(math.log2(max(1, n_docs / DOCS_PER_BUCKET))))
     model = build(gather(docs.where(fold() != UNSEEN_FOLD), bucket_bits), bucket_bits)
