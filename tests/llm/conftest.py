@@ -18,7 +18,7 @@ def table(spark):
     return make
 
 
-ODD = [None, "", " ", "\n\n", "word", "Two words", "a b c d", "A B C D", "é ß 日本語 😀", "<|endoftext|>", "x" * 3000, "to be or " * 4000, "Two words", "\x01 \x00\x7f tab\there"]
+ODD = [None, "", " ", "\n\n", "word", "a a a a", "b b b c b b b c", "Two words", "a b c d", "A B C D", "é ß 日本語 😀", "<|endoftext|>", "x" * 3000, "to be or " * 4000, "Two words", "\x01 \x00\x7f tab\there"]
 
 
 @pytest.fixture(scope="session")

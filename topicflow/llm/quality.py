@@ -53,7 +53,7 @@ def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
     window = lambda i: F.xxhash64(F.get("__w", i), F.get("__w", i + 1), F.get("__w", i + 2))
     packed = F.transform(F.sequence(F.lit(0), F.col("__n_words").cast("int") - 3), lambda i: window(i).bitwiseAND(-F.col("__unit")).bitwiseOR(i.cast("long")))
     df = df.withColumn("__unit", F.expr("shiftleft(1L, cast(ceil(log2(__n_words + 1)) as int))"))
-    df = df.withColumn("__p", F.when(F.col("__n_words") >= 6, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("__p", F.when(F.col("__n_words") >= 4, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
     place = lambda v: v.bitwiseAND(F.col("__unit") - 1).cast("int")
     head = lambda v: v.bitwiseAND(-F.col("__unit"))
     same = lambda a, b: (F.get("__w", a) == F.get("__w", b)) & (F.get("__w", a + 1) == F.get("__w", b + 1)) & (F.get("__w", a + 2) == F.get("__w", b + 2))
@@ -100,11 +100,11 @@ def accuracies(spoken: DataFrame, n_rules: int) -> tuple[float, list[float]]:
     spark, spoken = spoken.sparkSession, spoken.coalesce(1)  # one small partition needs no shuffle
     good, right = PRIOR_GOOD, [TRUST] * n_rules
     for _ in range(ROUNDS):
-        rows = ", ".join(f"({j}, {math.log(a / (1 - a))!r}D)" for j, a in enumerate(right))
-        weight = F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS t(rule, weight)"))  # a row per rule
-        prior = spark.sql(f"SELECT * FROM VALUES ({math.log(good / (1 - good))!r}D) AS t(prior)")
-        belief = spoken.join(weight, "rule").groupBy("pattern").agg(F.sum(F.col("vote") * F.col("weight")).alias("odds"))
-        belief = belief.join(F.broadcast(prior)).select("pattern", (1 / (1 + F.exp(-F.col("odds") - F.col("prior")))).alias("p"))
+        prior = math.log(good / (1 - good))
+        rows = ", ".join(f"({j}, {math.log(a / (1 - a))!r}D, {prior!r}D)" for j, a in enumerate(right))
+        weight = F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS t(rule, weight, prior)"))  # a row per rule
+        odds = F.sum(F.col("vote") * F.col("weight")) + F.max("prior")
+        belief = spoken.join(weight, "rule").groupBy("pattern").agg((1 / (1 + F.exp(-odds))).alias("p"))
         agrees = F.when(F.col("vote") == 1, F.col("p")).otherwise(1 - F.col("p"))
         found = spoken.join(belief, "pattern").groupBy("rule").agg(F.sum(F.col("count") * agrees).alias("right"), F.sum("count").alias("all"), F.sum(F.col("count") * F.col("p")).alias("good"))
         new = {r["rule"]: r for r in found.collect()}
