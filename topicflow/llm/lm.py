@@ -27,9 +27,10 @@ UNSEEN_FOLD = 1
 END = "\n"  # no word holds white space
 BITS_PER_ENTRY = 10
 PROBES = 4
-FILTER_BYTES = 128 << 20
+FILTER_BYTES = 64 << 20
 BLOCK_BYTES = 96 << 20
 DOCS_PER_BUCKET = 4000
+FETCH_BYTES = 8 << 20  # that the driver fetches of the model at a time
 BATCH_ROWS = 1000  # a token takes some ten numbers while it is scored
 HELD = 2_000_000  # n-grams that a task gathers before it passes them on
 TOP_LEVEL = 48
@@ -192,13 +193,13 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     model = build(gather(docs.where(fold() != UNSEEN_FOLD), bucket_bits), bucket_bits)
     sizes = model.select("bucket", F.octet_length("keys").alias("size"), "tokens", "n_bits").collect()  # a row per bucket
     n, v = sum(r["tokens"] for r in sizes), sum(r["size"] // 8 for r in sizes)
-    shared = spark.sparkContext.broadcast(_filter(model, bucket_bits))
+    shared = spark.sparkContext.broadcast(_filter(model, sizes, bucket_bits))
     runs = blocks([(r["bucket"], 2 * r["size"]) for r in sizes], block_bytes)
     if len(runs) == 1:
-        scored = _pass(docs, model, runs[0], bucket_bits, n, v, shared, first=True)
+        scored = _pass(docs, model, sizes, runs[0], bucket_bits, n, v, shared, first=True)
     else:
         rows = materialize(docs.withColumn("at", F.monotonically_increasing_id()), "texts")
-        passes = [_pass(rows, model, run, bucket_bits, n, v, shared, first=k == 0) for k, run in enumerate(runs)]
+        passes = [_pass(rows, model, sizes, run, bucket_bits, n, v, shared, first=k == 0) for k, run in enumerate(runs)]
         scored = passes[0]
         for more in passes[1:]:
             scored = scored.unionByName(more)
@@ -206,28 +207,41 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return scored.select("doc_id", (fold() == UNSEEN_FOLD).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
-def _filter(model: DataFrame, bucket_bits: int) -> Filter:
+def _read(model: DataFrame, buckets: list[int], column: str, kind: type, total: int) -> np.ndarray:
+    """One column of some buckets in bucket order, fetched a few megabytes at a time into one array."""
+    out, at = np.zeros(total, kind), 0
+    step = max(1, len(buckets) * FETCH_BYTES // max(total * np.dtype(kind).itemsize, 1))
+    for k in range(0, len(buckets), step):
+        some = model.where(F.col("bucket").isin(buckets[k : k + step])).select("bucket", column).toArrow().sort_by("bucket")
+        for value in some.column(column):
+            piece = np.frombuffer(value.as_buffer(), kind)
+            out[at : at + len(piece)] = piece
+            at += len(piece)
+    return out
+
+
+def _filter(model: DataFrame, rows: list, bucket_bits: int) -> Filter:
     """The whole filter, at most ``FILTER_BYTES``, for the broadcast."""
-    table = model.select("bucket", "bits", "n_bits").toArrow()
     starts, sizes = np.zeros(1 << bucket_bits, np.int64), np.zeros(1 << bucket_bits, np.int64)
-    pieces, at = [], 0
-    for bucket, bits, n_bits in zip(*(table.column(c) for c in ("bucket", "bits", "n_bits"))):
-        starts[bucket.as_py()], sizes[bucket.as_py()] = at, n_bits.as_py()
-        pieces.append(np.frombuffer(bits.as_buffer(), np.uint8))
-        at += n_bits.as_py()
-    return Filter(np.concatenate([*pieces, np.zeros(1, np.uint8)]), starts, sizes, bucket_bits)
+    for r in rows:
+        sizes[r["bucket"]] = r["n_bits"]
+    starts[1:] = np.cumsum(sizes)[:-1]
+    bits = _read(model, sorted(r["bucket"] for r in rows), "bits", np.uint8, int(sizes.sum()) // 8 + 1)
+    return Filter(bits, starts, sizes, bucket_bits)
 
 
-def _pass(docs: DataFrame, model: DataFrame, run: list[int], bucket_bits: int, n: int, v: int, shared, first: bool) -> DataFrame:
+def _pass(docs: DataFrame, model: DataFrame, sizes: list, run: list[int], bucket_bits: int, n: int, v: int, shared, first: bool) -> DataFrame:
     """What the words of some buckets add to the base score; the first pass also counts tokens and asks the filter."""
-    table = model.where(F.col("bucket").isin(run) if run else F.lit(False)).select("bucket", "keys", "counts").toArrow().sort_by("bucket")
-    keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(k.as_buffer(), np.uint64) for k in table.column("keys")]])
-    found = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(c.as_buffer(), np.int64) for c in table.column("counts")]])
+    held = {r["bucket"]: r["size"] // 8 for r in sizes}
+    total_keys = sum(held[b] for b in run)
+    keys, found = _read(model, run, "keys", np.uint64, total_keys), _read(model, run, "counts", np.int64, total_keys)
+    if found.max(initial=0) < 2**32:
+        found = found.astype(np.uint32)
     known = docs.sparkSession.sparkContext.broadcast((keys, found))
     mine = np.zeros(1 << bucket_bits, bool)
     mine[run] = True
     if first:  # buckets without any word belong to the first pass
-        mine |= ~np.isin(np.arange(len(mine)), [r["bucket"] for r in model.select("bucket").collect()])
+        mine |= ~np.isin(np.arange(len(mine)), list(held))
     total = max(n + 0.5 * (v + 1), 0.5)
     carried = [c for c in docs.columns if c == "at"]
 
