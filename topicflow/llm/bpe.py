@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from .common import filled, per_batch
 
 TOKENIZER = "word_bpe_49k.json"
+BATCH_ROWS = 3000
 CACHED_PIECES = 500_000
 NEVER = 1 << 62
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -178,4 +179,4 @@ def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
         counts = total[before[1:]] - total[before[:-1]]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts), pa.array(digests[0]), pa.array(digests[1])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return per_batch(docs.select("doc_id", "text"), work, SCHEMA)
+    return per_batch(docs.select("doc_id", "text"), work, SCHEMA, BATCH_ROWS)

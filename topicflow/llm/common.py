@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, materialize
 
-BATCH_ROWS = 4000
+BATCH_ROWS = 1500
 FILTER_BITS = 1 << 26  # 8 MB, whatever the number of keys
 SEGMENT = 32768  # bits in one of Spark's bitmaps
 
@@ -25,15 +25,16 @@ def prepare(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return df
 
 
-def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``work`` on every Arrow batch of every partition, without a shuffle."""
+def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """``work`` on every Arrow batch of every partition, without a shuffle; a worker hands its memory back after a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield work(batch)
+        pa.default_memory_pool().release_unused()
 
-    return prepare(df).mapInArrow(run, schema)
+    return prepare(df, rows).mapInArrow(run, schema)
 
 
 def fold(id_col: str = "doc_id") -> Column:

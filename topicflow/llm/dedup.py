@@ -25,7 +25,7 @@ A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     # many small stores: no space set aside in advance, changes rather than snapshots per batch
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

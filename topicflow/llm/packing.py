@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .bpe import TOKENIZER
 from .common import filled, per_batch
-from .tokens import encode_with_end
+from .tokens import BATCH_ROWS, encode_with_end
 
 LENGTH = 4096
 END_ID = 2
@@ -145,5 +145,5 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
     schema = pa.schema([(n, pa.int64()) for n in names] + ([("ids", pa.binary())] if with_ids else []))
     place = F.coalesce(F.col("doc_id"), F.monotonically_increasing_id())
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64(place, F.lit(11)), F.lit(groups)).alias("group"))
-    encoded = per_batch(dealt, encode, "doc_id long, group long, ids binary")
+    encoded = per_batch(dealt, encode, "doc_id long, group long, ids binary", BATCH_ROWS)
     return encoded.groupBy("group").applyInArrow(packed, PIECES + (", ids binary" if with_ids else ""))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_path
 from .bpe import TOKENIZER
 from .common import filled, mix, prepare
-from .tokens import encode_with_end
+from .tokens import BATCH_ROWS, encode_with_end
 
 END_ID = 2
 WIDTH = 2  # bytes of an id
@@ -135,7 +135,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFr
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", *FIELDS])
         system.move(part, shard_name(root, shard))
 
-    ordered = prepare(docs).select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ordered = prepare(docs, BATCH_ROWS).select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     entries = ordered.mapInArrow(write, "doc_id long, copy long, shard long, start long, n_tokens long")
     return materialize(entries, "entries")
 

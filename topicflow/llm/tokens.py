@@ -11,7 +11,8 @@ import pyarrow.compute as pc
 import regex
 
 MARK = "\x01"
-CACHED_WORDS = 2_000_000
+BATCH_ROWS = 2500  # larger batches hold relatively fewer different words
+CACHED_WORDS = 1_000_000
 WORDS_PER_CALL = 4000
 
 

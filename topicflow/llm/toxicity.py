@@ -166,7 +166,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     """
     prepare(docs)
     table = training_sample(docs, labels).toArrow()
-    return fit(table.column("text").combine_chunks(), table.column("toxic").to_numpy())
+    scorer = fit(table.column("text").combine_chunks(), table.column("toxic").to_numpy())
+    pa.default_memory_pool().release_unused()
+    return scorer
 
 
 def noisy_or(row: np.ndarray, z: np.ndarray, n: int) -> np.ndarray:
