@@ -145,6 +145,29 @@ def test_large_cluster(table, monkeypatch):
     check_near(table(texts))
 
 
+def test_links_across_blocks(table, monkeypatch):
+    """Copies that are linked with their base alone, and with nothing else, in a cluster of many blocks."""
+    monkeypatch.setattr(near, "BLOCK_SETS", 16)
+    monkeypatch.setattr(near, "PIVOTS", 2)
+    draw = random.Random(3)
+    texts = []
+    for g in range(3):
+        base = [f"g{g}w{k}" for k in range(200)]
+        texts.append(" ".join(base))
+        for c in range(100):
+            words = list(base)
+            for k in range(4):
+                words[draw.randrange(50 * k + 4, 50 * k + 46)] = f"own{g}_{c}_{k}"
+            texts.append(" ".join(words))
+    for c in range(30):  # pairs of 0.82 whose ends are 0.7 from all others
+        words = [f"g0w{k}" for k in range(200)]
+        words[20:44] = [f"two{c}_{k}" for k in range(24)]
+        texts.append(" ".join(words))
+        texts.append(" ".join(words[:100] + [f"end{c}_{k}" for k in range(15)] + words[115:]))
+    draw.shuffle(texts)
+    check_near(table(texts))
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
 def test_recall_of_the_forest(similarity):
     """Pairs at the threshold meet in some order, among unrelated texts."""

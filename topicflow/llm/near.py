@@ -8,8 +8,8 @@ whole signatures agree well enough join a candidate cluster. A region that holds
 full label and salt; every order cuts it elsewhere.
 
 Candidate clusters are confirmed on full sets, all pairs of a cluster in one bounded task. Clusters too
-large for that are dealt to blocks that share a few pivots, and candidate pairs that end up in
-different parts are confirmed one by one. So no pair table of a group ever exists, and copies are never expanded.
+large for that are dealt to blocks that share a few pivots; classes of theirs that end up in different parts are
+compared by a prefix join on full sets, which misses no link. Classes in one confirmed part never meet again, and copies are never expanded.
 
 Two texts of similarity 0.8 meet in at least one order with probability 1 - (1 - 0.8^5)^24 > 0.9999.
 """
@@ -34,6 +34,7 @@ REACH = 64  # neighbours at the shallow depth; eight times as many per further v
 AGREE = 0.68  # of a signature: four standard deviations below 0.8
 HOT_ROWS, HOT_SHARE = 5000, 1000
 BLOCK_SETS, BLOCK_SHINGLES, PIVOTS = 256, 2_000_000, 8
+SLOTS = 1 << 18  # that shingles are counted in, to put rare ones first; the order changes the work, not the links
 LAST = 2**63 - 1  # stands for a null doc_id, which is larger than any other
 MULTIPLIERS = np.random.default_rng(41).integers(0, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 CHUNK = 2048
@@ -257,7 +258,7 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """src, dst: confirmed links between classes, enough to connect all that the candidates can connect."""
+    """src, dst: confirmed links between classes, enough to connect all classes of a cluster that links connect."""
     pairs = candidates(classes)
     tops = pairs.select(F.col("top").alias("src"), F.col("a").alias("dst")).unionByName(pairs.select(F.col("top").alias("src"), F.col("b").alias("dst")))
     clusters = materialize(connected_components(tops).select(F.col("id").alias("class"), F.col("component").alias("cluster")), "clusters")
@@ -273,20 +274,80 @@ def links(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = dealt.withColumn("block", F.explode(F.when(F.coalesce(F.array_contains("pivots", F.col("class")), F.lit(False)), everywhere).otherwise(own)))
     found = materialize(confirmed_in_blocks(dealt.select("cluster", "block", "class", "shingles")), "links")
-    large = members.where("blocks > 1").select("class")
+    large = members.where("blocks > 1").select("class", "cluster", own[0].alias("block"))
     if large.isEmpty():
         return found
-    return found.unionByName(_left_over(pairs, found, large, sets))
+    found = materialize(found.unionByName(_links_of_hubs(found, large, sets)), "links")
+    return found.unionByName(_links_by_prefix(found, large.select("class"), sets))
 
 
-def _left_over(pairs: DataFrame, found: DataFrame, large: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidate pairs within large clusters that the blocks left apart, confirmed one by one."""
-    part = connected_components(found)
-    end = lambda c: part.select(F.col("id").alias(c), F.col("component").alias(f"{c}_part"))
-    apart = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct().join(large.withColumnRenamed("class", "src"), "src", "left_semi")
-    apart = apart.join(end("src"), "src", "left").join(end("dst"), "dst", "left")
-    apart = apart.where(F.coalesce("src_part", "src") != F.coalesce("dst_part", "dst")).select("src", "dst")
-    return confirmed_pairs(materialize(apart, "apart"), sets)
+def _parted(found: DataFrame, table: DataFrame) -> DataFrame:
+    """``table`` (class, ...) with the part that the links found so far put each class in."""
+    part = connected_components(found).select(F.col("id").alias("class"), "component")
+    return table.join(part, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
+
+
+def _links_of_hubs(found: DataFrame, large: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the best connected classes of a large cluster with members that other blocks hold; leaves less to the prefixes."""
+    ends = found.select(F.col("src").alias("class")).unionByName(found.select(F.col("dst").alias("class")))
+    known = materialize(_parted(found, large), "parts")
+    degree = ends.groupBy("class").agg(F.count(F.lit(1)).alias("links")).join(known, "class")
+    best = degree.groupBy("cluster", "block").agg(F.max(F.struct("links", "class", "part")).alias("best"))
+    hubs = best.groupBy("cluster").agg(F.explode(F.slice(F.sort_array(F.collect_list("best"), asc=False), 1, PIVOTS)).alias("hub"))
+    pairs = known.join(hubs, "cluster").where(F.col("part") != F.col("hub.part")).select(F.col("class").alias("src"), F.col("hub.class").alias("dst"))
+    return confirmed_pairs(materialize(pairs, "hubs"), sets)
+
+
+def _links_by_prefix(found: DataFrame, exact: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links between classes of ``exact`` that are in different parts so far, by a prefix join on full sets.
+
+    Shingles have one order, rarest first by the counts of their slots. Two sets that reach the similarity share a shingle
+    that has enough shingles after it in both, so each set shows only the shingles of its prefix. A shingle that only one
+    part shows is dropped. Crowded shingles are cut into salts that are held against all rows of the shingle.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for one in batch.column(0):
+                total += np.bincount(_slots(np.frombuffer(one.as_buffer(), np.uint64)), minlength=SLOTS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "n"])
+
+    wanted = materialize(_parted(found, exact).join(sets.select("class", "shingles"), "class"), "exact")
+    counts = wanted.select("shingles").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    often = wanted.sparkSession.sparkContext.broadcast(often)
+
+    def prefixes(batch: pa.RecordBatch) -> pa.RecordBatch:
+        shown, size = [], []
+        for one in batch.column(2):
+            found = np.frombuffer(one.as_buffer(), np.uint64)
+            order = np.lexsort((found, often.value[_slots(found)]))
+            size.append(len(found))
+            shown.append(found[order[: len(found) - -(-SIMILARITY * len(found) // 100) + 1]])
+        each = np.array([len(x) for x in shown], np.int64)
+        row = np.repeat(np.arange(len(each)), each)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+        columns = [pa.array(np.concatenate(shown).view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(np.array(size, np.int64)[row]), pa.array(place)]
+        return pa.RecordBatch.from_arrays(columns, ["shingle", "class", "part", "n", "place"])
+
+    rows = materialize(per_batch(wanted.select("class", "part", "shingles"), prefixes, "shingle long, class long, part long, n long, place long"), "prefixes")
+    met = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.min("part").alias("low"), F.max("part").alias("high"))
+    met = met.where("low <> high").select("shingle", F.ceil(F.col("rows") / HOT_ROWS).cast("int").alias("salts"))
+    rows = materialize(rows.join(met, "shingle"), "met")
+    left = rows.withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts")).cast("int")).drop("salts")
+    right = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("shingle", "salt", *[F.col(c).alias(f"o_{c}") for c in ("class", "part", "n", "place")])
+    both = left.join(right, ["shingle", "salt"]).where("class < o_class and part <> o_part")
+    least = SIMILARITY * (F.col("n") + F.col("o_n"))  # (100 + SIMILARITY) times the shingles that must be shared
+    both = both.where(((100 + SIMILARITY) * (F.col("n") - F.col("place")) >= least) & ((100 + SIMILARITY) * (F.col("o_n") - F.col("o_place")) >= least))
+    pairs = both.select(F.col("class").alias("src"), F.col("o_class").alias("dst")).distinct()
+    return confirmed_pairs(materialize(pairs, "apart"), sets)
+
+
+def _slots(found: np.ndarray) -> np.ndarray:
+    return (found & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
