@@ -168,6 +168,21 @@ def test_links_across_blocks(table, monkeypatch):
     check_near(table(texts))
 
 
+def test_pairs_in_hot_regions(table, monkeypatch):
+    """Pairs of 0.82 among texts that share a long passage, in regions cut by label and salt."""
+    monkeypatch.setattr(near, "HOT_ROWS", 2)
+    monkeypatch.setattr(near, "HOT_SHARE", 10**6)
+    draw = random.Random(4)
+    passage, texts = [f"p{k}" for k in range(143)], []
+    for c in range(400):
+        own = [f"own{c}_{k}" for k in range(57)]
+        texts.append(" ".join(passage + own))
+        if c < 40:
+            texts.append(" ".join(passage + own[:20] + [f"new{c}_{k}" for k in range(16)] + own[36:]))
+    draw.shuffle(texts)
+    check_near(table(texts))
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
 def test_recall_of_the_forest(similarity):
     """Pairs at the threshold meet in some order, among unrelated texts."""

@@ -5,11 +5,11 @@ the classes by its own ``DEPTH`` hash values. A region is a run of classes with
 ``SHALLOW`` values; inside it each class is held against those that follow in sorted order, the nearest at the
 shallow depth, farther ones only while they share a longer prefix, so dense regions go deeper. Pairs whose
 whole signatures agree well enough join a candidate cluster. A region that holds a thousandth of all rows is cut by
-full label and salt; every order cuts it elsewhere.
+full label and salt. Both only lower the work: classes of any region in which not all rows meet go to the exact join below.
 
 Candidate clusters are confirmed on full sets, all pairs of a cluster in one bounded task. Clusters too
-large for that are dealt to blocks that share a few pivots; classes of theirs that end up in different parts are
-compared by a prefix join on full sets, which misses no link. Classes in one confirmed part never meet again, and copies are never expanded.
+large for that are dealt to blocks that share a few pivots; classes of theirs and of dense regions that end up in different
+parts are compared by a prefix join on full sets, which misses no link. Classes in one confirmed part never meet again, and copies are never expanded.
 
 Two texts of similarity 0.8 meet in at least one order with probability 1 - (1 - 0.8^5)^24 > 0.9999.
 """
@@ -112,7 +112,7 @@ def regions(classes: DataFrame) -> DataFrame:
     met = key_filter(crowded, "region")(rows, "region").where("__hit").drop("__hit")
     met = met.join(F.broadcast(hot.withColumnRenamed("n", "hot")), "region", "left")
     salt = F.pmod(F.xxhash64("class", "tree"), F.ceil(F.col("hot") / HOT_ROWS))
-    return met.withColumn("key", F.when(F.col("hot").isNull(), F.col("region")).otherwise(F.xxhash64("region", "label", salt))).select("key", "label", "class", "sign")
+    return met.withColumn("key", F.when(F.col("hot").isNull(), F.col("region")).otherwise(F.xxhash64("region", "label", salt))).select("key", "label", "class", "sign", F.col("hot").isNotNull().alias("hot"))
 
 
 class Parts:
@@ -165,7 +165,10 @@ def neighbours(key: np.ndarray, label: np.ndarray, sign: np.ndarray) -> tuple[li
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """a, b, top: pairs of classes whose signatures agree, and the part of their region that they belong to."""
+    """a, b, top: pairs of classes whose signatures agree, and the part of their region that they belong to.
+
+    Where a region holds more rows than a row is held against, a pair of each class with itself says so.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -176,7 +179,10 @@ def candidates(classes: DataFrame) -> DataFrame:
             sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(len(key), -1)
             pairs, part = neighbours(key, label, sign)
             names = table.column("class").to_numpy()
-            a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+            begins = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+            size = np.diff(np.append(begins, len(key)))
+            dense = np.flatnonzero((np.repeat(size, size) > REACH + 1) | table.column("hot").to_numpy())
+            a, b = np.concatenate([np.array(pairs, np.int64).reshape(-1, 2).T, [dense, dense]], axis=1)
             return pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b]), pa.array(names[part[a]])], ["a", "b", "top"])
 
         for batch in batches:
@@ -258,27 +264,32 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """src, dst: confirmed links between classes, enough to connect all classes of a cluster that links connect."""
+    """src, dst: confirmed links between classes, enough to connect all that meet in some order and are similar."""
     pairs = candidates(classes)
+    dense = materialize(pairs.where("a = b").select(F.col("a").alias("class")).distinct(), "dense")
+    pairs = pairs.where("a <> b")
     tops = pairs.select(F.col("top").alias("src"), F.col("a").alias("dst")).unionByName(pairs.select(F.col("top").alias("src"), F.col("b").alias("dst")))
     clusters = materialize(connected_components(tops).select(F.col("id").alias("class"), F.col("component").alias("cluster")), "clusters")
-    members = clusters.join(classes.select("class", "rank", "set_a", "set_b", "n_shingles"), "class")
+    lone = dense.join(clusters, "class", "left_anti").select("class", F.col("class").alias("cluster"))
+    members = clusters.unionByName(lone).join(classes.select("class", "rank", "set_a", "set_b", "n_shingles"), "class")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.when(F.col("n") > 2, F.ceil(F.col("total") / BLOCK_SHINGLES)).otherwise(1)).cast("int"))
-    members = materialize(members.join(sizes.select("cluster", "blocks"), "cluster"), "members")
-    sets = sets_of(docs, members, words).join(members.select("class", "cluster", "blocks"), "class")
+    members = materialize(members.join(sizes.select("cluster", "blocks", "n"), "cluster"), "members")
+    sets = sets_of(docs, members, words).join(members.select("class", "cluster", "blocks", "n"), "class")
     sets = materialize(sets.dropDuplicates(["class"]), "sets")
     pivots = members.where("blocks > 1").groupBy("cluster").agg(F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("class"), F.col("blocks") * (BLOCK_SETS // PIVOTS)) == 0, F.col("class")))), 1, PIVOTS).alias("pivots"))
-    dealt = sets.join(pivots, "cluster", "left")
+    dealt = sets.where("n > 1").join(pivots, "cluster", "left")
     own = F.array(F.pmod(F.xxhash64("class", F.lit(3)), F.col("blocks")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = dealt.withColumn("block", F.explode(F.when(F.coalesce(F.array_contains("pivots", F.col("class")), F.lit(False)), everywhere).otherwise(own)))
     found = materialize(confirmed_in_blocks(dealt.select("cluster", "block", "class", "shingles")), "links")
     large = members.where("blocks > 1").select("class", "cluster", own[0].alias("block"))
-    if large.isEmpty():
+    exact = large.select("class").unionByName(dense).distinct()
+    if exact.isEmpty():
         return found
-    found = materialize(found.unionByName(_links_of_hubs(found, large, sets)), "links")
-    return found.unionByName(_links_by_prefix(found, large.select("class"), sets))
+    if not large.isEmpty():
+        found = materialize(found.unionByName(_links_of_hubs(found, large, sets)), "links")
+    return found.unionByName(_links_by_prefix(found, exact, sets))
 
 
 def _parted(found: DataFrame, table: DataFrame) -> DataFrame:
@@ -309,8 +320,8 @@ def _links_by_prefix(found: DataFrame, exact: DataFrame, sets: DataFrame) -> Dat
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for one in batch.column(0):
-                total += np.bincount(_slots(np.frombuffer(one.as_buffer(), np.uint64)), minlength=SLOTS)
+            if batch.num_rows:
+                total += np.bincount(_slots(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(0)])), minlength=SLOTS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "n"])
 
