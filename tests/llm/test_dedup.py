@@ -118,6 +118,21 @@ def edited(words, share, draw):
     return " ".join(draw.choice("abcdefgh") + str(draw.randrange(999)) if draw.random() < share else w for w in words)
 
 
+def test_drop_near_by_row(table):
+    """Rows without an id, or with the same id, don't go with one another; each component keeps one row."""
+    draw = random.Random(6)
+    fresh = lambda: [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    one, two, three, four, five = (fresh() for _ in range(5))
+    near_copy = lambda words: " ".join([*words[:70], "other", *words[71:]])
+    rows = [(1, " ".join(one)), (None, near_copy(one)), (None, " ".join(two)), (None, " ".join(three)), (None, near_copy(three)), (None, ""), (None, None)]
+    rows += [(5, " ".join(four)), (5, " ".join(five)), (4, near_copy(four)), (9, "a single row"), (7, "twice the same row"), (7, "twice the same row")]
+    got = near.drop_near(table([t for _, t in rows], [i for i, _ in rows])).collect()
+    left = sorted(str((r.doc_id, r.text)) for r in got if r.text not in (" ".join(three), near_copy(three)))
+    want = [r for k, r in enumerate(rows) if k not in (1, 3, 4, 7, 12)]
+    assert left == sorted(map(str, want))
+    assert len(got) == len(want) + 1
+
+
 def test_near_groups(table):
     """Groups about one text, chains of small edits, and texts that share a long passage but are no copies."""
     draw = random.Random(1)

@@ -22,10 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.graph import connected_components
 from ..session import materialize
-from .common import filled, hash_words, key_filter, mix, per_batch, prepare, split_words, without
+from .common import filled, hash_words, key_filter, mix, per_batch, prepare, split_words
 
 WORDS = 4
 SIMILARITY = 80  # percent
@@ -367,21 +368,44 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     A text without words, empty or null, has an empty set and is linked with nothing. A null doc_id is larger than
     any other and is returned as null where nothing smaller is reachable. Repeated rows share their class. An empty table gives no rows.
     """
+    rows, named = _components(docs, words)
+    told = rows.select("doc_id", "rank", "n_shingles", "set_a", "set_b").join(named.select("set_a", "set_b", "first"), ["set_a", "set_b"], "left")
+    lowest = F.when(F.col("n_shingles") > 0, F.col("first.rank")).otherwise(F.col("rank"))
+    return told.select("doc_id", "n_shingles", F.when(lowest != LAST, lowest).alias("component_id"), (F.col("rank") == lowest).alias("kept"))
+
+
+def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and per class (set_a, set_b) the first (rank, set_a, set_b) of its component and the rows that has."""
     docs = prepare(docs).select("doc_id", "text")
     rows = materialize(sketches(docs, words), "sketches")
     real = rows.where("n_shingles > 0")
-    classes = real.groupBy("set_a", "set_b").agg(F.min("rank").alias("rank"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign"))
+    classes = real.groupBy("set_a", "set_b").agg(F.min("rank").alias("rank"), F.first("n_shingles").alias("n_shingles"), F.first("sign").alias("sign"), F.count(F.lit(1)).alias("copies"))
     classes = materialize(classes.withColumn("class", F.xxhash64("set_a", "set_b")), "classes")
     part = connected_components(links(docs, classes, words)).select(F.col("id").alias("class"), "component")
-    joined = classes.select("set_a", "set_b", "class", "rank").join(part, "class", "left")
-    lowest = joined.groupBy(F.coalesce("component", "class").alias("component")).agg(F.min("rank").alias("lowest"))
-    named = joined.withColumn("component", F.coalesce("component", "class")).join(lowest, "component").select("set_a", "set_b", "lowest")
-    told = rows.select("doc_id", "rank", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-    lowest = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("rank"))
-    return told.select("doc_id", "n_shingles", F.when(lowest != LAST, lowest).alias("component_id"), (F.col("rank") == lowest).alias("kept"))
+    joined = classes.select("set_a", "set_b", "class", "rank", "copies").join(part, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    firsts = joined.groupBy("component").agg(F.min(F.struct("rank", "set_a", "set_b")).alias("first"), F.sum("copies").alias("n_rows"))
+    return rows, joined.join(firsts, "component").select("set_a", "set_b", "first", "n_rows")
 
 
 def drop_near(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id."""
-    lost = near_duplicates(docs, words).where("not kept").select("doc_id").distinct()
-    return without(docs, materialize(lost, "lost"))
+    """``docs`` with exactly one row of each component, one with the smallest doc_id, and all rows without words.
+
+    Rows are told apart by doc_id and shingle set, so rows that share a doc_id, or have none, don't go with one another.
+    Rows whose id is that of no row with a near copy stay where they are.
+    """
+    rows, named = _components(docs, words)
+    many = materialize(named.where("n_rows > 1").select(F.col("set_a").alias("__a"), F.col("set_b").alias("__b"), F.col("first").alias("__first")), "many")
+    touched = rows.join(many, (F.col("set_a") == F.col("__a")) & (F.col("set_b") == F.col("__b")), "left_semi").select("rank").distinct()
+    tested = key_filter(touched, "rank")(docs.withColumn("__rank", F.coalesce("doc_id", F.lit(LAST))), "__rank")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = [class_of(s) for s in shingles(filled(batch), words)]
+        sums = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
+        return pa.RecordBatch.from_arrays([*batch.columns, *sums], [*batch.schema.names, "__a", "__b"])
+
+    hits = tested.where("__hit").drop("__hit")
+    schema = T.StructType([*hits.schema.fields, T.StructField("__a", T.LongType()), T.StructField("__b", T.LongType())])
+    marked = per_batch(hits, work, schema).join(many, ["__a", "__b"], "left")
+    alone = marked.where("__first is null")
+    first = marked.where("__first.rank = __rank and __first.set_a = __a and __first.set_b = __b").dropDuplicates(["__a", "__b"])
+    return tested.where("not __hit").select(*docs.columns).unionByName(alone.select(*docs.columns)).unionByName(first.select(*docs.columns))
