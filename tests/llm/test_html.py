@@ -65,6 +65,19 @@ def test_parse_of_broken_markup():
     assert len(html.parse("<div>" * 3000 + "x")) == 3002
 
 
+def test_nothing_is_lost_after_self_closed_or_unclosed_tags(model):
+    text = lambda page: html.written(nodes := html.parse(page), [True] * len(nodes))
+    for tag in ("svg", "math"):
+        assert text(f"<p>one <{tag} class='i'/> two</p><p>three</p>") == "one two\n\nthree"
+    for tag in ("button", "select", "object", "template", "noscript", "svg"):
+        assert text(f"<{tag}><p>one</p><p>two</p>") == "one\n\ntwo"
+    assert text("<p>Let <math><mi>x</mi><mo>=</mo><mspace/><mn>1</mn></math> be so.</p>") == "Let x=1 be so."
+    assert text("<p>a</p><script>if (1 < 2) '<p>b</p>'</script><textarea><p>c</p></textarea><p>d") == "a\n\nd"
+    body = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    want = "\n\n".join(" ".join(html.entities.unescape(p).split()) for p in ARTICLE)
+    assert run(f"<html><body><svg width='9'/><article>{body}</article></body></html>", model) == want
+
+
 def test_decoding_is_the_best_labelling():
     draw = np.random.default_rng(0)
     for _ in range(50):

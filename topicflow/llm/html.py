@@ -32,9 +32,10 @@ TREES, DEPTH, RATE, BINS, LEAST_WEIGHT, SHRINK = 40, 4, 0.3, 16, 2.0, 1.0
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-RAW = frozenset("script style textarea noscript template iframe svg math object title select button".split())
+RAW = frozenset("script style textarea iframe title".split())  # no mark-up is read up to their end
+MATH = frozenset("math semantics mrow mi mn mo ms mtext mfrac msqrt mroot msub msup msubsup mover munder munderover mstyle mspace mpadded mtable mtr mtd".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()) | MATH
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 KINDS = ("nav", "header", "footer", "aside", "form", "article", "main", "p", "li", "ul", "ol", "div", "section", "table", "td", "blockquote", "figure", "h1", "h2", "h3", "body", "#text")
@@ -125,6 +126,8 @@ def parse(page: str) -> list[Node]:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if (tag == "svg" or tag in MATH) and found[3].endswith("/"):
+            continue
         if tag in ENDS_P or tag in CLOSES:
             enders = CLOSES.get(tag, ("p",))
             for k in range(len(open_) - 1, 0, -1):
