@@ -170,3 +170,13 @@ def test_filter_has_no_false_negatives():
     held = lm.Filter(np.packbits(bits), np.zeros(1, np.int64), size, 0)
     assert held.holds(keys, 1).all()
     assert held.holds(keys + np.uint64(12345), 1).mean() < 0.1
+
+
+def test_filter_in_blocks(spark, odd, monkeypatch):
+    """A filter of many blocks knows as much as one of a single block."""
+    for docs in (spark.read.parquet(f"{SF}/documents.parquet"), odd):
+        told = lambda: sorted((str((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens)), round(r.base_score, 6), round(r.score, 6)) for r in lm.score(docs).collect())  # noqa: B023, E731
+        whole = told()
+        with monkeypatch.context() as small:
+            small.setattr(lm, "FILTER_BYTES", 1024)
+            assert told() == whole

@@ -3,8 +3,9 @@
 An n-gram of count c has the level 1 + floor(log2 c) and is entered once for each level up to its
 own; asking for level 1, 2, ... until the filter denies one gives its quantised count. N-grams are
 counted per key bucket, and the task that merges a bucket builds the bucket's own segment of the
-filter, so no task or driver holds counts of more than one bucket. The filter has at most
-``FILTER_BYTES`` and is broadcast; with more n-grams than that can hold well, its false hits grow, not its size.
+filter, so no task or driver holds counts of more than one bucket. The filter grows with the n-grams and is broadcast in
+blocks of ``FILTER_BYTES``. With more than one block each pass over the texts writes the levels that its block knows, a
+byte per token and n-gram, and the score is made of their sums; so its false hits are the same at every size.
 
 The exact unigram counts behind the base score go to the workers in blocks of ``BLOCK_BYTES``, one
 pass over the texts per block. Words are known by a 64-bit hash, pairs by another.
@@ -12,11 +13,13 @@ pass over the texts per block. Words are known by a 64-bit hash, pairs by anothe
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,8 +123,6 @@ def levels(counts: np.ndarray) -> np.ndarray:
 
 def build(counts: DataFrame, bucket_bits: int) -> DataFrame:
     """Per bucket the merged word counts and the segment of the filter that holds its words and pairs."""
-    most_bits = FILTER_BYTES * 8 >> bucket_bits
-
     def merge(table: pa.Table) -> pa.Table:
         parts: list[list] = [[], []]
         for kind, keys, found in zip(table.column("kind").to_pylist(), table.column("keys").to_pylist(), table.column("counts").to_pylist()):
@@ -129,7 +130,7 @@ def build(counts: DataFrame, bucket_bits: int) -> DataFrame:
         words, word_counts = counted(parts[0])
         pairs, pair_counts = counted(parts[1])
         keys, level = np.concatenate([word_keys(words), pairs]), np.concatenate([levels(word_counts), levels(pair_counts)])
-        n_bits = int(min(max(BITS_PER_ENTRY * level.sum(), 64), most_bits)) // 8 * 8
+        n_bits = int(max(BITS_PER_ENTRY * level.sum(), 64)) // 8 * 8
         bits, size = np.zeros(n_bits, bool), np.array([n_bits])
         for step in range(1, int(level.max(initial=0)) + 1):
             mine = keys[level >= step]
@@ -142,7 +143,7 @@ def build(counts: DataFrame, bucket_bits: int) -> DataFrame:
 
 
 class Filter:
-    """The segments of all buckets, one after another."""
+    """The segments of some buckets, one after another; the others hold nothing."""
 
     def __init__(self, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bucket_bits: int):
         self.bits, self.starts, self.sizes, self.bucket_bits = bits, starts, sizes, bucket_bits
@@ -157,15 +158,29 @@ class Filter:
         out[yes] = True
         return out
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """The middle of the quantised count of each key; 0 where level 1 is denied."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The highest level of each key up to which none is denied; 0 where level 1 is."""
         level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
         for step in range(1, TOP_LEVEL + 1):
             left = left[self.holds(keys[left], step)]
             if not len(left):
                 break
             level[left] = step
-        return np.where(level > 0, (3.0 * 2.0 ** (level - 1) - 1) / 2, 0.0)
+        return level
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts of a level; 0 for level 0."""
+    return np.where(level > 0, (3.0 * 2.0 ** (level.astype(float) - 1) - 1) / 2, 0.0)
+
+
+def log_terms(alone: np.ndarray, both: np.ndarray, offsets: np.ndarray, total: float) -> np.ndarray:
+    """The log probability of each token from the levels of the tokens and of the pairs they end; each text ends with an end."""
+    alone, both = middle(alone), middle(both)
+    of_first = np.append(0.0, alone[:-1])
+    of_first[offsets[:-1]] = alone[offsets[1:] - 1]
+    p = (np.minimum(both, of_first) + PULL * (alone + 0.5) / total) / (of_first + PULL)
+    return np.log10(np.minimum(p, 1.0))
 
 
 def blocks(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
@@ -193,17 +208,30 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     model = build(gather(docs.where(fold() != UNSEEN_FOLD), bucket_bits), bucket_bits)
     sizes = model.select("bucket", F.octet_length("keys").alias("size"), "tokens", "n_bits").collect()  # a row per bucket
     n, v = sum(r["tokens"] for r in sizes), sum(r["size"] // 8 for r in sizes)
-    shared = spark.sparkContext.broadcast(_filter(model, sizes, bucket_bits))
     runs = blocks([(r["bucket"], 2 * r["size"]) for r in sizes], block_bytes)
-    if len(runs) == 1:
-        scored = _pass(docs, model, sizes, runs[0], bucket_bits, n, v, shared, first=True)
+    parts = blocks([(r["bucket"], r["n_bits"] // 8) for r in sizes], FILTER_BYTES)
+    send = lambda part: spark.sparkContext.broadcast(_filter(model, [r for r in sizes if r["bucket"] in part], bucket_bits))
+    if len(runs) == len(parts) == 1:
+        scored, _ = _pass(docs, model, sizes, runs[0], bucket_bits, n, v, send(set(parts[0])), first=True)
     else:
         rows = materialize(docs.withColumn("at", F.monotonically_increasing_id()), "texts")
-        passes = [_pass(rows, model, sizes, run, bucket_bits, n, v, shared, first=k == 0) for k, run in enumerate(runs)]
-        scored = passes[0]
-        for more in passes[1:]:
-            scored = scored.unionByName(more)
-        scored = scored.groupBy("at").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+        passes = []
+        for k, run in enumerate(runs):  # one after another, so that the driver holds one block at a time
+            shared = send(set(parts[0])) if k == 0 and len(parts) == 1 else None
+            more, known = _pass(rows, model, sizes, run, bucket_bits, n, v, shared, first=k == 0)
+            passes.append(materialize(more, "pass"))
+            for sent in (known, shared):
+                if sent:
+                    sent.destroy()
+        if len(parts) > 1:
+            found = []
+            for part in parts:
+                shared = send(set(part))
+                found.append(materialize(_levels(rows, shared), "levels"))
+                shared.destroy()
+            passes.append(_of_levels(functools.reduce(DataFrame.unionByName, found), n, v))
+        scored = functools.reduce(DataFrame.unionByName, passes)
+        scored = scored.groupBy("at").agg(F.first("doc_id", ignorenulls=True).alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
     return scored.select("doc_id", (fold() == UNSEEN_FOLD).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
@@ -221,7 +249,7 @@ def _read(model: DataFrame, buckets: list[int], column: str, kind: type, total:
 
 
 def _filter(model: DataFrame, rows: list, bucket_bits: int) -> Filter:
-    """The whole filter, at most ``FILTER_BYTES``, for the broadcast."""
+    """The filter of the buckets in ``rows``, for the broadcast."""
     starts, sizes = np.zeros(1 << bucket_bits, np.int64), np.zeros(1 << bucket_bits, np.int64)
     for r in rows:
         sizes[r["bucket"]] = r["n_bits"]
@@ -230,8 +258,46 @@ def _filter(model: DataFrame, rows: list, bucket_bits: int) -> Filter:
     return Filter(bits, starts, sizes, bucket_bits)
 
 
-def _pass(docs: DataFrame, model: DataFrame, sizes: list, run: list[int], bucket_bits: int, n: int, v: int, shared, first: bool) -> DataFrame:
-    """What the words of some buckets add to the base score; the first pass also counts tokens and asks the filter."""
+def _total(n: int, v: int) -> float:
+    return max(n + 0.5 * (v + 1), 0.5)
+
+
+def _levels(rows: DataFrame, shared) -> DataFrame:
+    """at, levels (a byte per token, then a byte per pair): 0 where another block of the filter has the bucket."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                codes, offsets, hashes = tokens(filled(batch, "text"))
+                alone = ask.levels(word_keys(hashes)).astype(np.uint8)[codes]
+                both = ask.levels(pair_keys(hashes, codes, offsets)).astype(np.uint8)
+                told = [alone[a:b].tobytes() + both[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("at")), pa.array(told, pa.binary())], ["at", "levels"])
+
+    return rows.select("at", "text").mapInArrow(work, "at long, levels binary")
+
+
+def _of_levels(levels: DataFrame, n: int, v: int) -> DataFrame:
+    """The score of each text from the levels of all blocks, as a pass that adds nothing else."""
+    total = _total(n, v)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for blocks_ in batch.column(1):
+                found = np.sum([np.frombuffer(x.as_buffer(), np.uint8) for x in blocks_.values], axis=0)
+                alone, both = found.reshape(2, -1)
+                out.append(float(log_terms(alone, both, np.array([0, len(alone)]), total).sum()))
+            none, zero = pa.nulls(len(out), pa.int64()), pa.array(np.zeros(len(out), np.int64))
+            columns = [none, zero, zero, pa.array(np.zeros(len(out))), pa.array(out, pa.float64()), batch.column(0)]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in TEXT_SCORES.split(", ")] + ["at"])
+
+    return levels.groupBy("at").agg(F.collect_list("levels").alias("levels")).mapInArrow(work, f"{TEXT_SCORES}, at long")
+
+
+def _pass(docs: DataFrame, model: DataFrame, sizes: list, run: list[int], bucket_bits: int, n: int, v: int, shared, first: bool) -> tuple[DataFrame, Broadcast]:
+    """What the words of some buckets add to the base score, and the broadcast it reads; the first pass also counts tokens, and asks the filter if it is given."""
     held = {r["bucket"]: r["size"] // 8 for r in sizes}
     total_keys = sum(held[b] for b in run)
     keys, found = _read(model, run, "keys", np.uint64, total_keys), _read(model, run, "counts", np.int64, total_keys)
@@ -242,7 +308,7 @@ def _pass(docs: DataFrame, model: DataFrame, sizes: list, run: list[int], bucket
     mine[run] = True
     if first:  # buckets without any word belong to the first pass
         mine |= ~np.isin(np.arange(len(mine)), list(held))
-    total = max(n + 0.5 * (v + 1), 0.5)
+    total = _total(n, v)
     carried = [c for c in docs.columns if c == "at"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,16 +324,11 @@ def _pass(docs: DataFrame, model: DataFrame, sizes: list, run: list[int], bucket
             row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             sums = lambda x: np.bincount(row, x, batch.num_rows)
             size, score_ = np.diff(offsets) * first, np.zeros(batch.num_rows)
-            if first:
+            if shared:
                 ask = shared.value
-                alone = ask.counts(word_keys(hashes))
-                both = ask.counts(pair_keys(hashes, codes, offsets))
-                before = np.append(len(hashes) - 1, codes[:-1])
-                before[offsets[:-1]] = len(hashes) - 1
-                of_first = alone[before]
-                p = (np.minimum(both, of_first) + PULL * (alone[codes] + 0.5) / total) / (of_first + PULL)
-                score_ = sums(np.log10(np.minimum(p, 1.0)))
+                alone, both = ask.levels(word_keys(hashes)), ask.levels(pair_keys(hashes, codes, offsets))
+                score_ = sums(log_terms(alone[codes], both, offsets, total))
             columns = {"doc_id": batch.column(0), "n_tokens": pa.array(size.astype(np.int64)), "n_known": pa.array(sums((c > 0)[codes]).astype(np.int64)), "base": pa.array(sums(base[codes])), "score": pa.array(score_)}
             yield pa.RecordBatch.from_pydict(columns | {k: batch.column(batch.schema.get_field_index(k)) for k in carried})
 
-    return docs.mapInArrow(work, TEXT_SCORES + "".join(f", {c} long" for c in carried))
+    return docs.mapInArrow(work, TEXT_SCORES + "".join(f", {c} long" for c in carried)), known
