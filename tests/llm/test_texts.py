@@ -120,6 +120,22 @@ def test_licenses(spark, odd, table):
     assert licenses.scan(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("ending", ["\n", "\r\n * "])
+def test_wrapped_licenses(table, ending):
+    """Each template wrapped after each of its words, in a text with other sentences."""
+    texts, labels = [], []
+    for label, template in licenses.TEMPLATES:
+        words = template.split()
+        for k in range(1, len(words)):
+            texts.append("Some code by somebody.\n" + " ".join(words[:k]) + ending + " ".join(words[k:]) + ".\nOther words. More of them")
+            labels.append(label)
+    for r, label in zip(sorted(licenses.scan(table(texts)).collect(), key=lambda r: r.doc_id), labels):
+        assert label in r.labels.split(",") and r.score == 1.0 and max(m.containment for m in r.matches) == 1.0
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    apart = bsd.replace("\n", ".\n"), bsd.replace("\n", "\n\n"), bsd.replace("\n", " word" * 40 + "\n" + "word " * 40)
+    assert [r.labels for r in licenses.scan(table([bsd, *apart])).collect()] == ["bsd", "", "", ""]
+
+
 def expected_lm(rows):
     unseen = lambda r: zlib.crc32(str(r.doc_id).encode() if r.doc_id is not None else b"") % 5 == 1
     tokens = {id(r): [*words_of(lower(r.text)), "\n"] for r in rows}

@@ -1,7 +1,8 @@
 """Licence scans: an exact set-similarity join of text blocks with licence templates.
 
 A block (sentence or line) meets a template when it holds at least ``threshold`` of the template's
-different words. Words have one global order, rarest in the corpus first, counted over all texts. Every
+different words. Sentences that go on over single line breaks are also read in overlapping windows of twice the
+longest template, so that wrapped notices are met. Words have one global order, rarest in the corpus first, counted over all texts. Every
 template has a prefix so long that a block without any word of it can't reach the threshold; only blocks
 that hold a prefix word become candidates, those with too few template words (length) or too few
 left behind the meeting place (position) are dropped, and the rest are counted out on full sets. The
@@ -47,18 +48,42 @@ SCAN = "doc_id long, n_words long, n_base long, first_word long, last_word long,
 MATCH = pa.struct([("template", pa.int32()), ("block", pa.int32()), ("containment", pa.float64())])
 
 
-def block_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
-    """Row and block (within the batch) of each word, and the words. Blocks end at a line break or a full stop, ! or ? before a space."""
+def block_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.DictionaryArray]:
+    """Row, block and sentence (within the batch) of each word, and the words.
+
+    Blocks end at a line break or a full stop, ! or ? before a space; sentences go on over a line break, but not over a line without words.
+    """
     lower = pc.ascii_lower(texts)
     for stop in ".!?":
-        lower = pc.replace_substring(lower, f"{stop} ", "\n")
+        lower = pc.replace_substring(lower, f"{stop} ", "\n\0")  # the zero, no part of a word, tells this end from a line break
     lists = pc.split_pattern(lower, "\n")
     row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
     words = pc.ascii_split_whitespace(pc.replace_substring_regex(lists.flatten(), NOT_WORDS, " "))
     flat = words.flatten()
     real = pc.greater(pc.binary_length(flat), 0)
     block = np.repeat(np.arange(len(row)), np.diff(words.offsets.to_numpy()))[real.to_numpy(zero_copy_only=False)]
-    return row[block], block, flat.filter(real).dictionary_encode()
+    pieces = lists.flatten()
+    begins = pc.or_(pc.starts_with(pieces, "\0"), pc.equal(pc.binary_length(pieces), 0)).to_numpy(zero_copy_only=False)
+    ends = pc.match_substring_regex(pieces, "[.!?]\\s*$").to_numpy(zero_copy_only=False) | (np.bincount(block, minlength=len(row)) == 0)
+    begins = begins | (np.diff(row, prepend=-1) != 0) | np.append(True, ends[:-1])[: len(row)]
+    return row[block], block, np.cumsum(begins)[block], flat.filter(real).dictionary_encode()
+
+
+def wrapped_windows(block: np.ndarray, sentence: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of ``2 * step`` words, one each ``step`` words of a sentence, that lie in more than one block: first word of
+    the window and place of each of its words, and by first word the last one."""
+    n = len(block)
+    begins = np.flatnonzero(np.diff(sentence, prepend=-1))
+    size = np.diff(np.append(begins, n))
+    first, end = np.repeat(begins, size), np.repeat(begins + size, size)
+    at = np.arange(n)
+    start = first + (at - first) // step * step
+    last = np.minimum(at + 2 * step, end) - 1  # of a window that begins at this word
+    place, of = np.concatenate([at, at]), np.concatenate([start, start - step])
+    real = of >= np.concatenate([first, first])
+    place, of = place[real], of[real]
+    wrapped = block[of] != block[last[of]]
+    return of[wrapped], place[wrapped], last
 
 
 def vocabulary(templates: Sequence[tuple[str, str]]) -> list[str]:
@@ -70,7 +95,7 @@ def frequencies(docs: DataFrame, words: list[str]) -> dict[str, int]:
     known = pa.array(words, pa.string())
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, _, coded = block_words(filled(batch, "text"))
+        _, _, _, coded = block_words(filled(batch, "text"))
         place = pc.fill_null(pc.index_in(coded.dictionary, known), len(words)).to_numpy(zero_copy_only=False)
         total = np.bincount(place[coded.indices.to_numpy()], minlength=len(words) + 1)[:-1]
         return pa.RecordBatch.from_arrays([pa.array(np.arange(len(words))), pa.array(total.astype(np.int64))], ["word", "n"])
@@ -134,7 +159,7 @@ def phrase_starts(codes: np.ndarray, row: np.ndarray, dictionary: pa.Array, phra
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, phrases: Sequence[tuple[str, str]] = PHRASES) -> DataFrame:
     """Per row of ``docs``: words, places of the phrases, labels, the best containment of a template (0 without any
-    that meets the threshold) and all matches (template, block of the text, containment).
+    that meets the threshold) and all matches (template, block of the text, containment); a wrapped notice is given with the block its window begins in.
 
     A null or empty text has no words, no labels (the empty string) and score 0. Repeated rows give repeated results; an empty
     table gives none.
@@ -143,10 +168,11 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, thre
     join = Join.of(templates, frequencies(docs, vocabulary(templates)), threshold)
     labels_of = [label for label, _ in templates]
     ranked = pa.array(join.words, pa.string())
+    step = max((len(text.split()) for _, text in templates), default=1)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
-        row, block, coded = block_words(filled(batch, "text"))
+        row, block, sentence, coded = block_words(filled(batch, "text"))
         codes = coded.indices.to_numpy()
         n_words = np.bincount(row, minlength=n)
         first_of = np.concatenate([[0], np.cumsum(n_words)])
@@ -173,10 +199,23 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, thre
                 first_block[r] = int(block[first_of[r]])
             matches[r].append({"template": template, "block": at - first_block[r], "containment": shared / len(join.sets[template])})
             labels[r].add(labels_of[template])
+        window, place, last = wrapped_windows(block, sentence, step)
+        real = rank[place] >= 0
+        both = np.unique(window[real] * max(len(ranked), 1) + rank[place[real]])
+        for template, at, shared in join.pairs(both // max(len(ranked), 1), both % max(len(ranked), 1)):
+            r, share = int(row[at]), shared / len(join.sets[template])
+            begin = int(block[first_of[r]])
+            low_block, high_block = int(block[at]) - begin, int(block[last[at]]) - begin
+            met = [m for m in matches[r] if m["template"] == template and low_block <= m["block"] <= high_block]
+            for m in met:  # the same notice, met in one of its lines or in the window before
+                m["containment"] = max(m["containment"], share)
+            if not met:
+                matches[r].append({"template": template, "block": low_block, "containment": share})
+                labels[r].add(labels_of[template])
         told = lambda sets: pa.array([",".join(sorted(s)) for s in sets], pa.string())
         score = [max((m["containment"] for m in found), default=0.0) for found in matches]
-        place = lambda x: pa.array(x.astype(np.int64), pa.int64(), mask=x < 0)
-        columns = [batch.column(0), pa.array(n_words.astype(np.int64)), pa.array(n_base), place(low), place(high), told(base), told(labels), pa.array(score, pa.float64()), pa.array(matches, pa.list_(MATCH))]
+        where = lambda x: pa.array(x.astype(np.int64), pa.int64(), mask=x < 0)
+        columns = [batch.column(0), pa.array(n_words.astype(np.int64)), pa.array(n_base), where(low), where(high), told(base), told(labels), pa.array(score, pa.float64()), pa.array(matches, pa.list_(MATCH))]
         return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCAN.split(", ")])
 
     return per_batch(docs.select("doc_id", "text"), work, SCAN)
