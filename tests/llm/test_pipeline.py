@@ -18,7 +18,7 @@ def test_every_operator_is_registered():
 
 def test_queries_return_their_tables(spark):
     for name, build in llm.QUERIES.items():
-        if name.startswith("op"):
+        if name.startswith("op") and name.split("_")[0] not in ("op11", "op13"):  # one row per node or word
             wanted = spark.read.parquet(f"{SF}/{'pages' if name.startswith('op6') else 'documents'}.parquet").count()
             rows = build(spark, SF).count()
             assert rows >= wanted if name.startswith("op5") else rows == wanted, name

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, dedup, html, licenses, lm, near, packing, quality, shards, toxicity
+from . import bpe, dedup, html, licenses, lm, near, packing, quality, shards, toxicity, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +80,50 @@ def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(table(spark, folder, "documents"))
 
 
+# crc32 by its table: 3988292384 is the reversed polynomial, 4294967295 the start and the last exclusive or
+CRCS = """crcs AS (
+  SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY n) AS t
+  FROM range(256) AS r(n))"""
+
+
+def crc_of(codes: str) -> str:
+    """SQL for the crc32 of a list of byte values."""
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda a, x: xor(a >> 8, crcs.t[xor(a, x) % 256 + 1])), 4294967295)"
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+ORACLES["op11_conversation_trie"] = f"""
+WITH {CRCS},
+turns AS (
+  SELECT conv_id AS c, strlen(coalesce(text, '')) AS bytes, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sha,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, c - c % 5 AS base, CASE WHEN c % 5 = 0 THEN 0 ELSE {crc_of("list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)")} % 9 END AS skip
+  FROM (SELECT DISTINCT c FROM turns), crcs),
+parts AS (
+  SELECT i.c, 0 AS part, t.pos, t.sha, t.bytes FROM ids i JOIN turns t ON t.c = i.base AND i.c <> i.base AND t.pos <= i.skip
+  UNION ALL SELECT i.c, 1, t.pos, t.sha, t.bytes FROM ids i JOIN turns t ON t.c = i.c AND t.pos > i.skip),
+whole AS (
+  SELECT i.c, coalesce(list(p.sha ORDER BY part, pos) FILTER (p.sha IS NOT NULL), []) AS s, list(p.bytes ORDER BY part, pos) AS b
+  FROM ids i LEFT JOIN parts p ON p.c = i.c GROUP BY i.c),
+prefixes AS (SELECT c, s, b, d, s[1:d] AS k FROM whole, unnest(range(len(s) + 1)) AS u(d)),
+nodes AS (
+  SELECT d, k, min(c) AS c, count(*) AS n, (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE max(b[d]) END AS own,
+    count(DISTINCT s[1:d + 1]) FILTER (len(s) > d) AS kids, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '') AS ends
+  FROM prefixes GROUP BY d, k),
+below AS (
+  SELECT up, k[1:up] AS k, sum(own) AS saved, count(*) FILTER (kids = 0) AS leaves FROM nodes, unnest(range(d + 1)) AS u(up) GROUP BY ALL)
+SELECT v.c AS conv_id, v.d AS depth, p.c AS parent_conv_id, v.n AS n_convs, v.kids AS n_children, b.leaves AS n_leaves,
+  b.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v JOIN below b ON b.up = v.d AND b.k = v.k LEFT JOIN nodes p ON p.d = v.d - 1 AND p.k = v.k[1:v.d - 1] AND v.d > 0
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
