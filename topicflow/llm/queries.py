@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, dedup, html, licenses, lm, near, packing, quality, shards, toxicity, trie
+from . import bpe, dedup, html, licenses, lm, near, packing, quality, shards, spelling, toxicity, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,6 +124,40 @@ FROM nodes v JOIN below b ON b.up = v.d AND b.k = v.k LEFT JOIN nodes p ON p.d =
 """
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE {CRCS},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{dedup.A_TO_Z}', '{dedup.A_TO_Z.lower()}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+marked AS (
+  SELECT run, n, {crc_of("flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x) - 64] END))")} AS h
+  FROM runs, crcs),
+spelt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM marked),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(k)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.k = b.k AND a.rest = b.rest WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word),
+linked AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.other END AS form, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chain(word, tip) AS (
+  SELECT word, word FROM linked
+  UNION ALL SELECT c.word, l.form FROM chain c JOIN linked l ON l.word = c.tip WHERE l.form IS NOT NULL)
+SELECT l.word, l.form, c.tip AS root, l.n, l.n_near, l.form_n
+FROM linked l JOIN chain c ON c.word = l.word JOIN linked e ON e.word = c.tip AND e.form IS NULL
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
