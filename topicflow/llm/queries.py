@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, dedup, html, licenses, lm, near, packing, quality, shards, spelling, toxicity, trie
+from . import bpe, classifier, dedup, html, licenses, lm, near, packing, quality, shards, spelling, toxicity, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,6 +124,11 @@ FROM nodes v JOIN below b ON b.up = v.d AND b.k = v.k LEFT JOIN nodes p ON p.d =
 """
 
 
+@query
+def op12_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
