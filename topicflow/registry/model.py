@@ -326,7 +326,7 @@ def _(v):
 
 
 @query("dbcv_core_distances", """
-    SELECT doc_id, topic, round(pow(sum(pow(d, -64)) / (count(*)), -1 / 64.0::DOUBLE), 6) AS core FROM (
+    SELECT doc_id, topic, round(coalesce(pow(sum(pow(d, -64)) FILTER (d > 0) / count(*), -1 / 64.0::DOUBLE), 0), 6) AS core FROM (
         SELECT a.doc_id, a.topic, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) AS d
         FROM emb a JOIN emb b ON a.topic = b.topic AND a.doc_id <> b.doc_id WHERE a.topic <> -1) GROUP BY doc_id, topic""", "emb")
 def _(v):
