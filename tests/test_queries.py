@@ -41,5 +41,5 @@ def test_entry(spark):
 def test_only_checks_without_sql():
     """Queries that SQL cannot state: spanning trees, principal components, whole fits."""
     assert set(QUERIES) - set(ORACLES) == {
-        "reduce_dims", "fit_topics", "reduce_noise_plan", "dbcv", "model_metrics", "search_trials", "train_chain", "tune_chain",
+        "reduce_dims", "fit_topics", "reduce_noise_plan", "dbcv", "model_metrics", "search_trials", "train_chain", "tune_chain", "density_hierarchy",
     }

@@ -248,3 +248,48 @@ def test_cross_channel_pairs(spark, channels):
     order = sorted(rows, key=lambda r: hashlib.md5(f"{r[0]}|42".encode()).hexdigest())
     want = [(a[0], b[0]) for a, b in zip(order[::2], order[1::2]) if a[1] != b[1]][:12]
     assert sorted((r.a, r.b) for r in cross_channel_pairs(df, 12).collect()) == sorted(want)
+
+
+def blocks_of(points, labels):
+    rng = np.random.default_rng(8)
+    order = rng.permutation(len(points))
+    return points[order], labels[order]
+
+
+def prim_dbcv(points, labels):
+    """The definition with whole matrices per cluster; ties between edges go to the lower places."""
+    from test_hierarchy import kruskal
+
+    n, dims, parts = len(points), points.shape[1], {}
+    for t in np.unique(labels):
+        x = points[labels == t]
+        square = (x**2).sum(1)
+        dist = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * x @ x.T, 0))
+        np.fill_diagonal(dist, np.inf)
+        core = ((dist**-dims).sum(1) / (len(x) - 1)) ** (-1 / dims)
+        np.fill_diagonal(dist, 0)
+        tree = kruskal(np.maximum(dist, np.maximum(core[:, None], core[None])))
+        degree = np.bincount([i for _, a, b in tree for i in (a, b)], minlength=len(x))
+        inner = degree > 1
+        parts[t] = (x[inner], core[inner], max([w for w, a, b in tree if inner[a] and inner[b]] or [w for w, _, _ in tree]), len(x))
+    score = 0.0
+    for t, (x, core, sparse, size) in parts.items():
+        sep = min(
+            np.maximum(np.sqrt(np.maximum((x**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * x @ y.T, 0)), np.maximum(core[:, None], other[None])).min()
+            for u, (y, other, _, _) in parts.items() if u != t
+        )
+        score += size / n * (sep - sparse) / max(sep, sparse)
+    return score
+
+
+@pytest.mark.parametrize("sizes,block_rows", [((140, 60, 30), 40), ((5000, 5000), 4096)])
+def test_dbcv_of_large_clusters(spark, sizes, block_rows):
+    """Core distances from blocks, trees from rounds, separation from pruned cells."""
+    rng = np.random.default_rng(6)
+    labels = np.repeat(np.arange(len(sizes)), sizes)
+    points, labels = blocks_of(rng.normal(size=(len(labels), 4)) * (1 + labels[:, None]) + labels[:, None] * 9.0, labels)
+    topics = spark.createDataFrame([(i, int(t)) for i, t in enumerate(labels)], "doc_id long, topic int")
+    small = 50 if len(sizes) == 3 else quality.SMALL_CLUSTER
+    row = quality.dbcv(frame(spark, points), topics, block_rows=block_rows, small=small).first()
+    assert row.points == len(labels) and row.clusters == len(sizes)
+    assert abs(row.dbcv_score - prim_dbcv(points, labels)) < 1e-9

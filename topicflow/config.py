@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import floor
 
 # Defaults that must equal the reference's for equal results.
@@ -71,19 +71,15 @@ class ClusterParams:
     min_samples: int = 146
     n_components: int = 12
     eps: float | None = None
+    method: str = "cut"  # or "hierarchy"
 
     def scaled(self, corpus_size: int, reference_size: int = REFERENCE_CORPUS_SIZE) -> "ClusterParams":
         """Sizes follow the corpus: floor(v * corpus / reference), at least 10 and 5."""
         share = corpus_size / reference_size
-        return ClusterParams(
-            min_cluster_size=max(10, floor(self.min_cluster_size * share)),
-            min_samples=max(5, floor(self.min_samples * share)),
-            n_components=self.n_components,
-            eps=self.eps,
+        return replace(
+            self, min_cluster_size=max(10, floor(self.min_cluster_size * share)), min_samples=max(5, floor(self.min_samples * share))
         )
 
     def for_heterogeneous(self) -> "ClusterParams":
         """Smaller clusters for topics whose core and periphery disagree."""
-        return ClusterParams(
-            max(10, floor(0.7 * self.min_cluster_size)), self.min_samples, self.n_components, self.eps
-        )
+        return replace(self, min_cluster_size=max(10, floor(0.7 * self.min_cluster_size)))

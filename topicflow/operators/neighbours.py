@@ -258,10 +258,10 @@ def nearest(
 
 
 def knn_cosine(
-    emb: DataFrame, k: int, key: str = "doc_id", vec: str = "embedding", **options: int
+    emb: DataFrame, k: int, key: str = "doc_id", vec: str = "embedding", by: str | None = None, **options: int
 ) -> DataFrame:
-    """``doc_id, neighbour_id, similarity, rank`` for the k nearest other documents."""
-    found = nearest(emb, emb, k, key, key, vec, vec, exclude_self=True, **options)
+    """``doc_id, neighbour_id, similarity, rank`` for the k nearest other documents, with ``by`` of the same slice."""
+    found = nearest(emb, emb, k, key, key, vec, vec, by, exclude_self=True, **options)
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("sim"), "iid"))
     return found.select(
         F.col("qid").alias(key), F.col("iid").alias("neighbour_id"), F.col("sim").alias("similarity"), rank.alias("rank")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..config import NOISE, RANDOM_SEED, ClusterParams, OutlierThresholds
 from ..functions.scale import side_by_side
-from ..operators.clustering import core_distances, density_cluster, fit_assignment, reduce_dims
+from ..operators.clustering import core_distances, density_cluster, reduce_dims
+from ..operators.hierarchy import density_hierarchy
 from ..operators.neighbours import knn_cosine
 from ..operators.outliers import reassignment_report, reduce_outliers_ctfidf, reduce_outliers_embedding
 from ..operators.quality import dbcv, model_metrics
@@ -66,6 +67,14 @@ def describe_model(
     return TopicModel(topics, vectors, scores, words, centroids, topic_info(topics, words), materialize(warned, "metrics"))
 
 
+def fit_assignment(emb: DataFrame, params: ClusterParams, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(reduced vectors, assignment) for one parameter set, by one density cut or by the density hierarchy."""
+    reduced = materialize(reduce_dims(emb, params.n_components, key), "reduced")
+    if params.method == "hierarchy":
+        return reduced, density_hierarchy(reduced, params.min_cluster_size, params.min_samples, key).topics.select(key, "topic")
+    return reduced, materialize(density_cluster(reduced, params.min_cluster_size, params.min_samples, params.eps, key), "topics")
+
+
 def fit_topics(
     docs: DataFrame, emb: DataFrame, params: ClusterParams, top_n: int = 10, text: str = "text_lemm", sample: int = 0
 ) -> TopicModel:
@@ -98,7 +107,7 @@ def training_points(emb: DataFrame, topics: DataFrame, min_samples: int) -> Data
 
 def search_trials(
     emb: DataFrame, n: int = 10, space: Mapping[str, tuple[int, int]] = SEARCH_SPACE, seed: int = RANDOM_SEED,
-    min_topics: int = 2, study: str = "study", cap: int = 500,
+    min_topics: int = 2, study: str = "study", cap: int | None = None,
 ) -> DataFrame:
     """Seeded random search over clustering parameters: one row per trial.
 
@@ -128,7 +137,7 @@ def search_trials(
     return table.withColumn("score", trial_score(scored, F.col("noise_ratio")))
 
 
-def _tried(reduced: DataFrame, knn: DataFrame, trial: Mapping[str, int], cap: int) -> tuple[float, int, float]:
+def _tried(reduced: DataFrame, knn: DataFrame, trial: Mapping[str, int], cap: int | None) -> tuple[float, int, float]:
     """Noise, number of topics and DBCV of one trial."""
     near = knn.where(F.col("rank") <= trial["min_samples"])
     topics = materialize(density_cluster(reduced, trial["min_cluster_size"], trial["min_samples"], knn=near), "topics")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import ClusterParams
-from ..operators import clustering, embeddings, neighbours, outliers, quality, search, topics
+from ..operators import clustering, embeddings, hierarchy, neighbours, outliers, quality, search, topics
+from ..functions.tree import spanning_forest
 from ..functions.vectors import cosine_distance, cosine_similarity
 from ..plans import fit, train, tune
 from . import sql as S
@@ -311,6 +312,29 @@ def _(v):
     return clustering.density_cluster(v.emb, 10, 5)
 
 
+CUTS = (0.3, 0.4, 0.45, 0.5)
+
+
+@query("density_sweep", """
+    , near AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, greatest(p.core, q.core, round(1 - list_cosine_similarity(x.embedding, y.embedding), 10)) AS reach
+        FROM emb x JOIN emb y ON x.doc_id < y.doc_id JOIN core p ON p.doc_id = x.doc_id JOIN core q ON q.doc_id = y.doc_id),
+    cuts(eps) AS (VALUES """ + ", ".join(f"({c}::DOUBLE)" for c in CUTS) + """),
+    both_ways AS MATERIALIZED (SELECT eps, a AS src, b AS dst FROM near, cuts WHERE reach <= eps UNION ALL SELECT eps, b, a FROM near, cuts WHERE reach <= eps),
+    walk(eps, id, seen) AS (SELECT eps, src, src FROM both_ways UNION SELECT w.eps, w.id, b.dst FROM walk w JOIN both_ways b ON b.src = w.seen AND b.eps = w.eps),
+    parts AS (SELECT eps, id, min(seen) AS component FROM walk GROUP BY eps, id),
+    sizes AS (SELECT eps, component, count(*) AS n FROM parts GROUP BY eps, component)
+    SELECT eps, count(*) FILTER (n >= 10) AS clusters, coalesce(sum(n) FILTER (n >= 10), 0)::BIGINT AS clustered, max(n) AS largest FROM sizes GROUP BY eps""", "emb core")
+def _(v):
+    """All cuts of the density from one spanning tree; the SQL looks at every pair of documents instead."""
+    points = hierarchy.reachability_points(v.emb, 5, knn=v.knn)
+    return hierarchy.cut_sweep(spanning_forest(points), CUTS, 10)
+
+
+@query("density_hierarchy")
+def _(v):
+    return rounded(hierarchy.density_hierarchy(v.emb, 10, 5, knn=v.knn).topics, 4)
+
+
 @query("fit_topics")
 def _(v):
     """Text and vectors of the same ids, clustered and described; top words of the found topics."""
