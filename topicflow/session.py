@@ -6,6 +6,8 @@ import io
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyarrow.fs import FileSystem, LocalFileSystem
@@ -59,8 +61,38 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_OPEN: list[list[str]] = []  # what the scopes of ``scratch`` that are open have seen
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The scratch folders named while the scope is open, for ``remove`` once nothing reads them."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _OPEN.remove(paths)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, whichever store they are in; one that is gone already is no error."""
+    context = spark.sparkContext
+    for folder in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def folders(df: DataFrame) -> set[str]:
+    """The folders of the files that ``df`` reads."""
+    return {file.rsplit("/", 1)[0] for file in df.inputFiles()}
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -78,10 +110,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``materialize`` wrote, once nothing will read them again."""
     for df in tables:
-        session = df.sparkSession
-        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-            path = session.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, folders(df))
 
 
 def ship_package(spark: SparkSession) -> str:
