@@ -67,6 +67,24 @@ def test_run(spark):
     assert all(lengths[p.doc_id] == p.doc_tokens for p in whole)
 
 
+def test_scratch_tables_are_deleted(spark, odd):
+    """A stage deletes what the one before left, but not what its input still reads; columns pass through."""
+    import os
+
+    from topicflow.session import shared_dir
+
+    folder = shared_dir(spark)
+    first = corpus_pipeline.STAGES[0][1](spark, odd, SF)
+    assert first.columns == odd.columns
+    lazy = corpus_pipeline.STAGES[2][1](spark, first, SF)  # reads the tables of the first stage
+    assert lazy.columns == odd.columns and lazy.count() <= first.count()
+    before = set(os.listdir(folder.removeprefix("file:")))
+    result = corpus_pipeline.run(spark, SF)
+    assert result.count() > 0
+    made = set(os.listdir(folder.removeprefix("file:"))) - before
+    assert {name.rsplit("-", 1)[0] for name in made} == {"packing"}
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
