@@ -3,23 +3,25 @@
 An n-gram of count c has the level 1 + floor(log2 c) and is entered once for each level up to its
 own; asking for level 1, 2, ... until the filter denies one gives its quantised count. N-grams are
 counted per key bucket, and the task that merges a bucket builds the bucket's own segment of the
-filter, so no task or driver holds counts of more than one bucket. The filter grows with the n-grams and is broadcast in
-blocks of ``FILTER_BYTES``. With more than one block each pass over the texts writes the levels that its block knows, a
-byte per token and n-gram, and the score is made of their sums; so its false hits are the same at every size.
-
-The exact unigram counts behind the base score go to the workers in blocks of ``BLOCK_BYTES``, one
-pass over the texts per block. Words are known by a 64-bit hash, pairs by another.
+filter, so no task or driver holds counts of more than one bucket. The filter grows with the n-grams, at the same bits
+an entry at every size, and so does the number of buckets.
+
+Texts are cut into words once and kept as chunks of word codes. A filter of at most ``FILTER_BYTES`` is broadcast and probed where the
+chunks are. A larger one stays where it is: each chunk sends its different keys to their buckets, whose tasks probe the segment and send levels back. Both ways
+probe the same segments, so scores do not depend on the choice, and the work grows with the tokens, not with tokens times blocks. The exact unigram counts
+behind the base score are always asked for in this way. Words are known by a 64-bit hash, pairs by a 48-bit one, whose
+collisions are rarer than the filter's false hits.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +32,30 @@ UNSEEN_FOLD = 1
 END = "\n"  # no word holds white space
 BITS_PER_ENTRY = 10
 PROBES = 4
-FILTER_BYTES = 64 << 20
-BLOCK_BYTES = 96 << 20
-DOCS_PER_BUCKET = 4000
+FILTER_BYTES = 10 << 20  # of a filter that is broadcast; Spark's own bound for the table of a broadcast join
+BLOCK_BYTES = 8 << 20  # of keys that a bucket gets, if all of them differ
+CHUNK_BYTES = 4 << 20  # of text in a chunk; a longer text is a chunk of its own
 FETCH_BYTES = 8 << 20  # that the driver fetches of the model at a time
-BATCH_ROWS = 1000  # a token takes some ten numbers while it is scored
+BATCH_ROWS = 1000
+BATCH_CHUNKS = 4
 HELD = 2_000_000  # n-grams that a task gathers before it passes them on
 TOP_LEVEL = 48
 PULL = 20.0  # weight of the unigram model within a pair's probability, in occurrences of the first word
+CHUNKS = "chunk long, n_tokens long, doc_ids array<bigint>, learnt binary, offsets binary, codes binary, hashes binary"
 COUNTS = "bucket int, kind int, keys binary, counts binary"
 MODEL = "bucket int, keys binary, counts binary, tokens long, bits binary, n_bits long"
+ASKED = "bucket int, chunk long, words binary, pairs binary"
+TOLD = "bucket int, chunk long, counts binary, words binary, pairs binary"
 TEXT_SCORES = "doc_id long, n_tokens long, n_known long, base double, score double"
 
 
+def columns(schema: str, *values) -> pa.RecordBatch:
+    """A batch whose columns, in order, have the names and types of ``schema``."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "array<bigint>": pa.list_(pa.int64())}
+    named = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(v, kinds[kind]) for v, (_, kind) in zip(values, named)], [name for name, _ in named])
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of all tokens one after another with an end after each text, row offsets, and the hash of each code."""
     offsets, words = split_words(texts)
@@ -62,7 +75,19 @@ def pair_keys(hashes: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> np.
     before[1:] = codes[:-1]
     before[offsets[:-1]] = len(hashes) - 1
     with np.errstate(over="ignore"):
-        return mix(hashes[before] * np.uint64(0x9E3779B97F4A7C15) + hashes[codes])
+        return mix(hashes[before] * np.uint64(0x9E3779B97F4A7C15) + hashes[codes]) & ~np.uint64(0xFFFF)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Keys of pairs without their two low bytes, which are 0."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(value: bytes) -> np.ndarray:
+    short = np.frombuffer(value, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(short), 8), np.uint8)
+    out[:, 2:] = short
+    return out.view("<u8").ravel()
 
 
 def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,33 +102,82 @@ def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-def gather(docs: DataFrame, bucket_bits: int) -> DataFrame:
-    """Counts of words and pairs of the given texts, one row per task, bucket and kind."""
+def cut(docs: DataFrame) -> DataFrame:
+    """The texts of ``docs`` (doc_id, text, learnt) as chunks of word codes, one row per chunk."""
+
+    def chunk(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        codes, offsets, hashes = tokens(filled(rows))
+        kind = np.uint16 if len(hashes) < 1 << 16 else np.uint32
+        learnt = rows.column("learnt").to_numpy(zero_copy_only=False).astype(np.uint8)
+        values = (number, len(codes), rows.column("doc_id"), learnt.tobytes(), offsets.astype(np.int64).tobytes(), codes.astype(kind).tobytes(), hashes.tobytes())
+        return columns(CHUNKS, *[[v] for v in values])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 33, [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = np.cumsum(pc.binary_length(filled(batch)).to_numpy().astype(np.int64))
+            starts = np.flatnonzero(np.diff(ends // CHUNK_BYTES, prepend=-1))
+            for i, j in zip(starts, [*starts[1:], batch.num_rows]):
+                held.append(batch.slice(i, j - i))
+                size += int(ends[j - 1] - (ends[i - 1] if i else 0))
+                if size >= CHUNK_BYTES:
+                    yield chunk(number, held)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield chunk(number, held)
+        pa.default_memory_pool().release_unused()
+
+    return materialize(docs.mapInArrow(work, CHUNKS), "chunks")
+
+
+def read_chunks(table: pa.RecordBatch | pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Codes, row offsets, hashes and the learnt flag of each row, for each chunk."""
+    for row in table.select(["learnt", "offsets", "codes", "hashes"]).to_pylist():
+        hashes = np.frombuffer(row["hashes"], np.uint64)
+        codes = np.frombuffer(row["codes"], np.uint16 if len(hashes) < 1 << 16 else np.uint32).astype(np.int64)
+        yield codes, np.frombuffer(row["offsets"], np.int64), hashes, np.frombuffer(row["learnt"], np.uint8).astype(bool)
+
+
+def by_bucket(keys: np.ndarray, bucket_bits: int) -> np.ndarray:
+    """Where each bucket begins in sorted keys, and their end."""
+    return np.searchsorted(bucket_of(keys, bucket_bits), np.arange((1 << bucket_bits) + 1))
+
+
+def gather(chunks: DataFrame, bucket_bits: int) -> DataFrame:
+    """Counts of words and pairs of the learnt texts, one row per task, bucket and kind."""
 
     def rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
-        at = np.searchsorted(bucket_of(keys, bucket_bits), np.arange((1 << bucket_bits) + 1))
-        return [(b, kind, keys[i:j].tobytes(), counts[i:j].astype(np.uint32).tobytes()) for b, (i, j) in enumerate(zip(at[:-1], at[1:])) if j > i]
+        at = by_bucket(keys, bucket_bits)
+        written = packed if kind else np.ndarray.tobytes
+        return [(b, kind, written(keys[i:j]), counts[i:j].astype(np.uint32).tobytes()) for b, (i, j) in enumerate(zip(at[:-1], at[1:])) if j > i]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs, held = [], [], 0
 
         def passed_on() -> pa.RecordBatch:
             made = rows(0, *counted(words)) + rows(1, *counted(pairs))
-            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in made], t) for k, t in enumerate(kinds)], ["bucket", "kind", "keys", "counts"])
+            return columns(COUNTS, *zip(*made))
 
         for batch in batches:
-            codes, offsets, hashes = tokens(filled(batch, "text"))
-            words.append((hashes, np.bincount(codes, minlength=len(hashes))))
-            pairs.append(np.unique(pair_keys(hashes, codes, offsets), return_counts=True))
-            held += len(pairs[-1][0])
-            if held >= HELD:
-                yield passed_on()
-                words, pairs, held = [], [], 0
+            for codes, offsets, hashes, learnt in read_chunks(batch):
+                mine = np.repeat(learnt, np.diff(offsets))
+                if not mine.any():
+                    continue
+                found = np.bincount(codes[mine], minlength=len(hashes))
+                words.append((hashes[found > 0], found[found > 0]))
+                pairs.append(np.unique(pair_keys(hashes, codes, offsets)[mine], return_counts=True))
+                held += len(pairs[-1][0])
+                if held >= HELD:
+                    yield passed_on()
+                    words, pairs, held = [], [], 0
         if held:
             yield passed_on()
+        pa.default_memory_pool().release_unused()
 
-    return docs.select("text").mapInArrow(count, COUNTS)
+    return prepare(chunks, BATCH_CHUNKS).mapInArrow(count, COUNTS)
 
 
 def spots(keys: np.ndarray, level: int, probe: int, n_bits: np.ndarray) -> np.ndarray:
@@ -126,7 +200,7 @@ def build(counts: DataFrame, bucket_bits: int) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         parts: list[list] = [[], []]
         for kind, keys, found in zip(table.column("kind").to_pylist(), table.column("keys").to_pylist(), table.column("counts").to_pylist()):
-            parts[kind].append((np.frombuffer(keys, np.uint64), np.frombuffer(found, np.uint32)))
+            parts[kind].append((unpacked(keys) if kind else np.frombuffer(keys, np.uint64), np.frombuffer(found, np.uint32)))
         words, word_counts = counted(parts[0])
         pairs, pair_counts = counted(parts[1])
         keys, level = np.concatenate([word_keys(words), pairs]), np.concatenate([levels(word_counts), levels(pair_counts)])
@@ -136,8 +210,8 @@ def build(counts: DataFrame, bucket_bits: int) -> DataFrame:
             mine = keys[level >= step]
             for probe in range(PROBES):
                 bits[spots(mine, step, probe, size)] = True
-        row = [[table.column("bucket")[0].as_py()], [words.tobytes()], [word_counts.tobytes()], [int(word_counts.sum())], [np.packbits(bits).tobytes()], [n_bits]]
-        return pa.table([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64()))], names=[c.split()[0] for c in MODEL.split(", ")])
+        row = (table.column("bucket")[0].as_py(), words.tobytes(), word_counts.tobytes(), int(word_counts.sum()), np.packbits(bits).tobytes(), n_bits)
+        return pa.Table.from_batches([columns(MODEL, *[[v] for v in row])])
 
     return materialize(counts.groupBy("bucket").applyInArrow(merge, MODEL), "model")
 
@@ -183,16 +257,40 @@ def log_terms(alone: np.ndarray, both: np.ndarray, offsets: np.ndarray, total: f
     return np.log10(np.minimum(p, 1.0))
 
 
-def blocks(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
-    """Buckets in runs of at most ``most`` bytes; one bucket alone may be larger."""
-    out, held = [], 0
-    for bucket, size in sorted(sizes):
-        if not out or held + size > most:
-            out.append([])
-            held = 0
-        out[-1].append(bucket)
-        held += size
-    return out or [[]]
+def answers(chunks: DataFrame, model: DataFrame, bucket_bits: int, pairs: bool) -> DataFrame:
+    """Counts and levels of each chunk's words, and levels of its pairs if asked for, one row per chunk and bucket, in key order."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, (codes, offsets, hashes, _) in zip(batch.column(batch.schema.get_field_index("chunk")).to_pylist(), read_chunks(batch)):
+                words = np.unique(hashes)
+                both = np.unique(pair_keys(hashes, codes, offsets)) if pairs else np.zeros(0, np.uint64)
+                of_word, of_pair = by_bucket(words, bucket_bits), by_bucket(both, bucket_bits)
+                used = np.flatnonzero((np.diff(of_word) > 0) | (np.diff(of_pair) > 0))
+                yield columns(ASKED, used, [number] * len(used), [words[of_word[b] : of_word[b + 1]].tobytes() for b in used], [packed(both[of_pair[b] : of_pair[b + 1]]) for b in used])
+        pa.default_memory_pool().release_unused()
+
+    def tell(asked: pa.Table, segment: pa.Table) -> pa.Table:
+        words = [np.frombuffer(w, np.uint64) for w in asked.column("words").to_pylist()]
+        both = [unpacked(p) for p in asked.column("pairs").to_pylist()]
+        if not words:
+            return pa.Table.from_batches([columns(TOLD, [], [], [], [], [])])
+        keys, pair = np.concatenate(words), np.concatenate(both)
+        counts, levels_ = np.zeros(len(keys), np.int64), np.zeros(len(keys) + len(pair), np.uint8)
+        if segment.num_rows:
+            row = segment.to_pylist()[0]
+            known, found = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64)
+            place = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+            counts = np.where(known[place] == keys, found[place], 0) if len(known) else counts
+            own = Filter(np.frombuffer(row["bits"], np.uint8), np.zeros(1, np.int64), np.array([row["n_bits"]]), 0)
+            levels_ = own.levels(np.concatenate([word_keys(keys), pair])).astype(np.uint8)
+        of_word, of_pair = np.cumsum([0] + [len(w) for w in words]), np.cumsum([0] + [len(p) for p in both])
+        cuts = lambda x, ends: [x[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])]
+        told = columns(TOLD, asked.column("bucket").to_pylist(), asked.column("chunk").to_pylist(), cuts(counts, of_word), cuts(levels_[: len(keys)], of_word), cuts(levels_[len(keys) :], of_pair))
+        return pa.Table.from_batches([told])
+
+    asked = prepare(chunks, BATCH_CHUNKS).mapInArrow(ask, ASKED)
+    return materialize(asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(tell, TOLD), "answers")
 
 
 def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -200,38 +298,40 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     Learns from rows outside the fold ``UNSEEN_FOLD`` of doc_id (a null id counts as the empty text). A null or empty
     text is the end token alone. Repeated rows are learnt as often as they occur and score alike; an empty table gives no rows, and with
-    nothing to learn from all counts are 0.
+    nothing to learn from all counts are 0. A bucket gets about ``block_bytes`` of keys at most.
     """
-    docs = prepare(docs, BATCH_ROWS).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    spark, n_docs = docs.sparkSession, docs.count()
-    bucket_bits = max(2, math.ceil(math.log2(max(1, n_docs / DOCS_PER_BUCKET))))
-    model = build(gather(docs.where(fold() != UNSEEN_FOLD), bucket_bits), bucket_bits)
-    sizes = model.select("bucket", F.octet_length("keys").alias("size"), "tokens", "n_bits").collect()  # a row per bucket
-    n, v = sum(r["tokens"] for r in sizes), sum(r["size"] // 8 for r in sizes)
-    runs = blocks([(r["bucket"], 2 * r["size"]) for r in sizes], block_bytes)
-    parts = blocks([(r["bucket"], r["n_bits"] // 8) for r in sizes], FILTER_BYTES)
-    send = lambda part: spark.sparkContext.broadcast(_filter(model, [r for r in sizes if r["bucket"] in part], bucket_bits))
-    if len(runs) == len(parts) == 1:
-        scored, _ = _pass(docs, model, sizes, runs[0], bucket_bits, n, v, send(set(parts[0])), first=True)
-    else:
-        rows = materialize(docs.withColumn("at", F.monotonically_increasing_id()), "texts")
-        passes = []
-        for k, run in enumerate(runs):  # one after another, so that the driver holds one block at a time
-            shared = send(set(parts[0])) if k == 0 and len(parts) == 1 else None
-            more, known = _pass(rows, model, sizes, run, bucket_bits, n, v, shared, first=k == 0)
-            passes.append(materialize(more, "pass"))
-            for sent in (known, shared):
-                if sent:
-                    sent.destroy()
-        if len(parts) > 1:
-            found = []
-            for part in parts:
-                shared = send(set(part))
-                found.append(materialize(_levels(rows, shared), "levels"))
-                shared.destroy()
-            passes.append(_of_levels(functools.reduce(DataFrame.unionByName, found), n, v))
-        scored = functools.reduce(DataFrame.unionByName, passes)
-        scored = scored.groupBy("at").agg(F.first("doc_id", ignorenulls=True).alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    spark = docs.sparkSession
+    texts = prepare(docs, BATCH_ROWS).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold() != UNSEEN_FOLD).alias("learnt"))
+    chunks = cut(texts)
+    all_tokens = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    bucket_bits = max(2, math.ceil(math.log2(max(1, 8 * all_tokens / block_bytes))))
+    model = build(gather(chunks, bucket_bits), bucket_bits)
+    n, v, n_bits = model.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", F.octet_length("keys") / 8, "n_bits")]).first()
+    total = max(n + 0.5 * (v + 1), 0.5)
+    shared = None
+    if n_bits <= 8 * FILTER_BYTES:
+        shared = spark.sparkContext.broadcast(_filter(model, model.select("bucket", "n_bits").collect(), bucket_bits))
+    told = answers(chunks, model, bucket_bits, pairs=shared is None)
+
+    def work(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.sort_by("bucket")  # buckets are runs of the keys' order, so all answers stand in it
+        column = lambda name, kind: np.frombuffer(b"".join(found.column(name).to_pylist()), kind)
+        codes, offsets, hashes, _ = next(read_chunks(chunk))
+        at = np.unique(hashes, return_inverse=True)[1]
+        c, keys = column("counts", np.int64)[at], pair_keys(hashes, codes, offsets)
+        if shared:
+            alone, both = shared.value.levels(word_keys(hashes)), shared.value.levels(keys)
+        else:
+            alone, both = column("words", np.uint8)[at], column("pairs", np.uint8)[np.unique(keys, return_inverse=True)[1]]
+        n_rows = len(offsets) - 1
+        row = np.repeat(np.arange(n_rows), np.diff(offsets))
+        sums = lambda x: np.bincount(row, x, n_rows)
+        base, known = np.log10((c + 0.5) / total), sums((c > 0)[codes]).astype(np.int64)
+        terms = log_terms(alone[codes], both, offsets, total)
+        ids = chunk.column("doc_ids").combine_chunks().flatten()
+        return pa.Table.from_batches([columns(TEXT_SCORES, ids, np.diff(offsets), known, sums(base[codes]), sums(terms))])
+
+    scored = chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(work, TEXT_SCORES)
     return scored.select("doc_id", (fold() == UNSEEN_FOLD).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
@@ -256,79 +356,3 @@ def _filter(model: DataFrame, rows: list, bucket_bits: int) -> Filter:
     starts[1:] = np.cumsum(sizes)[:-1]
     bits = _read(model, sorted(r["bucket"] for r in rows), "bits", np.uint8, int(sizes.sum()) // 8 + 1)
     return Filter(bits, starts, sizes, bucket_bits)
-
-
-def _total(n: int, v: int) -> float:
-    return max(n + 0.5 * (v + 1), 0.5)
-
-
-def _levels(rows: DataFrame, shared) -> DataFrame:
-    """at, levels (a byte per token, then a byte per pair): 0 where another block of the filter has the bucket."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ask = shared.value
-        for batch in batches:
-            if batch.num_rows:
-                codes, offsets, hashes = tokens(filled(batch, "text"))
-                alone = ask.levels(word_keys(hashes)).astype(np.uint8)[codes]
-                both = ask.levels(pair_keys(hashes, codes, offsets)).astype(np.uint8)
-                told = [alone[a:b].tobytes() + both[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("at")), pa.array(told, pa.binary())], ["at", "levels"])
-
-    return rows.select("at", "text").mapInArrow(work, "at long, levels binary")
-
-
-def _of_levels(levels: DataFrame, n: int, v: int) -> DataFrame:
-    """The score of each text from the levels of all blocks, as a pass that adds nothing else."""
-    total = _total(n, v)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for blocks_ in batch.column(1):
-                found = np.sum([np.frombuffer(x.as_buffer(), np.uint8) for x in blocks_.values], axis=0)
-                alone, both = found.reshape(2, -1)
-                out.append(float(log_terms(alone, both, np.array([0, len(alone)]), total).sum()))
-            none, zero = pa.nulls(len(out), pa.int64()), pa.array(np.zeros(len(out), np.int64))
-            columns = [none, zero, zero, pa.array(np.zeros(len(out))), pa.array(out, pa.float64()), batch.column(0)]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in TEXT_SCORES.split(", ")] + ["at"])
-
-    return levels.groupBy("at").agg(F.collect_list("levels").alias("levels")).mapInArrow(work, f"{TEXT_SCORES}, at long")
-
-
-def _pass(docs: DataFrame, model: DataFrame, sizes: list, run: list[int], bucket_bits: int, n: int, v: int, shared, first: bool) -> tuple[DataFrame, Broadcast]:
-    """What the words of some buckets add to the base score, and the broadcast it reads; the first pass also counts tokens, and asks the filter if it is given."""
-    held = {r["bucket"]: r["size"] // 8 for r in sizes}
-    total_keys = sum(held[b] for b in run)
-    keys, found = _read(model, run, "keys", np.uint64, total_keys), _read(model, run, "counts", np.int64, total_keys)
-    if found.max(initial=0) < 2**32:
-        found = found.astype(np.uint32)
-    known = docs.sparkSession.sparkContext.broadcast((keys, found))
-    mine = np.zeros(1 << bucket_bits, bool)
-    mine[run] = True
-    if first:  # buckets without any word belong to the first pass
-        mine |= ~np.isin(np.arange(len(mine)), list(held))
-    total = _total(n, v)
-    carried = [c for c in docs.columns if c == "at"]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, counts = known.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes, offsets, hashes = tokens(filled(batch, "text"))
-            place = np.minimum(np.searchsorted(held, hashes), max(len(held) - 1, 0))
-            c = np.where(held[place] == hashes, counts[place], 0) if len(held) else np.zeros(len(hashes), np.int64)
-            here = mine[bucket_of(hashes, bucket_bits)]
-            base = np.where(here, np.log10((c + 0.5) / total), 0.0)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            sums = lambda x: np.bincount(row, x, batch.num_rows)
-            size, score_ = np.diff(offsets) * first, np.zeros(batch.num_rows)
-            if shared:
-                ask = shared.value
-                alone, both = ask.levels(word_keys(hashes)), ask.levels(pair_keys(hashes, codes, offsets))
-                score_ = sums(log_terms(alone[codes], both, offsets, total))
-            columns = {"doc_id": batch.column(0), "n_tokens": pa.array(size.astype(np.int64)), "n_known": pa.array(sums((c > 0)[codes]).astype(np.int64)), "base": pa.array(sums(base[codes])), "score": pa.array(score_)}
-            yield pa.RecordBatch.from_pydict(columns | {k: batch.column(batch.schema.get_field_index(k)) for k in carried})
-
-    return docs.mapInArrow(work, TEXT_SCORES + "".join(f", {c} long" for c in carried)), known
