@@ -98,3 +98,29 @@ def test_odd_rows(spark, model):
     assert all(r.text == "" and r.n_chars == 0 for r in got if r.page_id in (1, 2))
     assert html.extract(pages.limit(0)).count() == 0
     assert html.extract(pages).count() == len(rows)  # nothing to learn from
+
+
+P = [" ".join(html.entities.unescape(p).split()) for p in ARTICLE]
+PS = "".join(f"<p>{p}</p>" for p in ARTICLE)
+DIVS = "".join(f"<div>{p}</div>" for p in ARTICLE)
+
+
+@pytest.mark.parametrize("article, want", [
+    (f"<article>{PS}<ul><li>Flour and water in a bowl</li><li>A little salt</li><li>Yeast from the day before</li></ul></article>", [*P, "Flour and water in a bowl", "A little salt", "Yeast from the day before"]),
+    (f"<article>{PS}<table><tr><td>Length of the river</td><td>two hundred miles</td></tr></table></article>", [*P, "Length of the river", "two hundred miles"]),
+    (f"<article>{PS}<blockquote><p>He said that it was the best of all the days he had.</p></blockquote></article>", [*P, "He said that it was the best of all the days he had."]),
+    (f"<article>{DIVS}</article>", P),
+    (f'<div class="content">{DIVS}</div>', P),
+    (f'<div class="content sidebar-right">{PS}</div>', P),
+    (f'<article><div class="text side">{PS}</div></article>', P),
+], ids=["list", "table", "quote", "div paragraphs", "div box", "misleading box", "misleading box inside"])
+@pytest.mark.parametrize("whole_form", [False, True])
+def test_main_text_of_many_forms(model, article, want, whole_form):
+    page = f"""<nav><ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul></nav><h1>A headline</h1>{article}<footer><p>&copy; Somebody</p></footer>"""
+    page = f"<html><body>{'<form>' if whole_form else ''}{page}{'</form>' if whole_form else ''}</body></html>"
+    assert [b for b in run(page, model).split("\n\n") if b != "A headline"] == want
+
+
+def test_long_pages_do_not_use_up_the_sample(spark):
+    pages = spark.createDataFrame([(k, "u", "<article><p>" + "word " * (html.SAMPLE_CHARS if k < 3 else 40) + "</p></article><footer><p>end</p></footer>") for k in range(12)], "page_id long, url string, html string")
+    assert html.train(pages) is not None

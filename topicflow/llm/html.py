@@ -9,7 +9,9 @@ best(v rejected) = sum of log(1 - p) over its subtree.
 The trees are fitted on a bounded sample of pages (``SAMPLE_PAGES``, ``SAMPLE_CHARS``; the first in the order
 of a hash of page_id) that mark their article. Labels come from that mark-up. Each sampled page is also used with its
 mark-up renamed and with menus, notices, comments and the like, made of its own words, put in, so
-that pages of other habits are learnt as well. Every page is extracted.
+that pages of other habits are learnt as well. Main text is put in likewise: lists, quotes, tables, ``div`` paragraphs, boxes whose
+tokens say both that they hold main text and that they do not, and pages inside one form. Pages longer than
+``LONGEST`` are not learnt from. Every page is extracted.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +31,7 @@ from .common import filled, per_batch, prepare
 
 SAMPLE_PAGES = 150
 SAMPLE_CHARS = 4_000_000
+LONGEST = SAMPLE_CHARS // 20  # so that a long page cannot use up the sample
 TREES, DEPTH, RATE, BINS, LEAST_WEIGHT, SHRINK = 40, 4, 0.3, 16, 2.0, 1.0
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -53,6 +57,7 @@ TOKENS = (
 GROUP = {token: k for k, group in enumerate(TOKENS) for token in group}
 GOOD = len(TOKENS) - 1
 NOT_MAIN = frozenset("nav header footer aside form".split())
+PLANTED = "\ue000"  # stands before main text that a variant puts in
 
 
 @dataclass
@@ -192,12 +197,16 @@ def features(nodes: list[Node]) -> np.ndarray:
             flags[k, len(KINDS) + g] = True
         if k:
             above[k] = above[parent[k]] | flags[parent[k]]
+    page = max(total[0], 1.0)
+    barred = np.ones(n)  # the smallest share of the page, up from here, of a node that its tag or tokens call no main text
+    for k, node in enumerate(nodes):
+        own_share = total[k] / page if node.tag in NOT_MAIN or (node.groups and GOOD not in node.groups) else 1.0
+        barred[k] = min(own_share, barred[parent[k]]) if k else own_share
     siblings = children[parent]
     around = total[parent] / np.maximum(siblings, 1)
-    page = max(total[0], 1.0)
     numbers = np.stack([
         [x.depth for x in nodes], np.log1p(total), total_linked / np.maximum(total, 1), total / total_tags, total / np.maximum(total_leaves, 1),
-        children, siblings, order / np.maximum(siblings, 1), np.log1p(around), total / np.maximum(total[parent], 1), total / page, begins / page, 1 - (begins + total) / page,
+        children, siblings, order / np.maximum(siblings, 1), np.log1p(around), total / np.maximum(total[parent], 1), total / page, begins / page, 1 - (begins + total) / page, barred,
     ], axis=1)
     return np.concatenate([numbers, flags, above], axis=1)
 
@@ -284,24 +293,74 @@ def variants(page: str, seed: int) -> list[str]:
     return [page, planted]
 
 
-def renamed(nodes: list[Node], seed: int) -> list[Node]:
-    """The same tree with some other mark-up around the article."""
-    tag, groups = random.Random(seed).choice([("div", frozenset()), ("div", frozenset({GOOD})), ("section", frozenset()), ("main", frozenset())])
-    return [Node(tag, n.parent, n.depth, groups, n.text, n.linked, n.tags) if n.tag in ("article", "main") else n for n in nodes]
+def with_main(page: str, seed: int) -> str | None:
+    """The page with main text of many forms put into its article, each piece behind ``PLANTED``; None without an article."""
+    draw = random.Random(seed)
+    start, end = page.find("<article>"), page.rfind("</article>")
+    ends = [m.end() for m in re.finditer("</p>", page[:end]) if m.end() > start]
+    if min(start, end) < 0 or not ends:
+        return None
+    words = re.sub(r"<[^>]*>", " ", page[start : min(end, start + 20_000)]).split()[:400] or ["text"]
+    some = lambda low, high: PLANTED + " ".join(draw.choice(words) for _ in range(draw.randint(low, high)))
+    many = lambda tag, low, high: "".join(f"<{tag}>{some(low, high)}</{tag}>" for _ in range(draw.randint(2, 6)))
+    both = lambda: f"{draw.choice(TOKENS[GOOD])} {draw.choice(draw.choice(TOKENS[:GOOD]))}"
+    blocks = [
+        f"<ul>{many('li', 2, 20)}</ul>", f"<ol>{many('li', 2, 20)}</ol>", f"<blockquote><p>{some(5, 40)}</p></blockquote>",
+        f"<table>{''.join(f'<tr>{many("td", 1, 6)}</tr>' for _ in range(3))}</table>", many("div", 5, 60), f"<section>{many('p', 5, 60)}</section>",
+        f'<div class="{both()}">{many("p", 5, 60)}</div>', f'<div class="{both()}">{some(5, 60)}</div>', f"<h2>{some(2, 8)}</h2>", f"<figure><p>{some(3, 20)}</p></figure>",
+    ]
+    for spot, block in sorted(zip([draw.choice(ends) for _ in blocks], blocks), reverse=True):
+        page = page[:spot] + block + page[spot:]
+    return page
+
+
+def renamed(nodes: list[Node], good: list[bool], seed: int) -> list[Node]:
+    """The same tree with some other mark-up around the article, in some draws with ``div`` paragraphs or misleading tokens."""
+    draw = random.Random(seed)
+    tag, groups = draw.choice([("div", frozenset()), ("div", frozenset({GOOD})), ("section", frozenset()), ("main", frozenset()), ("div", frozenset({GOOD, draw.randrange(GOOD)}))])
+    plain = draw.random() < 0.4
+
+    def form(n: Node, main: bool) -> Node:
+        if n.tag in ("article", "main"):
+            return Node(tag, n.parent, n.depth, groups, n.text, n.linked, n.tags)
+        return Node("div", n.parent, n.depth, n.groups, n.text, n.linked, n.tags) if plain and main and n.tag == "p" else n
+
+    return [form(n, g) for n, g in zip(nodes, good)]
+
+
+def in_form(page: str, good: list[bool]) -> tuple[list[Node], list[bool]] | None:
+    """The page inside one form, and its labels from those without it; None where the page has no body of its own."""
+    body = page.find("<body>") + 6
+    if body < 6:
+        return None
+    nodes = parse(f"{page[:body]}<form>{page[body:]}")
+    at = next(k for k, n in enumerate(nodes) if n.tag == "form")
+    return (nodes, good[:at] + [True] + good[at:]) if len(nodes) == len(good) + 1 else None
+
+
+def taught(page: str, seed: int) -> Iterator[tuple[list[Node], list[bool]]]:
+    """What is learnt from one page: trees of nodes and their labels."""
+    for v, variant in enumerate([*variants(page, seed), with_main(page, seed)]):
+        nodes = parse(variant) if variant else []
+        good = weak_labels(nodes) if nodes else None
+        if good is None:
+            continue
+        for k, node in enumerate(nodes):
+            if any(PLANTED in piece for piece in node.text):
+                node.text[:] = [piece.replace(PLANTED, "") for piece in node.text]
+                up = k
+                while up >= 0:
+                    good[up], up = True, nodes[up].parent
+        yield nodes, good
+        yield renamed(nodes, good, 3 * seed + v), good
+        if v == 1 and (inside := in_form(variant, good)):
+            yield inside
 
 
 def fit(pages: list[str]) -> Trees | None:
     """Trees from pages that mark their article; None if no page does."""
-    rows, labels = [], []
-    for k, page in enumerate(pages):
-        for v, variant in enumerate(variants(page, k)):
-            nodes = parse(variant)
-            good = weak_labels(nodes)
-            if good is not None:
-                for form in (nodes, renamed(nodes, 2 * k + v)):
-                    rows.append(features(form))
-                    labels.append(np.array(good, float))
-    return boost(np.concatenate(rows), np.concatenate(labels)) if rows else None
+    made = [(features(nodes), np.array(good, float)) for k, page in enumerate(pages) for nodes, good in taught(page, k)]
+    return boost(np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])) if made else None
 
 
 def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
@@ -326,7 +385,7 @@ def written(nodes: list[Node], kept: list[bool]) -> str:
 def train(pages: DataFrame) -> Trees | None:
     """Trees from the bounded sample of ``pages`` (page_id, html)."""
     drawn = prepare(pages).select(F.xxhash64("page_id", F.lit(5)).alias("at"), "page_id", F.coalesce("html", F.lit("")).alias("html"))
-    drawn = drawn.orderBy("at", "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES)
+    drawn = drawn.where(F.length("html") <= LONGEST).orderBy("at", "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES)
     so_far = F.sum(F.length("html")).over(Window.orderBy("at", "page_id").rowsBetween(Window.unboundedPreceding, 0))
     return fit(drawn.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_CHARS).select("html").toArrow().column(0).to_pylist())
 
