@@ -63,6 +63,14 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([bool(r.offending) for r in found]) > 0.9
 
 
+def test_labels_without_documents_and_long_texts_take_no_place(spark, table, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 300)
+    docs = table([f"word {k}" if k % 4 else "long " * (toxicity.LONGEST // 4) for k in range(40)], ids=list(range(0, 40_000, 1000)))
+    labels = spark.range(40_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    wanted = [k for k in range(40) if k % 4 and zlib.crc32(str(1000 * k).encode()) % 5]
+    assert sorted(r.text for r in toxicity.training_sample(docs, labels).collect()) == sorted(f"word {k}" for k in wanted)
+
+
 def test_toxicity_on_odd_rows(spark, odd):
     labels = spark.createDataFrame([(0, 1), (4, 0), (4, 1), (6, None), (None, 1), (7, 0)], "doc_id long, toxic int")
     rows = toxicity.toxicity(odd, labels).collect()

@@ -25,6 +25,7 @@ from .common import filled, fold, per_batch, prepare
 
 SAMPLE_ROWS = 8000
 SAMPLE_CHARS = 32_000_000
+LONGEST = SAMPLE_CHARS // 100  # so that a long text cannot use up the sample
 VOCABULARY = 20_000
 LEAST_DOCS = 4
 LEAST_Z = 4.0
@@ -149,11 +150,15 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bounded sample of labelled documents outside the held-out fold: (text, toxic)."""
+    """The bounded sample of labelled documents outside the held-out fold: (text, toxic).
+
+    Ids are drawn among those that have both a label and a text of at most ``LONGEST`` characters, so that labels
+    without a document and very long texts take no place. Only ids and labels are shuffled for the draw.
+    """
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= LONGEST)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(fold() != 0).withColumn("__at", F.xxhash64("doc_id", F.lit(7)))
-    known = known.orderBy("__at", "doc_id").limit(SAMPLE_ROWS)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = known.where(fold() != 0).join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = known.withColumn("__at", F.xxhash64("doc_id", F.lit(7))).orderBy("__at", "doc_id").limit(SAMPLE_ROWS)
     both = texts.join(F.broadcast(known), "doc_id").orderBy("__at", "doc_id", F.xxhash64("text")).limit(SAMPLE_ROWS)
     so_far = F.sum(F.length("text")).over(Window.orderBy("__at", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     return both.withColumn("__so_far", so_far).where(F.col("__so_far") <= SAMPLE_CHARS).select("text", "toxic")
@@ -162,7 +167,8 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     """A scorer from documents and their labels (columns doc_id, text; doc_id, toxic).
 
-    Labels of several rows of one doc_id count by their largest; null labels and ids are left out.
+    Labels of several rows of one doc_id count by their largest; null labels and ids are left out. An empty table, or one without
+    labelled rows of both kinds, gives the starting scorer.
     """
     prepare(docs)
     table = training_sample(docs, labels).toArrow()
