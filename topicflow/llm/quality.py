@@ -1,13 +1,15 @@
 """Quality by weak supervision, in DataFrame operations only.
 
-Each rule votes good or bad or abstains; most only object. Expectation-maximisation over the table
-of vote patterns (at most 3 to the number of rules) estimates without labels how often each rule is
-right; a document stays when its posterior probability of being good reaches a half.
+Each rule votes good or bad or abstains; most only object. Rules whose votes coincide are merged into one
+voter. Expectation-maximisation over the table of vote patterns (at most 3 to the number of rules) estimates
+without labels how each voter speaks of good and of bad documents, hence how often it is right; a document
+stays when its posterior probability of being good reaches a half. No rule knows a language.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +21,14 @@ SPLIT = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"  # fixed values of the contract
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent
-COMMON = "the of and to in is that for der die und das den le la et les des de que el en los y".split()  # function words
-ROUNDS = 8
-TRUST = 0.85  # a rule's first accuracy, towards which PRIOR_VOTES votes pull
-LEAST_TRUST, MOST_TRUST = 0.6, 0.9
-MOST_GOOD = 0.92  # above MOST_TRUST, so that one objection alone rejects nothing
-PRIOR_VOTES = 20.0
+ENDS = "[.!?\u2026\u061F\u0964\u3002\uFF01\uFF1F][\"')\\]\u00BB\u201D]*([\\x20\\x09-\\x0D]|$)"  # ends of sentences in several scripts
+SPEAKS_BOTH = {0}  # rules that also vote good; their silence says nothing, that of the others that they don't object
+ROUNDS, CLOSE = 60, 1e-4
 PRIOR_GOOD = 0.8
+PRIOR_VOTES = 20.0  # documents' worth of belief in the following shares, which break ties and keep logarithms finite
+PRIOR_BOTH = {"good": (0.15, 0.0, 0.85), "bad": (0.85, 0.0, 0.15)}  # share of votes -1, 0, 1
+PRIOR_OBJECTS = {"good": (0.05, 0.95, 0.0), "bad": (0.4, 0.6, 0.0)}
+SAME = 0.9  # correlation of two rules' votes from which on they are one voter
 
 
 def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -45,8 +48,8 @@ def measures(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
     df = df.withColumn("__n_lines", F.size("__lines").cast("long"))
     df = df.withColumn("__n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
     df = df.withColumn("__n_distinct", F.size(F.array_distinct("__w")).cast("long"))
-    df = df.withColumn("__n_common", F.size(F.array_intersect("__w", F.array(*[F.lit(w) for w in COMMON]))).cast("long"))
-    df = df.withColumn("__letters", F.length(F.regexp_replace(whole, "\\P{L}+", "")).cast("long"))
+    df = df.withColumn("__n_ends", F.regexp_count(whole, F.lit(ENDS)).cast("long"))
+    df = df.withColumn("__letters", F.length(F.regexp_replace(whole, "[^\\p{L}\\p{M}]+", "")).cast("long"))
     df = df.withColumn("__n_marked", F.regexp_count(whole, F.lit("[#*$%&|<>!]([\\x20\\x09-\\x0D]|$)")).cast("long"))
     df = df.withColumn("__upper", (F.length(whole) - F.length(F.regexp_replace(whole, "[A-Z]", ""))).cast("long"))
     bits = F.ceil(F.log2(F.col("__n_words") + 1)).cast("int")
@@ -75,10 +78,11 @@ def votes() -> list[Column]:
 
     symbols, letters, repeats = F.col("__n_symbols") / chars, F.col("__letters") / chars, F.col("__n_repeat_words") / words
     dup, upper, fresh = F.col("__n_dup_lines") / lines, F.col("__upper") / chars, F.col("__n_distinct") / words
-    enough, common = F.col("__n_words") >= LEAST_WORDS, F.col("__n_common")
+    ends, word = F.col("__n_ends") / words, F.col("__word_chars") / words
+    enough = F.col("__n_words") >= LEAST_WORDS
     rules = [
-        (enough & (common < 2), enough & (common >= 4)),
-        (~enough, None),
+        (enough & ((ends > 0.5) | ((ends == 0) & (words >= 200))), enough & (ends >= 0.02) & (ends <= 0.25)),
+        ((word < 2) | (word > 30), None),
         (symbols > 0.05, None),
         (letters < 0.85, None),
         (F.col("__n_marked") > 0.1 * words, None),
@@ -90,62 +94,115 @@ def votes() -> list[Column]:
     return [(F.when(bad, -1) if good is None else F.when(bad, -1).when(good, 1)).otherwise(0) for bad, good in rules]
 
 
-def accuracies(spoken: DataFrame, n_rules: int) -> tuple[float, list[float]]:
-    """Prior of good and per rule the probability that a vote of it is right, by expectation-maximisation.
+def vote_patterns(voted: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``votes`` (array), ``count``: at most 3 to the number of rules."""
+    return materialize(voted.groupBy(F.array(*columns).alias("votes")).agg(F.count(F.lit(1)).alias("count")), "patterns")
 
-    ``spoken`` holds one row per vote pattern and rule that votes: pattern, count, rule, vote. Every round is
-    two aggregations of that bounded table; two numbers per rule reach the driver. ``PRIOR_VOTES`` and the floor
-    keep each rule better than chance, so the classes can't change places. Abstaining says nothing.
+
+def voters(patterns: DataFrame, n_rules: int) -> list[list[int]]:
+    """The rules grouped into voters: those whose votes correlate by ``SAME`` or more over all documents are one.
+
+    One row of sums reaches the driver. Rules that are right for different reasons stay far below that, as
+    each errs on its own; two forms of one rule would otherwise count twice.
     """
-    spark, spoken = spoken.sparkSession, spoken.coalesce(1)  # one small partition needs no shuffle
-    good, right = PRIOR_GOOD, [TRUST] * n_rules
+    vote = lambda j: F.col("votes")[j]
+    pairs = [(j, k) for j in range(n_rules) for k in range(j, n_rules)]
+    sums = [F.sum("count").alias("n"), *[F.sum(F.col("count") * vote(j)).alias(f"s{j}") for j in range(n_rules)],
+            *[F.sum(F.col("count") * vote(j) * vote(k)).alias(f"s{j}_{k}") for j, k in pairs]]
+    r = patterns.coalesce(1).agg(*sums).first()
+    group = list(range(n_rules))
+    if not r["n"]:
+        return [[j] for j in group]
+    spread = lambda j, k: r[f"s{j}_{k}"] / r["n"] - r[f"s{j}"] * r[f"s{k}"] / r["n"] ** 2
+    for j, k in pairs:
+        if j < k and spread(j, k) > 0 and spread(j, k) >= SAME * math.sqrt(spread(j, j) * spread(k, k)):
+            old, new = group[k], group[j]
+            group = [new if g == old else g for g in group]
+    return [[j for j in range(n_rules) if group[j] == g] for g in sorted(set(group))]
+
+
+def _merged(votes: Column, groups: list[list[int]]) -> Column:
+    """One vote per voter: bad if a rule of it objects, else good if one says so, else none."""
+    one = lambda g: F.array(*[votes[j] for j in g])
+    return F.array(*[F.when(F.array_min(one(g)) == -1, -1).otherwise(F.array_max(one(g))) if len(g) > 1 else votes[g[0]] for g in groups])
+
+
+@dataclass(frozen=True)
+class Trust:
+    """What expectation-maximisation found: ``good`` is the share of good documents, ``says`` holds per class and voter
+    the shares of votes -1, 0, 1."""
+
+    good: float
+    groups: list[list[int]]
+    both: list[bool]
+    says: dict[str, list[tuple[float, float, float]]]
+
+    def weights(self) -> list[float]:
+        """Log-odds of good by voter and vote (place 3 x voter + vote + 1); the silence of a voter of both kinds weighs nothing."""
+        return [math.log(g / b) if g > 0 and b > 0 else 0.0 for gs, bs in zip(self.says["good"], self.says["bad"]) for g, b in zip(gs, bs)]
+
+    def accuracies(self) -> list[float]:
+        """Per voter the probability that a vote of it, good or bad, is right."""
+        out = []
+        for (g_bad, _, g_good), (b_bad, _, b_good) in zip(self.says["good"], self.says["bad"]):
+            right = self.good * g_good + (1 - self.good) * b_bad
+            out.append(right / (right + self.good * g_bad + (1 - self.good) * b_good))
+        return out
+
+    def posterior(self, votes: Column) -> Column:
+        """Probability of good given the rules' votes."""
+        weights = F.array(*[F.lit(w) for w in self.weights()])
+        spots = F.transform(_merged(votes, self.groups), lambda v, j: 3 * j + v + 1)
+        odds = F.aggregate(spots, F.lit(math.log(self.good / (1 - self.good))), lambda total, s: total + F.get(weights, s))
+        return 1 / (1 + F.exp(-odds))
+
+
+def _shares(mass: list[float], prior: tuple[float, float, float], both: bool) -> tuple[float, float, float]:
+    mass = [m + PRIOR_VOTES * p for m, p in zip(mass, prior)]
+    if both:
+        mass[1] = 0.0
+    return tuple(m / sum(mass) for m in mass)
+
+
+def estimate(patterns: DataFrame, n_rules: int, speaks_both: set[int] = SPEAKS_BOTH) -> Trust:
+    """Shares of good documents and of votes per class, by expectation-maximisation over :func:`vote_patterns`.
+
+    Every round is one aggregation of that bounded table; a row per voter and vote reaches the driver. It starts
+    from the prior shares, by which an objection speaks for bad, and is free from there on: nothing is clamped. The
+    prior is worth ``PRIOR_VOTES`` documents, so a table without rows gives the prior itself.
+    """
+    patterns = patterns.coalesce(1)  # one small partition needs no shuffle
+    groups = voters(patterns, n_rules)
+    both = [bool(set(g) & speaks_both) for g in groups]
+    priors = [PRIOR_BOTH if b else PRIOR_OBJECTS for b in both]
+    trust = Trust(PRIOR_GOOD, groups, both, {c: [_shares([0.0] * 3, p[c], b) for p, b in zip(priors, both)] for c in ("good", "bad")})
     for _ in range(ROUNDS):
-        prior = math.log(good / (1 - good))
-        rows = ", ".join(f"({j}, {math.log(a / (1 - a))!r}D, {prior!r}D)" for j, a in enumerate(right))
-        weight = F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS t(rule, weight, prior)"))  # a row per rule
-        odds = F.sum(F.col("vote") * F.col("weight")) + F.max("prior")
-        belief = spoken.join(weight, "rule").groupBy("pattern").agg((1 / (1 + F.exp(-odds))).alias("p"))
-        agrees = F.when(F.col("vote") == 1, F.col("p")).otherwise(1 - F.col("p"))
-        found = spoken.join(belief, "pattern").groupBy("rule").agg(F.sum(F.col("count") * agrees).alias("right"), F.sum("count").alias("all"), F.sum(F.col("count") * F.col("p")).alias("good"))
-        new = {r["rule"]: r for r in found.collect()}
-        share = new.get(0, {"good": 0.0, "all": 0})  # rule 0 is the one that most documents hear
-        update = [((new[j]["right"] if j in new else 0.0) + PRIOR_VOTES * TRUST) / ((new[j]["all"] if j in new else 0) + PRIOR_VOTES) for j in range(n_rules)]
-        update = [min(max(a, LEAST_TRUST), MOST_TRUST) for a in update]
-        good = min(max((share["good"] + PRIOR_VOTES * PRIOR_GOOD) / (share["all"] + PRIOR_VOTES), 0.1), MOST_GOOD)
-        change, right = max(abs(a - b) for a, b in zip(right, update)), update
-        if change < 1e-4:
+        belief = patterns.select("count", trust.posterior(F.col("votes")).alias("p"), F.posexplode(_merged(F.col("votes"), groups)).alias("voter", "vote"))
+        sums = belief.groupBy("voter", "vote").agg(F.sum(F.col("count") * F.col("p")).alias("good"), F.sum(F.col("count") * (1 - F.col("p"))).alias("bad"))
+        found = {(r["voter"], r["vote"]): r for r in sums.collect()}  # at most three rows per voter
+        mass = {c: [[found[j, v][c] if (j, v) in found else 0.0 for v in (-1, 0, 1)] for j in range(len(groups))] for c in ("good", "bad")}
+        good, bad = (sum(mass[c][0]) for c in ("good", "bad"))
+        says = {c: [_shares(m, p[c], b) for m, p, b in zip(mass[c], priors, both)] for c in ("good", "bad")}
+        share = (good + PRIOR_VOTES * PRIOR_GOOD) / (good + bad + PRIOR_VOTES)
+        change = max(abs(x - y) for c in says for a, b in zip(says[c], trust.says[c]) for x, y in zip(a, b))
+        change, trust = max(change, abs(share - trust.good)), Trust(share, groups, both, says)
+        if change < CLOSE:
             break
-    return good, right
-
-
-def posterior(good: float, right: list[float]) -> Column:
-    """Probability of good given the votes in columns ``__v0``, ``__v1``, ..."""
-    odds = F.lit(math.log(good / (1 - good)))
-    for j, a in enumerate(right):
-        odds = odds + F.col(f"__v{j}") * math.log(a / (1 - a))
-    return 1 / (1 + F.exp(-odds))
+    return trust
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts, the votes, ``__quality`` (posterior) and ``__kept``; the texts are measured in one scan per use."""
+    """``docs`` with the counts and the votes ``__v0``, ``__v1``, ...; the texts are measured in one scan per use."""
     configure(docs.sparkSession)
-    rules = votes()
-    voted = measures(docs).select("*", *[v.alias(f"__v{j}") for j, v in enumerate(rules)])
-    return voted
-
-
-def _verdict(voted: DataFrame, spoken: DataFrame) -> DataFrame:
-    good, right = accuracies(spoken, len(votes()))
-    return voted.withColumn("__quality", posterior(good, right)).withColumn("__kept", ~base_failed() & (F.col("__quality") >= 0.5))
+    return measures(docs).select("*", *[v.alias(f"__v{j}") for j, v in enumerate(votes())])
 
 
-def _spoken(voted: DataFrame) -> DataFrame:
-    """One row per vote pattern and rule that votes: at most 3 to the number of rules times that number."""
+def _verdict(voted: DataFrame) -> DataFrame:
+    """``voted`` with ``__quality`` (posterior) and ``__kept``."""
     columns = [f"__v{j}" for j in range(len(votes()))]
-    patterns = voted.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
-    patterns = patterns.withColumn("pattern", F.concat_ws(",", *columns)).withColumn("votes", F.array(*columns))
-    long = patterns.select("pattern", "count", F.posexplode("votes").alias("rule", "vote")).where("vote != 0")
-    return materialize(long, "spoken")
+    trust = estimate(vote_patterns(voted, columns), len(columns))
+    voted = voted.withColumn("__quality", trust.posterior(F.array(*columns)))
+    return voted.withColumn("__kept", ~base_failed() & (F.col("__quality") >= 0.5))
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -156,7 +213,7 @@ def quality(docs: DataFrame) -> DataFrame:
     """
     voted = materialize(judged(docs.select("doc_id", "text")).drop("text"), "voted")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return _verdict(voted, _spoken(voted)).select(
+    return _verdict(voted).select(
         "doc_id", *[F.col(f"__{n}").alias(n) for n in names], base_failed().alias("base_failed"),
         F.col("__kept").alias("kept"), F.col("__quality").alias("quality"),
     )
@@ -165,4 +222,4 @@ def quality(docs: DataFrame) -> DataFrame:
 def drop_poor(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that the verdict rejects, judged beside the text, without a join."""
     voted = materialize(judged(docs), "voted")
-    return _verdict(voted, _spoken(voted)).where("__kept").select(*docs.columns)
+    return _verdict(voted).where("__kept").select(*docs.columns)
