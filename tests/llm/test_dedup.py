@@ -58,6 +58,35 @@ def test_state_goes_on(spark, table, tmp_path):
     assert first == {"a": (1, 1, 10), "b": (1, 2, 20)} and second == {"a": (2, 5, 50), "b": (2, 2, 20)}
 
 
+BATCHES = [[(1, "One"), (5, "two"), (3, None), (3, None), (2, "shared")], [(9, "one"), (4, "TWO"), (None, ""), (6, "tale"), (8, "shared")], [(7, "tow"), (11, "shared"), (11, "SHARED"), (12, "alone")]]
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_batches_with_one_store_equal_one_run(table, tmp_path, weak):
+    """Three calls with one store: the last state equals one run over the union; each batch is judged against all before it."""
+    digest = {"digest": lambda c: F.substring(c, 1, 1)} if weak else {}
+    store, seen = str(tmp_path / "store"), []
+    for batch in BATCHES:
+        seen += batch
+        docs = table([t for _, t in batch], [i for i, _ in batch])
+        got = dedup.deduplicate(docs, store=store, **digest).collect()
+        union = expected_exact(table([t for _, t in seen], [i for i, _ in seen]).collect())
+        assert sorted(map(str, union[-len(batch):])) == sorted(str((r.doc_id, r.keep_id, r.group_size)) for r in got)
+    union = table([t for _, t in seen], [i for i, _ in seen])
+    every = dedup.Store(union.sparkSession, store, **digest).verdicts().collect()
+    assert sorted(map(str, every)) == sorted(map(str, dedup.deduplicate(union, **digest).collect()))
+    assert sum(r.kept for r in every) == len({lower(t) for _, t in seen})
+
+
+def test_store_with_an_empty_batch_and_a_hot_text(table, tmp_path):
+    store = str(tmp_path / "store")
+    assert dedup.deduplicate(table([]), store=store).count() == 0
+    docs = table(["same text"] * 700 + ["other"], range(701))
+    check_exact(docs, store=store)
+    again = dedup.deduplicate(table(["Same text"], [9000]), store=store).collect()
+    assert [(r.doc_id, r.keep_id, r.group_size, r.kept) for r in again] == [(9000, 9000, 701, True)]
+
+
 def test_key_filter(spark):
     keys = spark.range(0, 3000, 3).withColumnRenamed("id", "k")
     hit = common.key_filter(keys, "k")(spark.range(3000), "id").where("__hit").select("id")

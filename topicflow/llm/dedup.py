@@ -2,9 +2,12 @@
 
 A Structured Streaming aggregation keeps one state row per digest in RocksDB, without a watermark,
 so nothing expires: the number of copies, the identifier of the row that stays and the place of
-that row in the scan. Given a lasting ``store`` a later run adds only new files. The state is read
-back through Spark's state reader. Digests that were hit more than once are not trusted: the whole
-texts of their rows are compared with the text of the row that stays.
+that row in the scan. The state is read back through Spark's state reader. Digests that were hit
+more than once are not trusted: the whole texts of their rows are compared with the text of the row that stays.
+
+A lasting ``store`` is a shared folder with the state, the marks of all batches, and the content table (one
+folder per batch). There the locator is (run, place), which names a row of the content table for good, so that
+a later batch is compared byte by byte with texts of earlier ones.
 """
 
 from __future__ import annotations
@@ -53,16 +56,20 @@ def state_settings(spark: SparkSession):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def remember(spark: SparkSession, marks: str, store: str) -> DataFrame:
-    """Feeds new files of the folder ``marks`` (digest, rank, place) to the state in ``store``; returns the whole state."""
+def remember(spark: SparkSession, marks: str, store: str, place: str = "long", first: bool = False) -> DataFrame:
+    """Feeds new files of the folder ``marks`` (digest, rank, place) to the state in ``store``; returns the whole state.
+
+    ``place`` is the type of the locator; with ``first`` the state also keeps the smallest locator of a digest.
+    """
+    least = [F.min("place").alias("first")] if first else []
     with state_settings(spark):
-        stream = spark.readStream.schema("digest string, rank long, place long").parquet(marks)
-        state = stream.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("top"), F.max_by("place", "rank").alias("at"))
+        stream = spark.readStream.schema(f"digest string, rank long, place {place}").parquet(marks)
+        state = stream.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("top"), F.max_by("place", "rank").alias("at"), *least)
         run = state.writeStream.format("noop").outputMode("update").option("checkpointLocation", store)
         run.trigger(availableNow=True).start().awaitTermination()
         kept = spark.read.format("statestore").load(store)
-        count, top, at, _ = [F.col("value")[name] for name in kept.schema["value"].dataType.names]
-        state = kept.select(F.col("key.digest").alias("digest"), count.alias("n"), top.alias("top"), at.alias("at"))
+        count, top, at, _, *rest = [F.col("value")[name] for name in kept.schema["value"].dataType.names]
+        state = kept.select(F.col("key.digest").alias("digest"), count.alias("n"), top.alias("top"), at.alias("at"), *[c.alias("first") for c in rest])
         return materialize(state, "state")
 
 
@@ -72,7 +79,10 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256, st
     Texts are equal when identical after lower-casing A-Z; a null text is an empty one. Of equal texts the
     row with the largest doc_id stays; a null doc_id loses to any other; of repeated rows with that doc_id one stays.
     An empty table gives no rows. ``digest`` may be weak: rows of one digest and several texts are told apart.
+    With a ``store`` the rows are judged against all batches that it has seen, see :class:`Store`.
     """
+    if store is not None:
+        return Store(docs.sparkSession, store, digest).add(docs)
     spark = configure(docs.sparkSession)
     rank = F.coalesce(F.col("doc_id"), F.lit(LOWEST))
     mine = docs.select("doc_id", plain_text().alias("plain"))
@@ -80,7 +90,7 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256, st
     folder = scratch_path(spark, "marks")
     marks.write.parquet(folder)
     marks = spark.read.schema(marks.schema).parquet(folder)
-    state = remember(spark, folder, store or scratch_path(spark, "store"))
+    state = remember(spark, folder, scratch_path(spark, "store"))
     groups = materialize(state.where("n > 1"), "groups")
     total = marks.count()
     hot = groups.where(F.col("n") * HOT_SHARE >= total)
@@ -125,14 +135,104 @@ def _other_texts(docs: DataFrame, members: DataFrame, groups: DataFrame, hot: Da
 def _groups_of(odd: DataFrame) -> DataFrame:
     """The same result for the rows that collided, grouped by their text itself."""
     rank = F.coalesce(F.col("doc_id"), F.lit(LOWEST))
-    odd = odd.withColumn("rank", rank).withColumn("place", F.monotonically_increasing_id())
+    return _by_text(odd.withColumn("rank", rank).withColumn("place", F.monotonically_increasing_id()))
+
+
+def _by_text(odd: DataFrame, *more: str) -> DataFrame:
     sizes = odd.groupBy("digest", "plain").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("rank", "place")).alias("top"))
     return odd.join(sizes, ["digest", "plain"]).select(
         "doc_id", F.when(F.col("top.rank") != LOWEST, F.col("top.rank")).alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("place") == F.col("top.place")).alias("kept"), sha256(F.col("plain")).alias("text_sha256"),
+        (F.col("place") == F.col("top.place")).alias("kept"), sha256(F.col("plain")).alias("text_sha256"), *more,
     )
 
 
+class Store:
+    """Exact copies over batches that come one after another, in a folder that all executors reach.
+
+    ``add`` takes a batch and returns its verdicts against everything seen so far; ``verdicts`` returns those of
+    all rows ever added, which equal one run over the union (a later row with a larger doc_id takes over). Nothing
+    expires. Texts are written once, to the content table; a later batch reads of it only the texts that its own digests
+    point at. If a call dies after its marks were written, the next call counts and checks them, so don't add that batch
+    again. One writer at a time.
+    """
+
+    LOCATOR = "struct<run:int,place:bigint>"
+
+    def __init__(self, spark: SparkSession, folder: str, digest: Callable[[Column], Column] = sha256):
+        self.spark, self.digest = configure(spark), digest
+        self.content, self.marks, self.state, self.odd = (f"{folder.rstrip('/')}/{part}" for part in ("content", "marks", "state", "odd"))
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        run = len(self._runs(self.content))
+        rank, plain = F.coalesce(F.col("doc_id"), F.lit(LOWEST)).alias("rank"), plain_text().alias("plain")
+        rows = docs.select("doc_id", rank, plain).withColumn("digest", self.digest(F.col("plain"))).withColumn("place", F.monotonically_increasing_id())
+        rows.write.parquet(f"{self.content}/run={run}")  # places of the written rows never change
+        written = self.spark.read.schema(rows.schema).parquet(f"{self.content}/run={run}")
+        place = F.struct(F.lit(run).alias("run"), "place").alias("place")
+        written.select("doc_id", "rank", "digest", sha256(F.col("plain")).alias("sha"), place).write.mode("append").parquet(self.marks)
+        state = remember(self.spark, self.marks, self.state, self.LOCATOR, first=True)
+        self._check(run, state)
+        return self._judged(state).where(F.col("run") == run).drop("run")
+
+    def verdicts(self) -> DataFrame:
+        """doc_id, keep_id, group_size, kept, text_sha256 of every row ever added."""
+        return self._judged(remember(self.spark, self.marks, self.state, self.LOCATOR, first=True)).drop("run")
+
+    def _runs(self, folder: str) -> list[int]:
+        """Numbers of the batches with a folder below ``folder``: names only, one per batch."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
+        return sorted(int(n[4:]) for n in names if n.startswith("run="))
+
+    def _marks(self) -> DataFrame:
+        return self.spark.read.schema(f"doc_id long, rank long, digest string, sha string, place {self.LOCATOR}").parquet(self.marks)
+
+    def _odd(self) -> DataFrame:
+        return self.spark.read.schema(f"doc_id long, rank long, digest string, plain string, place {self.LOCATOR}").parquet(f"{self.odd}/run=*")
+
+    def _check(self, run: int, state: DataFrame) -> None:
+        """Writes the rows of batches not checked yet whose text is not the first one of their digest.
+
+        The first text comes from the content table by its locator. Only rows whose digest occurs twice move with
+        their text; hot digests are dealt out by salt, and each salt gets the first text once.
+        """
+        content = self.spark.read.schema("doc_id long, rank long, plain string, digest string, place long, run int").option("basePath", self.content).parquet(self.content)
+        last = max(self._runs(self.odd), default=-1)
+        again = materialize(state.where("n > 1"), "again")
+        mine = self._marks().where(F.col("place.run") > last)
+        total = mine.count()
+        mine = mine.select("digest", F.col("place.run").alias("run"), F.col("place.place").alias("place"))
+        touched = materialize(again.join(mine.select("digest"), "digest", "left_semi"), "touched")
+        fresh = content.where(F.col("run") > last).join(mine.select("run").distinct(), "run", "left_semi")  # marked batches only
+        rows = key_filter(touched, "digest")(fresh, "digest").where("__hit").drop("__hit")
+        salts = touched.where(F.col("n") * HOT_SHARE >= F.greatest(F.lit(total), F.col("n"))).select("digest", F.ceil(F.col("n") / ROWS_PER_SALT).cast("int").alias("salts"))
+        rows = rows.join(salts, "digest", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("run", "place"), F.col("salts")).cast("int"))
+        at = touched.select("digest", F.col("first.run").alias("run"), F.col("first.place").alias("place"))
+        first = key_filter(touched, "digest")(content, "digest").where("__hit").join(at, ["digest", "run", "place"]).select("digest", F.col("plain").alias("first"))
+        first = first.join(salts, "digest", "left").select("digest", "first", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+        other = rows.join(first, ["digest", "salt"]).where("plain != first")
+        other.select("doc_id", "rank", "digest", "plain", F.struct("run", "place").alias("place")).write.parquet(f"{self.odd}/run={run}")
+
+    def _judged(self, state: DataFrame) -> DataFrame:
+        """Verdicts of all marks; digests with several texts are counted anew without the rows of other texts."""
+        marks, odd = self._marks(), materialize(self._odd(), "odd")
+        several, total = odd.select("digest").distinct(), marks.count()
+        alike = marks.join(odd.select("place"), "place", "left_anti")
+        anew = alike.join(several, "digest", "left_semi").groupBy("digest").agg(
+            F.count(F.lit(1)).alias("n"), F.max("rank").alias("top"), F.max_by("place", "rank").alias("at"))
+        groups = state.where("n > 1").select("digest", "n", "top", "at").join(several, "digest", "left_anti")
+        groups = materialize(groups.unionByName(anew), "groups")
+        members = _with_groups(alike, groups, groups.where(F.col("n") * HOT_SHARE >= total), total)
+        held = members.select(
+            "doc_id", F.when(F.col("top") != LOWEST, F.col("top")).alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+            F.coalesce(F.col("place") == F.col("at"), F.lit(True)).alias("kept"), F.col("sha").alias("text_sha256"), F.col("place.run").alias("run"),
+        )
+        return held.unionByName(_by_text(odd.withColumn("run", F.col("place.run")), "run"))
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each text; rows that surely stay are not shuffled."""
     result = materialize(deduplicate(docs), "copies")
