@@ -75,6 +75,24 @@ def test_streaks_equal_batch(spark, tmp_path, per_batch, calendar):
     assert got == {tuple(r) for r in drift.drift_streaks(flags, calendar=calendar).collect()}
 
 
+@pytest.mark.parametrize("calendar", [False, True])
+@pytest.mark.parametrize("order", [[3, 1, 2, 4, 6, 5, 8, 7, 9, 20], [2, 4, 1, 3, 7, 6, 5, 9, 8, 20]])
+def test_streaks_with_late_days_equal_batch(spark, tmp_path, order, calendar):
+    """One day per micro-batch, up to three days late: as the batch operator over the days that count."""
+    good = {3, 6} if order[0] == 3 else {2}
+    log = spark.createDataFrame([(dt.datetime(2024, 1, d), 0.9 if d in good else 0.1, 1) for d in order if d != 4], SCHEMA)
+    flags = drift.daily_drift_flags(log)
+    for number, day in enumerate(d for d in order if d != 4):
+        flags.where(F.dayofmonth("day") == day).coalesce(1).write.parquet(f"{tmp_path}/flags/f{number}")
+        time.sleep(0.05)
+    reader = spark.readStream.schema(flags.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1)
+    streaks = stream_drift.stream_drift_streaks(reader.parquet(f"{tmp_path}/flags"), calendar=calendar, late_days=3)
+    drain(streaks, tmp_path / "out", tmp_path / "state")
+    got = {tuple(r) for r in spark.read.schema(streaks.schema).parquet(str(tmp_path / "out")).collect()}
+    counted = flags.where(F.dayofmonth("day") <= 17)
+    assert got == {tuple(r) for r in drift.drift_streaks(counted, calendar=calendar).collect()} and got
+
+
 def test_append_each_post_once(spark, tmp_path):
     schema = "id_post long, post_date timestamp, text string"
     at = lambda d: dt.datetime(2024, 1, d)

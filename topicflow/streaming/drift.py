@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,23 +46,30 @@ def stream_daily_drift(
     ).select("*", *drift_flags(thresholds))
 
 
-def stream_drift_streaks(flags: DataFrame, window_days: int = 3, calendar: bool = False) -> DataFrame:
+def stream_drift_streaks(flags: DataFrame, window_days: int = 3, calendar: bool = False, late_days: int = 0) -> DataFrame:
     """One row per condition when its first streak of ``window_days`` violating days completes.
 
-    ``flags`` is a stream of closed days (the output table of :func:`stream_daily_drift`). The state
-    of a condition is its current run, its start, the last day seen and whether it has fired. A day that is not
-    after the last one seen, because a later micro-batch brought it, can't be put in its place any more and is left out.
+    ``flags`` is a stream of closed days (the output table of :func:`stream_daily_drift`). A day counts once a day
+    ``late_days`` after it has been seen; until then it waits in the state, and days that come in any order take their
+    places. So the result equals the batch operator's over the days that count, whatever the order and the micro-batches,
+    as long as no day is later than that. A day that is later still is left out; of a repeated day the first row counts.
+    The state of a condition is its current run, its start, the last day that counted, whether it has fired, and the
+    days that wait: at most ``late_days`` of them between micro-batches.
     """
     names = F.array(*[F.struct(F.lit(c).alias("condition"), F.col(c).alias("hit")) for c in CONDITIONS])
     long = flags.select("day", F.explode(names).alias("c")).select("c.condition", "day", "c.hit")
 
     def follow(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        run, start, last, fired = state.get if state.exists else (0, None, None, False)
-        days = pd.concat(list(frames)).sort_values("day")
+        run, start, last, fired, days, hits = state.get if state.exists else (0, None, None, False, [], [])
+        waiting = dict(zip(days, hits))
+        for frame in frames:
+            for day, hit in zip(frame["day"], frame["hit"]):
+                if last is None or day > last:
+                    waiting.setdefault(day, bool(hit))
+        settled = max(waiting) - timedelta(days=late_days) if waiting else date.min
         out = []
-        for day, hit in zip(days["day"], days["hit"]):
-            if last is not None and day <= last:
-                continue
+        for day in sorted(d for d in waiting if d <= settled):
+            hit = waiting.pop(day)
             gap = calendar and last is not None and day - last > timedelta(days=1)
             if gap or not hit:
                 run, start = 0, None
@@ -72,12 +79,10 @@ def stream_drift_streaks(flags: DataFrame, window_days: int = 3, calendar: bool
                     fired = True
                     out.append((key[0], start, window_days))
             last = day
-        state.update((run, start, last, fired))
+        state.update((run, start, last, fired, list(waiting), list(waiting.values())))
         yield pd.DataFrame(out, columns=["condition", "start_day", "length"])
 
     return long.groupBy("condition").applyInPandasWithState(
-        follow, "condition string, start_day date, length int", "run int, start date, last date, fired boolean",
-        "append", GroupStateTimeout.NoTimeout,
+        follow, "condition string, start_day date, length int",
+        "run int, start date, last date, fired boolean, days array<date>, hits array<boolean>", "append", GroupStateTimeout.NoTimeout,
     )
-
-
