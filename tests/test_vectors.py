@@ -293,3 +293,68 @@ def test_dbcv_of_large_clusters(spark, sizes, block_rows):
     row = quality.dbcv(frame(spark, points), topics, block_rows=block_rows, small=small).first()
     assert row.points == len(labels) and row.clusters == len(sizes)
     assert abs(row.dbcv_score - prim_dbcv(points, labels)) < 1e-9
+
+
+@pytest.mark.parametrize("shape", ["clouds", "copies", "narrow"])
+def test_search_block_equals_brute_force(shape):
+    from topicflow.functions.vectors import unit
+    from topicflow.operators.neighbours import _search_block
+
+    rng = np.random.default_rng(4)
+    items = clouds(4, 6000, 8)
+    if shape == "copies":
+        items[100:1500] = items[100]  # more ties than are listed, zero vectors too
+        items[2000:2400] = 0
+    elif shape == "narrow":
+        items = 5.0 + rng.normal(size=items.shape) * 1e-5  # closer than single precision tells
+    items = unit(items)
+    some = np.concatenate([np.arange(0, 6000, 37), [100, 101, 2000, 2001]])
+    want = brute(items[some], items, 6, False)
+    found = _search_block(some, items[some], np.arange(6000), items, 5, True)
+    got = {}
+    for q, i, s in zip(*(found.column(c).to_pylist() for c in range(3))):
+        got.setdefault(q, []).append((i, s))
+    for place, q in enumerate(some.tolist()):
+        rows = [(j, s) for j, s in want[place] if j != q][:5]
+        sims = {j: s for j, s in got[q]}
+        assert len(got[q]) >= 5 and np.allclose(sorted(sims.values()), sorted(s for _, s in rows), atol=2e-10), q
+    bound = np.array([want[p][4][1] for p in range(len(some))])
+    again = _search_block(some, items[some], np.arange(6000), items, 5, True, floor=bound)
+    assert {(q, i) for q, i, s in zip(*(again.column(c).to_pylist() for c in range(3)))} <= {(q, i) for q, v in got.items() for i, _ in v}
+
+
+def test_rows_with_nan_and_repeated_ids():
+    from topicflow.functions.vectors import unit
+    from topicflow.operators.neighbours import _search_block
+
+    items = unit(clouds(5, 50, 4))
+    items[7] = np.nan
+    ids = np.arange(50) // 2  # every id twice
+    found = _search_block(ids, items, ids, items, 3, True)
+    rows = list(zip(*(found.column(c).to_pylist() for c in range(3))))
+    assert all(q != i and np.isfinite(s) for q, i, s in rows) and len(rows) == 49 * 3
+
+
+def test_search_lists_few_pairs_in_full(monkeypatch):
+    """Ordinary vectors are told apart by products of single precision; no similarity of all pairs is sorted."""
+    from topicflow.functions.vectors import unit
+    from topicflow.operators import neighbours
+
+    items = unit(np.random.default_rng(6).normal(size=(20_000, 16)))
+    monkeypatch.setattr(neighbours, "_best_k", lambda *a: pytest.fail("all pairs were sorted"))
+    assert neighbours._search_block(np.arange(500), items[:500], np.arange(20_000), items, 10, True).num_rows == 5000
+
+
+def test_small_blocks_grow_with_the_vectors(spark):
+    """Blocks of one row would copy every query to 300 blocks; at most 64 are cut while they stay within the usual size."""
+    from topicflow.operators import neighbours
+
+    points, seen = clouds(7, 300, 4), []
+    plain = neighbours._search_cells
+    neighbours._search_cells = lambda *a, **o: (seen.append(a[4]), plain(*a, **o))[1]
+    try:
+        found = {(r.doc_id, r.neighbour_id) for r in knn_cosine(frame(spark, points), 3, broadcast_bytes=0, cells=2, block_bytes=1).collect()}
+    finally:
+        neighbours._search_cells = plain
+    assert set(seen) == {5}
+    assert found == {(i, j) for i, rows in brute(points, points, 3, True).items() for j, _ in rows}
