@@ -219,3 +219,54 @@ def test_tiny_and_empty_tables(spark):
     assert {r.topic for r in hierarchy.density_hierarchy(few, 5, 2).topics.collect()} == {-1}
     assert hierarchy.density_hierarchy(few, 2, 1, whole=True).topics.count() == 3
     assert hierarchy.density_hierarchy(few.limit(0), 5, 2).topics.count() == 0
+
+
+def plain_least(points, core, part, others, other_core, other_part, other_id):
+    who, weight = np.zeros(len(points), int), np.full(len(points), np.inf)
+    for i, p in enumerate(points):
+        reach = np.maximum(np.sqrt(((p - others) ** 2).sum(axis=1)), np.maximum(core[i], other_core))
+        reach[other_part == part[i]] = np.inf
+        j = np.lexsort((other_id, reach))[0]
+        if np.isfinite(reach[j]):
+            who[i], weight[i] = other_id[j], reach[j]
+    return who, weight
+
+
+@pytest.mark.parametrize("dims, away, size", [(3, 0, 1.0), (8, 100, 1e-4), (8, 0, 1e-25), (64, 1, 1e20)])
+def test_least_outside_equals_all_pairs(dims, away, size):
+    from topicflow.functions.tree import least_outside
+
+    rng = np.random.default_rng(11)
+    others = (rng.normal(size=(5000, dims)) + (away / size if away > 1 else away)) * size
+    others[10:40] = others[10]  # copies: the lower id wins
+    core = rng.random(5000) * size * (0.5 if dims < 64 else 9)
+    ids, part = rng.permutation(5000) + 5, rng.integers(0, 40, 5000)
+    asked = others[:300], core[:300], part[:300]
+    want = plain_least(*asked, others, core, part, ids)
+    found = least_outside(*asked, others, core, part, ids)
+    assert (found[0] == want[0]).all() and (found[1] == want[1]).all()
+    bound = want[1] * np.where(np.arange(300) % 2, 1, 0.99)
+    found = least_outside(*asked, others, core, part, ids, bound)
+    assert (found[0][1::2] == want[0][1::2]).all() and np.isinf(found[1][::2]).all()
+
+
+def test_inverse_powers_equal_differences():
+    from topicflow.operators.quality import inverse_powers
+
+    rng = np.random.default_rng(12)
+    for dims, away, size in ((3, 0, 1.0), (7, 100, 1e-4), (64, 1, 1.0)):
+        points = rng.normal(size=(3000, dims)) * size + away
+        points[5:9], points[11, 0] = points[5], np.nan
+        with np.errstate(all="ignore"):
+            want = [(np.where((d := np.sqrt(((points - p) ** 2).sum(axis=1))) > 0, d, np.inf) ** -float(dims)).sum() for p in points[:200]]
+        assert np.allclose(np.array(want) ** (-1 / dims), inverse_powers(points[:200], points) ** (-1 / dims), rtol=1e-9)
+
+
+def test_points_are_copied_to_few_blocks(spark):
+    """Blocks of a few points would copy each point to hundreds of blocks and fill the disk."""
+    from topicflow.functions.tree import LEAST_BLOCKS, Shelves
+
+    rows = [(i, "", [float(v) for v in p], 0.1) for i, p in enumerate(np.random.default_rng(13).normal(size=(600, 512)))]
+    shelves = Shelves(spark.createDataFrame(rows, "id long, grp string, vec array<double>, core double"), rows=2)
+    assert len(shelves.pivots) <= LEAST_BLOCKS and shelves.cells.agg({"nblk": "sum"}).first()[0] <= 3 * LEAST_BLOCKS
+    shelves.discard()
