@@ -405,6 +405,11 @@ def _(v):
 # --- streams ----------------------------------------------------------------
 
 
+def _files(df):
+    """At least four files to arrive one after another; more where one of them would be too much for a task."""
+    return df.repartition(max(4, df.rdd.getNumPartitions()))
+
+
 def _drain(df, path: str, checkpoint: str) -> None:
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
@@ -454,7 +459,7 @@ def _(v):
     table, arriving = scratch_path(v.spark, "posts"), scratch_path(v.spark, "arriving")
     v.raw_posts.where(F.col("id_post") % 3 == 0).write.parquet(table)
     again = v.raw_posts.where(F.col("id_post") % 2 == 0)
-    v.raw_posts.unionByName(again).repartition(4).write.parquet(arriving)
+    _files(v.raw_posts.unionByName(again)).write.parquet(arriving)
     stream = v.spark.readStream.schema(v.raw_posts.schema).parquet(arriving)
     append.stream_append_delta(stream, table, scratch_path(v.spark, "state")).awaitTermination()
     return v.spark.read.parquet(table).groupBy("id_post").agg(F.count("*").alias("n"))
