@@ -2,12 +2,13 @@ import hashlib
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from topicflow import session
 from topicflow.functions import scale
-from topicflow.operators import sampling
+from topicflow.operators import outliers, sampling, topics
 from topicflow.sources import posts as src
 
 
@@ -155,3 +156,26 @@ def test_range_scan_is_pushed_down(spark, views, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(post_date" in plan and "LessThan(post_date" in plan
     assert "ReadSchema: struct<id_post:bigint,post_date:timestamp>" in plan
+
+
+def test_noise_texts_are_scored_in_runs_of_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(outliers, "TEXT_BYTES", 100)
+    texts = ["ab cd"] * 50 + [None, "x" * 500, "", "ef"] + ["gh ij kl"] * 30
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "slice": [""] * len(texts), "w": texts})
+    runs = list(outliers._text_runs(batch))
+    assert pa.Table.from_batches(runs).to_pydict() == batch.to_pydict()
+    assert max(sum(len(t or "") for t in r.column("w").to_pylist()[:-1]) for r in runs) <= 100
+    assert len(runs) > 5 and list(outliers._text_runs(batch.slice(0, 0))) == []
+
+
+def test_scores_do_not_depend_on_runs(spark):
+    rows = [(i, -1 if i % 3 else i % 2, "ww%d ww%d vv%d" % (i % 5, i % 7, i % 4)) for i in range(90)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text_lemm string")
+    assigned = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, topic int")
+    scores, _ = topics.describe_topics(docs, assigned)
+    # some texts of about a run's size, so that the tasks cut their batches into several runs
+    long = docs.withColumn("text_lemm", F.when(F.col("doc_id") % 10 == 1, F.repeat(F.concat("text_lemm", F.lit(" ")), 40_000)).otherwise(F.col("text_lemm")))
+    found = {r.doc_id: (r.best, r.score) for r in outliers.ctfidf_scores(docs, assigned, scores).collect()}
+    mixed = {r.doc_id: (r.best, r.score) for r in outliers.ctfidf_scores(long, assigned, scores).collect()}
+    assert found.keys() == mixed.keys() == {i for i, t, _ in rows if t == -1}
+    assert all(found[i] == mixed[i] for i in found if i % 10 != 1)
