@@ -358,3 +358,48 @@ def test_small_blocks_grow_with_the_vectors(spark):
         neighbours._search_cells = plain
     assert set(seen) == {5}
     assert found == {(i, j) for i, rows in brute(points, points, 3, True).items() for j, _ in rows}
+
+
+@pytest.mark.parametrize("shape", ["clouds", "copies", "repeated ids"])
+def test_search_by_angle_equals_search_of_all(shape):
+    """Items in the order of their angle to a pivot give the rows of a search without one, whatever the pivot."""
+    from topicflow.functions.vectors import unit
+    from topicflow.operators.neighbours import _search_block
+
+    items = clouds(8, 9000, 6)
+    if shape == "copies":
+        items[100:1500], items[2000:2400] = items[100], 0
+    items = unit(items)
+    items[8000] = np.nan
+    ids = np.arange(9000) // (2 if shape == "repeated ids" else 1)
+    some = np.concatenate([np.arange(0, 9000, 41), [100, 2000, 8000]])
+    rows = lambda **o: sorted(zip(*(c.to_pylist() for c in _search_block(ids[some], items[some], ids, items, 5, True, **o).columns)))
+    plain = rows()
+    for pivot in (items[3], items[100], -items[3], np.zeros(6)):
+        assert rows(pivot=pivot) == plain
+    assert len(plain) >= 5 * (len(some) - 3)
+
+
+def test_angles_spare_products():
+    """Items that angles rule out are not multiplied: these would be the best if they were."""
+    from topicflow.operators.neighbours import _COLUMNS, _likely
+
+    items = np.ones((2 * _COLUMNS, 2), np.float32)
+    items[_COLUMNS:] = 9
+    angles = np.array([0.1]), np.repeat([0.2, 1.5], _COLUMNS)
+    row, column, dense = _likely(np.array([[0.5, 0.4]], np.float32), items[:], 1, np.array([0.8], np.float32), None, None, None, angles)
+    assert not (column >= _COLUMNS).any() and (len(row) or len(dense))
+
+
+def test_pivots_are_centres():
+    """Eight pivots find eight clouds, so that cells are narrow, however few of the first vectors lie in some of them."""
+    from topicflow.functions.vectors import unit
+    from topicflow.operators.neighbours import _centres
+
+    rng = np.random.default_rng(9)
+    middle = np.eye(8)
+    label = np.concatenate([np.arange(8), rng.integers(0, 8, 2000)])
+    sample = unit(middle[label] + rng.normal(size=(len(label), 8)) * 0.1)
+    pivots = _centres(sample, 8)
+    assert ((middle @ pivots.T).max(axis=1) > 0.995).all()
+    assert _centres(sample[:3], 8).shape == (3, 8)
