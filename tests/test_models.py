@@ -386,3 +386,19 @@ def test_arriving_files_follow_the_input(spark):
 
     assert _files(spark.range(100).repartition(9)).rdd.getNumPartitions() == 9
     assert _files(spark.range(100).repartition(2)).rdd.getNumPartitions() == 4
+
+
+def test_texts_are_checked_once(spark):
+    """Two searches and the result ask which texts are usable; each text is read once for that."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame([(i, "Погода в городе сегодня будет хорошей, ветер слабый, без осадков.") for i in range(20)], "doc_id long, text string")
+    seen = docs.repartition(2).select("doc_id", F.udf(counted, "string")("text").alias("text"))
+    emb = docs.select("doc_id", F.array(F.lit(1.0), F.col("doc_id") / 40.0).alias("embedding"))
+    points = spark.createDataFrame([(100, [1.0, 0.0], 1, 0.01)], "doc_id long, embedding array<double>, topic int, core double")
+    assert len(classify.classify_documents(seen, emb, reference(spark, points=points)).collect()) == 20
+    assert read.value == 20
