@@ -60,6 +60,19 @@ def test_tune(views):
     assert found.choice.first().label in {r.label for r in configs}
 
 
+def test_a_failing_full_fit_ends_the_tuning(views, monkeypatch):
+    """It must not become a row of the table that looks like a fit without figures."""
+    def broken(*args, **options):
+        raise ValueError("broken")
+
+    monkeypatch.setattr(tune, "fit_topics", broken)
+    monkeypatch.setattr(tune, "search_trials", lambda emb, *a: emb.sparkSession.createDataFrame(
+        [("s", 0, 6, 5, 3, 0.5)], "study string, trial_id int, n_components int, min_cluster_size int, min_samples int, score double"))
+    docs = views.emb_docs.select("doc_id", F.col("text").alias("text_lemm"))
+    with pytest.raises(ValueError, match="broken"):
+        tune.tune(docs, views.emb.select("doc_id", "embedding"), ClusterParams(5, 3, 8), 1, top=1)
+
+
 def test_sweep_takes_the_best_cut(views):
     vectors = views.emb.select("doc_id", "embedding")
     eps, tried = tune.sweep_eps(vectors, ClusterParams(5, 3, 8), (0.5, 0.9))
