@@ -74,6 +74,14 @@ def test_texts_with_repeated_or_missing_ids_meet_all_topics_of_their_id(spark):
     assert same_rows(term_counts(*view._labelled, join_documents=False), counts)
 
 
+def test_core_distances_come_from_every_point(spark, views, monkeypatch):
+    """No draw of so many points a topic, however large that number is."""
+    from topicflow.operators import quality
+
+    monkeypatch.setattr(quality, "cap_per_group", lambda *a, **o: pytest.fail("points were drawn"))
+    assert QUERIES["dbcv_core_distances"](spark, SF).count() == views.topics.where("topic <> -1").count()
+
+
 def test_written_posts_hold_their_text_once(spark):
     view = Views(spark, SF)
     files = [f.removeprefix("file:") for f in view.prep.inputFiles()]
