@@ -360,6 +360,34 @@ def test_small_blocks_grow_with_the_vectors(spark):
     assert found == {(i, j) for i, rows in brute(points, points, 3, True).items() for j, _ in rows}
 
 
+def test_searching_cells_moves_queries_once(spark, monkeypatch):
+    """Neither side is copied per block: tasks read blocks from the shared folder, so nothing is cogrouped, and narrow vectors go that way too."""
+    from topicflow.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "BROADCAST_ROWS", 100)
+    points = clouds(11, 300, 4)
+    found = knn_cosine(frame(spark, points), 3, block_bytes=32 * 20)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Generate" not in plan and plan.count("MapInArrow") == 1
+    assert {(r.doc_id, r.neighbour_id) for r in found.collect()} == {(i, j) for i, rows in brute(points, points, 3, True).items() for j, _ in rows}
+
+
+def test_a_chunk_keeps_the_best_of_all_blocks():
+    from topicflow.operators.neighbours import _Best, _chunks
+
+    best = _Best(3, 2)
+    best.add(np.array([0, 0, 2]), np.array([5, 6, 7]), np.array([0.5, 0.9, 0.1]))
+    best.add(np.array([0, 2, 2]), np.array([1, 3, 4]), np.array([0.5, 0.1, 0.1]))
+    assert best.floor().tolist() == [0.5, -np.inf, 0.1]
+    rows = list(zip(*(c.to_pylist() for c in best.batch(np.array([10, 11, 12])).columns)))
+    assert rows == [(10, 6, 0.9), (10, 1, 0.5), (12, 3, 0.1), (12, 4, 0.1)]
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(i, i + 5))}) for i in range(0, 35, 5)]
+    parts = [t.column("x").to_pylist() for t in _chunks(iter(batches), 8)]
+    assert sum(parts, []) == list(range(35)) and [len(p) for p in parts] == [8, 8, 8, 8, 3]
+
+
 @pytest.mark.parametrize("shape", ["clouds", "copies", "repeated ids"])
 def test_search_by_angle_equals_search_of_all(shape):
     """Items in the order of their angle to a pivot give the rows of a search without one, whatever the pivot."""
