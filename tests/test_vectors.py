@@ -223,6 +223,24 @@ def plain_cv(texts, topics, window):
     return float(np.mean(scores))
 
 
+def test_places_of_words_do_not_carry_their_topics(spark, monkeypatch):
+    """A word of 300 topics is one number at each of its places, and pairs are looked up a few at a time with the same counts."""
+    from topicflow.operators import quality as q
+
+    docs = spark.createDataFrame([(i, "a b c a d" if i % 2 else "b a e e a") for i in range(6)], "doc_id long, text_lemm string")
+    rows = [(t, r, w) for t in range(300) for r, w in enumerate(["a", "b", "c", f"only{t}"])] + [(300, 0, "d"), (300, 1, "e")]
+    words = spark.createDataFrame(rows, "topic int, rank int, word string")
+    want = {r.topic: r.cv for r in q.coherence_cv(docs, words, window=3, per_topic=True).collect()}
+    few = {r.topic: r.cv for r in q.coherence_cv(docs, words.where("topic in (0, 300)"), window=3, per_topic=True).collect()}
+    assert set(want) == set(range(301)) and abs(want[0] - want[299]) < 1e-12 and abs(want[300] - few[300]) < 1e-12 and abs(want[0] - few[0]) < 1e-12
+    doc, word, pos = np.repeat([0, 1], 5), np.array([0, 1, 2, 0, 3, 1, 0, 4, 4, 0]), np.tile(np.arange(5), 2)
+    pairs, total = np.array([1, 2, 7]), np.array([3, 3])  # 0-1, 0-2, 1-2 of five words
+    whole = [x.tolist() for x in q.window_counts(doc, total, word, pos, pairs, 5, 3)]
+    assert dict(zip(*whole)) == {0: 6, 6: 3, 12: 3, 18: 1, 24: 3, 1: 3, 2: 3, 7: 2}
+    monkeypatch.setattr(q, "_CANDIDATES", 1)
+    assert [x.tolist() for x in q.window_counts(doc, total, word, pos, pairs, 5, 3)] == whole
+
+
 def test_coherence_equals_its_definition(spark):
     rng = np.random.default_rng(7)
     vocabulary = [f"w{i}" for i in range(14)]
