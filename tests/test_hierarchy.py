@@ -66,6 +66,20 @@ def test_spanning_tree_per_group(spark):
     assert tree.spanning_forest(df.limit(0)).count() == 0
 
 
+def test_spanning_tree_from_files(spark, monkeypatch):
+    """Tasks that read the cells they visit find the same trees, ties and copies included, and nothing is copied to cells."""
+    monkeypatch.setattr(tree, "READ_BYTES", 0)
+    monkeypatch.setattr(tree.Shelves, "_search", lambda *a: pytest.fail("points were copied to cells"))
+    points, core = cloud(150, 5)
+    df = frame_of(spark, points, core, lambda k: "ab"[k % 2])
+    got = sorted((r.grp, r.w, r.a, r.b) for r in tree.spanning_forest(df, small=0, block_bytes=4 * 8 * 20, cells=4).collect())
+    want = []
+    for g in range(2):
+        ids = np.arange(g, 150, 2)
+        want += [("ab"[g], w, int(ids[a]), int(ids[b])) for w, a, b in kruskal(reach(points[ids], core[ids]))]
+    assert got == sorted(want)
+
+
 def plain_hierarchy(points, min_cluster_size, min_samples):
     """Labels by the textbook: dendrogram, condensed from the top, clusters of most excess mass."""
     unit = points / np.linalg.norm(points, axis=1, keepdims=True)

@@ -391,7 +391,8 @@ def test_searching_cells_moves_queries_once(spark, monkeypatch):
 
 
 def test_a_chunk_keeps_the_best_of_all_blocks():
-    from topicflow.operators.neighbours import _Best, _chunks
+    from topicflow.functions.vectors import chunks
+    from topicflow.operators.neighbours import _Best
 
     best = _Best(3, 2)
     best.add(np.array([0, 0, 2]), np.array([5, 6, 7]), np.array([0.5, 0.9, 0.1]))
@@ -402,7 +403,7 @@ def test_a_chunk_keeps_the_best_of_all_blocks():
     import pyarrow as pa
 
     batches = [pa.RecordBatch.from_pydict({"x": list(range(i, i + 5))}) for i in range(0, 35, 5)]
-    parts = [t.column("x").to_pylist() for t in _chunks(iter(batches), 8)]
+    parts = [t.column("x").to_pylist() for t in chunks(iter(batches), 8)]
     assert sum(parts, []) == list(range(35)) and [len(p) for p in parts] == [8, 8, 8, 8, 3]
 
 
